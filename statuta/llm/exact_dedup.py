@@ -20,14 +20,12 @@ BLOCK = 4096
 
 
 def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """rows plus name: one integer for each distinct value of keys (nulls equal).
+    """rows plus name: one integer for each distinct value of keys, which hold no nulls.
 
     The minimum of a row number is taken for each distinct key, pre-aggregated before the shuffle, and joined back.
     """
-    other = [F.col(k).alias(f"_{k}") for k in keys]
-    names = rows.select(*keys, F.monotonically_increasing_id().alias("_n")).groupBy(*keys).agg(F.min("_n").alias("name")).select(*other, "name")
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return rows.join(names, same).drop(*[f"_{k}" for k in keys])
+    names = rows.select(*keys, F.monotonically_increasing_id().alias("_n")).groupBy(*keys).agg(F.min("_n").alias("name"))
+    return rows.join(names, keys)
 
 
 def identities(docs: DataFrame, block: int, scratch: Scratch) -> DataFrame:
@@ -44,7 +42,7 @@ def identities(docs: DataFrame, block: int, scratch: Scratch) -> DataFrame:
     most = first.agg(F.max("blocks")).first()[0] or 0
     left, level, ends = first.where("blocks > 1").select("uid", "pos", "blocks", "name"), 1, []
     while 2 ** (level - 1) < most:
-        pairs = left.groupBy("uid", F.shiftright("pos", 1).alias("pos"), "blocks").agg(F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("l"), F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))).alias("r"))
+        pairs = left.groupBy("uid", F.shiftright("pos", 1).alias("pos"), "blocks").agg(F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("l"), F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("r"))
         table = scratch.write(_named(pairs, ["l", "r"]).drop("l", "r"))
         ends.append(table.where(F.col("blocks") <= 2**level).select("uid", "blocks", "name"))
         left, level = table.where(F.col("blocks") > 2**level), level + 1
