@@ -65,3 +65,14 @@ def word_count(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """body(value) with value computed once for a row, also where body uses it inside lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (on a cluster it is installed or sent with --py-files)."""
+    import pathlib
+
+    here = str(pathlib.Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if here not in paths:
+        env["PYTHONPATH"] = ":".join([*paths, here])
