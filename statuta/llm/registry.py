@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, licenses, mixing, pii
+from . import exact_dedup, licenses, mixing, neighbours, packing, pii
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,17 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file that packing is specified on; other callers of pack() give their own."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(_table(spark, sf_dir, "documents"))
 
@@ -27,8 +38,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_mix_sources, op4_license_scan, op6_pii, op8_exact_dedup)}
+    return {f.__name__: f for f in (op3_mix_sources, op4_license_scan, op5_pack, op6_pii, op8_exact_dedup, op9_nearest)}
 
 
 def oracle_sql() -> dict:
