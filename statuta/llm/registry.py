@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, licenses, mixing, neighbours, packing, pii, similar
+from . import chat, exact_dedup, licenses, line_dedup, mixing, neighbours, packing, pii, quality, similar
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.decisions(_table(spark, sf_dir, "documents")).drop("uid")
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar.linked_components(_table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(_table(spark, sf_dir, "documents"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(_table(spark, sf_dir, "conversations"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -46,12 +54,20 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_table(spark, sf_dir, "embeddings"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_ngram_jaccard, op3_mix_sources, op4_license_scan, op5_pack, op6_pii, op8_exact_dedup, op9_nearest)}
+    every = (
+        op1_line_dedup, op2_ngram_jaccard, op3_mix_sources, op4_license_scan, op5_pack,
+        op6_pii, op7_chat_format, op8_exact_dedup, op9_nearest, op10_quality,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict:
-    return {"op3_mix_sources": OP3, "op8_exact_dedup": OP8}
+    return {"op3_mix_sources": OP3, "op7_chat_format": OP7, "op8_exact_dedup": OP8}
 
 
 OP3 = r"""
@@ -75,3 +91,14 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 k AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) AS i, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM n)
 SELECT doc_id, keep_id, group_size, i = 1 AS kept, sha256(t) AS text_sha256 FROM k
 """
+
+OP7 = r"""
+WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST) - 1 AS place FROM conversations),
+r AS (SELECT conv_id, place, role, text, string_agg(coalesce('r' || len(role) || ':' || role, 'n') || coalesce('t' || len(text) || ':' || text, 'n'), '') OVER (PARTITION BY conv_id ORDER BY place) AS said,
+        count(*) OVER (PARTITION BY conv_id) AS n_turns FROM t),
+e AS (SELECT said, min(conv_id) AS conv_id, any_value(n_turns) AS n_turns, count(*) AS copies FROM r WHERE place = n_turns - 1 GROUP BY said),
+k AS (SELECT * FROM e WHERE said NOT IN (SELECT said FROM r WHERE place < n_turns - 1))
+SELECT r.conv_id, CAST(r.place // 512 AS INTEGER) AS part, k.n_turns, k.copies,
+  string_agg('<|' || coalesce(role, 'user') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10), '' ORDER BY r.place) AS text
+FROM r JOIN k ON r.conv_id IS NOT DISTINCT FROM k.conv_id GROUP BY r.conv_id, part, k.n_turns, k.copies
+"""
