@@ -31,7 +31,7 @@ GRAPH_K = 20
 #: Share of the true neighbours that calibration asks for; the contract's floor is 0.9.
 RECALL = 0.95
 #: Rows of an index block and queries of a query block, at most (about; rows are dealt by a hash).
-BLOCK = 2048
+BLOCK = 8192
 
 
 @dataclass
@@ -147,7 +147,7 @@ def search(table: DataFrame, query_step: int = 20, k: int = 20, sample: int = SA
     sizes = pd.Series([len(v) for v in drawn])
     width = int(sizes.mode()[0])
     n = valid.count()
-    router = fit(np.array([v for v in drawn if len(v) == width]), parts or int(np.clip(round(n**0.5 / 8), 8, 1024)), recall)
+    router = fit(np.array([v for v in drawn if len(v) == width]), parts or int(np.clip(round(n**0.5 / 24), 8, 1024)), recall)
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
