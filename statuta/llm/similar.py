@@ -3,13 +3,17 @@
 A document is its set of distinct five-word shingles. Two sets with Jaccard similarity of 0.8 or more differ in at most
 d = (size + size) / 9 shingles. In each size band the shingles are dealt by hash to the segments of a sketch and XORed there, so two
 sketches differ in at most d segments (and, with one bit a shingle, in at most d bits): of any d + 1 segments at least one agrees.
-Each set therefore emits its first d + 1 segments that hold two or more shingles; sets with too few of those emit weaker ones too
-(see _emitted). The rows are joined on equal segments, the Hamming distance of bit sketches discards most false pairs, and the rest
-is verified exactly on whole texts. No link is lost: the segments are a pigeonhole argument, not a probability.
-
-Copies never meet pairwise. Sets that are equal are one node from the start, a task emits the segments of a node once, nodes that
-share a segment are first compared with the segment's smallest node, and only nodes that are still in different components are
-compared with each other. Components come from distributed union-find.
+Each set therefore emits its first segments that hold two or more shingles, a few more than d + 1; sets with too few of those emit
+weaker ones too (see _emitted). The rows are joined on equal segments, the Hamming distance of bit sketches discards most false
+pairs, and the rest is verified exactly on whole texts. No link is lost: the segments are a pigeonhole argument, not a probability.
+
+Groups never meet pairwise. Sets that are equal are one node from the start, and a task emits the segments of a node once. A segment
+that many sets share is hot. A set with no more hot segments than it emits beyond d + 1 leaves them out, which keeps the pigeonhole:
+this takes care of passages that unlike documents share. The others belong to large families of near copies. A family is compared
+with its most central set, and what is not linked to that is joined on differences from it: two members that are close to each other
+share a certain number of their differences, so a join on the rarest of these finds them (see _families). Nodes of other segments are
+first compared with the segment's smallest node, then with those that are still in another component. Components come from
+distributed union-find.
 
 Sets are compared as 64-bit hashes of their shingles, a node is a 64-bit hash of a set: an error needs a collision.
 
@@ -24,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .buckets import linked_by_keys
+from .components import components
 from .shared import Scratch, importable
 from .shingles import U, mix, shingle_set, word_hashes
 
@@ -35,6 +39,8 @@ from .shingles import U, mix, shingle_set, word_hashes
 WORDS = 5
 #: Size bands grow by this factor; a set just above a border also takes part in the band below.
 RATIO = 3
+#: A segment that more nodes share is hot.
+HOT = 32
 
 
 def band(n: int) -> int:
@@ -68,16 +74,23 @@ def _emitted(seg: np.ndarray, xor: np.ndarray, count: np.ndarray, total: int, d:
 
     Linked sets agree in at least one of the first d + 1 segments with two shingles or more of either, and agreeing segments hold
     the same shingles. A set with too few of those emits all that hold a shingle, and one with too few of these all segments.
+    With s more than d + 1 at least s + 1 agree, so any s of them may be left out if they are left out of every other set as well.
     """
     rich = np.flatnonzero(count >= 2)
     if len(rich) > d:
-        return seg[rich[: d + 1]], xor[rich[: d + 1]]
+        rich = rich[: d + 1 + spare(d)]
+        return seg[rich], xor[rich]
     if len(seg) > d:
         return seg, xor
     empty = np.setdiff1d(np.arange(total), seg)
     return np.concatenate([seg, empty]), np.concatenate([xor, np.zeros(len(empty), U)])
 
 
+def spare(d: int) -> int:
+    """Segments emitted beyond d + 1 where there are as many."""
+    return 3 + d // 16
+
+
 def sketch(items: np.ndarray, s: int, d: int) -> np.ndarray:
     """Join keys of a set in band s: hashes of (band, segment, XOR of its shingles)."""
     total = segments(s)
@@ -115,7 +128,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     done: set[int] = set()  # combines equal sets of this task before the shuffle; bounded by the rows of an input split
     for batch in batches:
-        keys, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        keys, nodes, slack = ([np.zeros(0, t)] for t in (np.int64, np.int64, np.int32))
         for words in word_hashes(batch.column(0)):
             items = shingle_set(words, WORDS)
             node = node_of(items)
@@ -124,25 +137,26 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for s, d in bands(len(items)):
                     keys.append(sketch(items, s, d).view(np.int64))
                     nodes.append(np.full(len(keys[-1]), node))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], ["key", "node"])
-
-
-def _with_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        node = [node_of(shingle_set(w, WORDS)) for w in word_hashes(batch.column(0))]
-        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), batch.column(0)], ["own", "text"])
+                    slack.append(np.full(len(keys[-1]), max(0, len(keys[-1]) - d - 1), np.int32))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nodes, slack)], ["key", "node", "slack"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, differ, x, y) to (a, b, linked, na, nb, size of the symmetric difference, itself where asked for)."""
     for batch in batches:
-        linked, last, items = [], None, None
-        for name, x, y in zip(batch.column(0).to_pylist(), batch.column(2), word_hashes(batch.column(3)), strict=True):
+        rows: list[list] = [[] for _ in range(5)]
+        last, items = None, None
+        for name, wanted, x, y in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), word_hashes(batch.column(4)), strict=True):
             if name != last:
                 last, items = name, shingle_set(next(word_hashes(pa.array([x.as_py()]))), WORDS)
             other = shingle_set(y, WORDS)
             both = len(np.intersect1d(items, other, assume_unique=True))
-            linked.append(100 * both >= 80 * (len(items) + len(other) - both))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+            union = len(items) + len(other) - both
+            delta = np.setxor1d(items, other, assume_unique=True).view(np.int64) if wanted else None
+            for column, value in zip(rows, (100 * both >= 80 * union, len(items), len(other), union - both, delta), strict=True):
+                column.append(value)
+        types = (pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(r, t) for r, t in zip(rows, types, strict=True))], ["a", "b", "linked", "na", "nb", "n", "delta"])
 
 
 def _hamming(a: Column, b: Column) -> Column:
@@ -171,15 +185,82 @@ class _Join:
         return self.docs.select("doc_id", "text").join(wanted, "doc_id").select("node", "text").dropDuplicates(["node"])
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """pairs (a, b) plus linked, from whole texts."""
+        """pairs (a, b, differ) verified on whole texts; differ asks for the differences too."""
         texts = self.scratch.write(self.texts(pairs))
         one = texts.select(F.col("node").alias("a"), F.col("text").alias("x"))
         two = texts.select(F.col("node").alias("b"), F.col("text").alias("y"))
-        both = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
-        out = self.scratch.write(both.mapInArrow(_verify, "a long, b long, linked boolean"))
+        both = pairs.join(one, "a").join(two, "b").select("a", "b", "differ", "x", "y")
+        out = self.scratch.write(both.mapInArrow(_verify, "a long, b long, linked boolean, na long, nb long, n long, delta array<long>"))
         self.scratch.drop(texts)
         return out
 
+    def components(self, keys: DataFrame) -> DataFrame:
+        """keys: (key, node, slack). Returns (node, component) of every node with a link."""
+        scratch, is_hot = self.scratch, F.col("rows") > HOT
+        # running values over a sort, which spills and holds no group: nodes of a key that is not theirs alone
+        by_key = Window.partitionBy("key").orderBy("node")
+        hub = F.first("node").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        first_slack = F.first("slack").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        shared = keys.select("key", "node", "slack", hub.alias("hub"), first_slack.alias("hub_slack"), F.lag("node").over(by_key).alias("last")).where("node != hub and node != last")
+        shared = scratch.write(shared.drop("last"))
+        counts = shared.groupBy("key").agg((F.count("*") + 1).alias("rows"), F.first("hub").alias("node"), F.first("hub_slack").alias("slack"))
+        hot = scratch.write(counts.where(is_hot))
+        members = shared.join(hot.select("key"), "key").select("key", "node", "slack").unionByName(hot.select("key", "node", "slack"))
+        burden = members.groupBy("node").agg(F.count("*").alias("burden"), F.min("slack").alias("slack")).where("burden > slack").select("node", "burden")
+        family = scratch.write(members.select("key", "node").join(burden, "node"))
+        center = family.groupBy("key").agg(F.max_by("node", F.struct("burden", "node")).alias("center"))
+        frames = scratch.write(family.join(center, "key").select("center", "node").distinct())
+        cold = shared.join(hot.select("key"), "key", "left_anti")
+
+        # round 1: members of families against the center, others against the hub that they share most keys with
+        votes = cold.groupBy("hub", "node").agg(F.count("*").alias("votes"))
+        best = votes.groupBy("node").agg(F.max_by("hub", F.struct("votes", "hub")).alias("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+        near = self.near(best).withColumn("differ", F.lit(False))
+        central = frames.where("center != node").select(F.col("center").alias("a"), F.col("node").alias("b"), F.lit(True).alias("differ"))
+        done = self.links(scratch.write(near.join(central.select("a", "b"), ["a", "b"], "left_anti").unionByName(central)))
+        links = done.where("linked").select("a", "b")
+        found = scratch.write(components(links, scratch))
+
+        # round 2: nodes that share a cold key or are close in a family, and are not in one component yet
+        own = cold.select("key", "node").unionByName(cold.select("key", F.col("hub").alias("node")).distinct())
+        pairs = self._unlinked(own, found).unionByName(self._families(done.where("delta is not null"), found)).distinct()
+        tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        rest = self.near(scratch.write(pairs).join(tried, ["a", "b"], "left_anti")).withColumn("differ", F.lit(False))
+        more = self.links(scratch.write(rest))
+        return components(links.unionByName(more.where("linked").select("a", "b")), scratch)
+
+    def _unlinked(self, members: DataFrame, found: DataFrame) -> DataFrame:
+        """Pairs (a, b) of nodes that share a key, of at most HOT nodes, and are in different components."""
+        members = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
+        mixed = members.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
+        open_ = self.scratch.write(members.join(mixed, "key", "left_semi"))
+        other = open_.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
+        return open_.select("key", F.col("node").alias("a"), F.col("c").alias("ca")).join(other, "key").where("a < b and ca != cb").select("a", "b").distinct()
+
+    def _families(self, done: DataFrame, found: DataFrame) -> DataFrame:
+        """Pairs (a, b) of a family that may link though they are in different components.
+
+        done: members b with their differences delta, n in number, from center a. Let D(x) be the differences of x, and d the most
+        that linked sets differ in. Linked x and y have at least (n(x) + n(y) - d) / 2 differences in common. As one of them, x, is not
+        linked to the center, y linked to it: more than 4 / 9 n(y), and for any x: at least n(x) - d(x). Of sets with so much in
+        common, ordered by how many members have a difference, the first n - common + 1 have one in common.
+        """
+        rows = done.join(found.select(F.col("node").alias("b"), "component"), "b", "left").select("a", "b", "linked", "nb", "n", "delta", F.coalesce("component", "b").alias("c"))
+        mixed = rows.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("a")
+        common = F.when(F.col("linked"), F.floor(4 * F.col("n") / 9) + 1).otherwise(F.greatest(F.lit(1), F.col("n") - F.floor((F.col("nb") + F.floor(5 * F.col("nb") / 4)) / 9)))
+        rows = rows.join(mixed, "a", "left_semi").select("a", "b", "c", (F.col("n") - common + 1).alias("most"), F.explode("delta").alias("e"))
+        rows = self.scratch.write(rows)
+        usual = rows.groupBy("a", "e").agg(F.count("*").alias("members")).where("members > 1")
+        rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("members", "e"))
+        # differences of a single member come first and match nothing, so only their number counts
+        single = rows.groupBy("a", "b").agg(F.count("*").alias("all"))
+        multi = rows.join(usual, ["a", "e"]).withColumn("rank", rank)
+        size = multi.groupBy("a", "b").agg(F.count("*").alias("several")).join(single, ["a", "b"])
+        prefix = multi.join(size, ["a", "b"]).where("rank + all - several <= most").select("a", "e", "b", "c")
+        prefix = self.scratch.write(prefix)
+        other = prefix.select("a", "e", F.col("b").alias("y"), F.col("c").alias("cy"))
+        return prefix.join(other, ["a", "e"]).where("b < y and c != cy").select(F.col("b").alias("a"), F.col("y").alias("b")).distinct()
+
 
 def linked_components(docs: DataFrame) -> DataFrame:
     """docs: (doc_id, text). One row per document: doc_id, n_shingles, component_id."""
@@ -190,8 +271,7 @@ def linked_components(docs: DataFrame) -> DataFrame:
     nodes = scratch.write(docs.mapInArrow(_nodes, "doc_id long, node long, n long, level int, bits array<long>"))
     join = _Join(docs, nodes, scratch)
 
-    keys = docs.select("text").mapInArrow(_keys, "key long, node long")
-    final = linked_by_keys(keys, lambda pairs: join.links(scratch.write(join.near(pairs))), scratch)
+    final = join.components(docs.select("text").mapInArrow(_keys, "key long, node long, slack int"))
 
     own = nodes.where("level >= -1").select("doc_id", "node", "n").join(final, "node", "left")
     own = scratch.write(own.select("doc_id", "n", F.coalesce("component", "node").alias("c")))

@@ -275,3 +275,31 @@ def test_null_doc_id(spark):
     assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in exact_dedup.exact_dedup(docs).collect()} == {(None, 4, False), (4, 4, True)}
     assert {(r["doc_id"], r["component_id"]) for r in similar.linked_components(docs).collect()} == {(None, 4), (4, 4)}
     assert mixing.plan(docs).count() == licenses.scan(docs).count() == pii.detect(docs).count() == packing.pack(docs, registry.tokenizer_path()).count() == 2
+
+
+def test_ngram_join_of_families(spark):
+    """A large family of near copies, most linked to the center, some only to each other, some to none; and a passage that many share."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(7))
+    text = [word() for _ in range(150)]
+    edits = lambda t, k: " ".join(word() if i in set(rng.sample(range(len(t)), k)) else w for i, w in enumerate(t))
+    texts = [" ".join(text)] + [edits(text, rng.choice([1, 1, 2, 3])) for _ in range(120)]
+    for _ in range(6):  # small groups far from the center, close to each other
+        far = edits(text, 9).split()
+        texts += [edits(far, 1) for _ in range(4)]
+    passage = " ".join(text[20:80])
+    texts += [f"{passage} {' '.join(word() for _ in range(200))}" for _ in range(80)]
+    rng.shuffle(texts)
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[j : j + 5]) for j in range(len(w) - 4)})
+    parent = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = _find(parent, a), _find(parent, b)
+                parent[max(x, y)] = min(x, y)
+    got = similar.linked_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(i, _find(parent, i)) for i in range(len(sets))]
