@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from . import scalars, tables
+
 
 def queries() -> dict:
-    return {}
+    return tables.queries() | scalars.queries()
 
 
 def oracle_sql() -> dict:
-    return {}
+    return tables.oracle_sql() | scalars.oracle_sql()
