@@ -354,11 +354,11 @@ def running_depth(t):
     return sequences.running_depth(t.events, "user_id", ["ts", "event_id"], F.when(F.col("event_type") == "click", 1).otherwise(-1)).select("event_id", "depth")
 
 
-@query("""WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS INTEGER) % 4 AS q, l_returnflag = 'R' AS known FROM lineitem), n AS (SELECT *, CASE WHEN q = lag(q) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) + 1 THEN 0 ELSE 1 END AS b FROM x),
-  r AS (SELECT *, sum(b) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey ROWS UNBOUNDED PRECEDING) AS run FROM n) SELECT l_orderkey, l_linenumber, l_partkey, bool_or(known) OVER (PARTITION BY l_orderkey, run) AS confirmed FROM r""")
+@query("""WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CAST(l_quantity AS INTEGER) % 4 AS q, l_returnflag = 'R' AS known FROM lineitem), n AS (SELECT *, CASE WHEN q = lag(q) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) + 1 THEN 0 ELSE 1 END AS b FROM x),
+  r AS (SELECT *, sum(b) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS UNBOUNDED PRECEDING) AS run FROM n) SELECT l_orderkey, l_linenumber, l_partkey, bool_or(known) OVER (PARTITION BY l_orderkey, run) AS confirmed FROM r""")
 def confirmed_markers(t):
     """W-07: confirmation by neighbours, as runs instead of a loop."""
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.struct("l_linenumber", "l_partkey").alias("at"), (F.col("l_quantity").cast("int") % 4).alias("q"), (F.col("l_returnflag") == "R").alias("known"))
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("at"), (F.col("l_quantity").cast("int") % 4).alias("q"), (F.col("l_returnflag") == "R").alias("known"))
     return sequences.confirmed_markers(rows, "l_orderkey", "at", "q", "known").select("l_orderkey", "l_linenumber", "l_partkey", "confirmed")
 
 

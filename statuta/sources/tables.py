@@ -13,8 +13,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def json_records(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(records, rejected): JSON lines read with a schema; a line of another shape is rejected, never an empty result."""
-    raw = spark.read.schema(f"{schema}, _rejected string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_rejected").json(path)
-    return raw.where("_rejected is null").drop("_rejected"), raw.where("_rejected is not null").select("_rejected")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_rejected"}
+    raw = spark.read.text(path).select(F.from_json("value", f"{schema}, _rejected string", options).alias("r"), "value").where("trim(value) <> ''")
+    return raw.where("r is not null and r._rejected is null").select("r.*").drop("_rejected"), raw.where("r is null or r._rejected is not null").select("value")
 
 
 def list_shape(response, items: str = "items", total: str = "totalResults"):
