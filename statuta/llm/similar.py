@@ -40,7 +40,7 @@ WORDS = 5
 #: Size bands grow by this factor; a set just above a border also takes part in the band below.
 RATIO = 3
 #: A segment that more nodes share is hot.
-HOT = 32
+HOT = 8
 
 
 def band(n: int) -> int:
@@ -248,18 +248,16 @@ class _Join:
         rows = done.join(found.select(F.col("node").alias("b"), "component"), "b", "left").select("a", "b", "linked", "nb", "n", "delta", F.coalesce("component", "b").alias("c"))
         mixed = rows.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("a")
         common = F.when(F.col("linked"), F.floor(4 * F.col("n") / 9) + 1).otherwise(F.greatest(F.lit(1), F.col("n") - F.floor((F.col("nb") + F.floor(5 * F.col("nb") / 4)) / 9)))
-        rows = rows.join(mixed, "a", "left_semi").select("a", "b", "c", (F.col("n") - common + 1).alias("most"), F.explode("delta").alias("e"))
+        rows = rows.join(mixed, "a", "left_semi").select("a", "b", "c", "nb", "n", (F.col("n") - common + 1).alias("most"), F.explode("delta").alias("e"))
         rows = self.scratch.write(rows)
         usual = rows.groupBy("a", "e").agg(F.count("*").alias("members")).where("members > 1")
-        rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("members", "e"))
         # differences of a single member come first and match nothing, so only their number counts
-        single = rows.groupBy("a", "b").agg(F.count("*").alias("all"))
-        multi = rows.join(usual, ["a", "e"]).withColumn("rank", rank)
-        size = multi.groupBy("a", "b").agg(F.count("*").alias("several")).join(single, ["a", "b"])
-        prefix = multi.join(size, ["a", "b"]).where("rank + all - several <= most").select("a", "e", "b", "c")
-        prefix = self.scratch.write(prefix)
-        other = prefix.select("a", "e", F.col("b").alias("y"), F.col("c").alias("cy"))
-        return prefix.join(other, ["a", "e"]).where("b < y and c != cy").select(F.col("b").alias("a"), F.col("y").alias("b")).distinct()
+        place = F.col("n") - F.count("*").over(Window.partitionBy("a", "b")) + F.row_number().over(Window.partitionBy("a", "b").orderBy("members", "e"))
+        prefix = self.scratch.write(rows.join(usual, ["a", "e"]).withColumn("at", place).where("at <= most").select("a", "e", "b", "c", "nb", "n", "at"))
+        other = prefix.select("a", "e", *[F.col(c).alias(f"{c}2") for c in ("b", "c", "nb", "n", "at")])
+        # the first difference in common leaves at most the rest of the shorter one for the others
+        enough = "2 * (1 + least(n - at, n2 - at2)) >= n + n2 - floor((nb + nb2) / 9)"
+        return prefix.join(other, ["a", "e"]).where("b < b2 and c != c2").where(enough).select(F.col("b").alias("a"), F.col("b2").alias("b")).distinct()
 
 
 def linked_components(docs: DataFrame) -> DataFrame:
