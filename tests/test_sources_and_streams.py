@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from statuta.functions import text
 from statuta.operators import search, versions
-from statuta.sources import html, remote, sinks, tables
+from statuta.sources import html, pdf, remote, sinks, tables
 from statuta.streaming import feed
 
 DATA = "/root/testdata/sf0.001"
@@ -23,6 +23,17 @@ def test_files_are_never_overwritten(spark, tmp_path):
         sinks.save_new(spark.range(3), str(tmp_path / "x"))
 
 
+def test_missing_program_or_broken_file_is_a_row(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"%PDF-1.7 broken")
+    (tmp_path / "b.pdf").write_bytes(b"no pdf")
+    found = pdf.files(spark, str(tmp_path))
+    assert sorted(r["is_pdf"] for r in found.collect()) == [False, True]
+    texts = pdf.page_texts(found, "no-such-program").collect()
+    assert len(texts) == 2 and all(r["page"] == 0 and r["error"].startswith("no-such-program") for r in texts)
+    ocr = pdf.ocr_texts(found.withColumn("page", F.lit(1)), render="no-such-program").collect()
+    assert len(ocr) == 2 and all(r["text"] is None and r["error"] for r in ocr)
+
+
 def test_full_html_form(spark):
     pages = spark.createDataFrame([("<p>art. 21<sup>1</sup> &sect; 2</p><script>x</script><ul><li>a<li>b</ul>",), (None,), ("",)], "html string")
     assert [r["text"] for r in html.with_text(pages).collect()] == ["art. 21 1 § 2\n\na\nb", None, ""]
