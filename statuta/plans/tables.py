@@ -66,11 +66,11 @@ def search_multi_criteria(t):
     return rows.join(t.customer.where("c_mktsegment = 'BUILDING'"), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("o_orderkey", "o_custkey", "o_orderpriority")
 
 
-@query("""SELECT DISTINCT p_partkey, p_name, p_type FROM part WHERE contains(lower(p_name), '1') AND starts_with(p_type, (SELECT min(p_type) FROM part)) ORDER BY p_partkey LIMIT 25""")
+@query("""SELECT DISTINCT p_partkey, p_name, p_type FROM part WHERE contains(lower(p_name), 'ring') AND starts_with(p_type, (SELECT min(p_type) FROM part)) ORDER BY p_partkey LIMIT 25""")
 def title_search(t):
     """S-05, S-13: by substring and prefix, without repeats, the first 25."""
     first = t.part.agg(F.min("p_type").alias("least"))
-    hits = t.part.where(F.contains(F.lower("p_name"), F.lit("1"))).join(first, F.startswith("p_type", "least")).select("p_partkey", "p_name", "p_type").distinct()
+    hits = t.part.where(F.contains(F.lower("p_name"), F.lit("ring"))).join(first, F.startswith("p_type", "least")).select("p_partkey", "p_name", "p_type").distinct()
     return search.page(hits, [F.col("p_partkey")], 1, 25)
 
 
