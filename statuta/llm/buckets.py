@@ -1,4 +1,9 @@
-"""Components of the links among nodes that share a key, without comparing all pairs of a large group."""
+"""Components of the links among sets that share a key, without comparing all pairs of a large group.
+
+Nodes of a key with few nodes are first compared with its smallest node, then with those that are still in another component. A key
+with more nodes is hot: its nodes are a family, compared with the most central of them, and what is not linked to that is joined on
+differences from it.
+"""
 
 from __future__ import annotations
 
@@ -10,33 +15,80 @@ from pyspark.sql import functions as F
 from .components import components
 from .shared import Scratch
 
+#: A key that more nodes share is hot.
+HOT = 8
+
 
-def linked_by_keys(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: Scratch) -> DataFrame:
-    """keys: (key, node), repeats allowed. verify: pairs (a, b) to (a, b, linked), pairs without a link may be left out.
+def linked_by_keys(keys: DataFrame, verifier: Callable, scratch: Scratch, near: Callable = lambda pairs: pairs) -> DataFrame:
+    """keys: (key, node, slack), repeats allowed. Returns (node, component) of every node with a link.
 
-    Returns (node, component) for every node with a link, the same as if all pairs that share a key had been verified: a first
-    round compares each node with one hub, and a second round every pair that shares a key and is not yet in one component.
+    slack: how many hot keys a node may leave out if every other node does so too. near: keeps the pairs (a, b) that may link.
+    verifier: given the nodes (node) that share a key, returns a function from pairs (a, b, differ) to (a, b, linked, na, nb, n, delta):
+    whether sets a and b have a Jaccard similarity of 0.8 or more, their sizes, and the number of their differences, with the
+    differences themselves where differ is true and null elsewhere.
     """
-    # running values over a sort, which spills and holds no group: each node of a key with the smallest node of that key
+    is_hot = F.col("rows") > HOT
+    # running values over a sort, which spills and holds no group: nodes of a key that is not theirs alone
     by_key = Window.partitionBy("key").orderBy("node")
     hub = F.first("node").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    shared = keys.select("key", "node", hub.alias("hub"), F.lag("node").over(by_key).alias("last")).where("node != hub and node != last")
-    shared = scratch.write(shared.select("key", "hub", "node"))
+    first_slack = F.first("slack").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    shared = keys.select("key", "node", "slack", hub.alias("hub"), first_slack.alias("hub_slack"), F.lag("node").over(by_key).alias("last")).where("node != hub and node != last")
+    shared = scratch.write(shared.drop("last"))
+    links_of = verifier(shared.select("node").unionByName(shared.select(F.col("hub").alias("node"))).distinct())
+    counts = shared.groupBy("key").agg((F.count("*") + 1).alias("rows"), F.first("hub").alias("node"), F.first("hub_slack").alias("slack"))
+    hot = scratch.write(counts.where(is_hot))
+    members = shared.join(hot.select("key"), "key").select("key", "node", "slack").unionByName(hot.select("key", "node", "slack"))
+    burden = members.groupBy("node").agg(F.count("*").alias("burden"), F.min("slack").alias("slack")).where("burden > slack").select("node", "burden")
+    family = scratch.write(members.select("key", "node").join(burden, "node"))
+    center = family.groupBy("key").agg(F.max_by("node", F.struct("burden", "node")).alias("center"))
+    frames = scratch.write(family.join(center, "key").select("center", "node").distinct())
+    cold = shared.join(hot.select("key"), "key", "left_anti")
 
-    # round 1: each node against the hub it shares most keys with
-    votes = shared.groupBy("hub", "node").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("node").agg(F.max_by("hub", F.struct("votes", "hub")).alias("hub"))
-    done = scratch.write(verify(best.select(F.col("hub").alias("a"), F.col("node").alias("b"))))
+    # round 1: members of families against the center, others against the hub that they share most keys with
+    votes = cold.groupBy("hub", "node").agg(F.count("*").alias("votes"))
+    best = votes.groupBy("node").agg(F.max_by("hub", F.struct("votes", "hub")).alias("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    likely = near(best).withColumn("differ", F.lit(False))
+    central = frames.where("center != node").select(F.col("center").alias("a"), F.col("node").alias("b"), F.lit(True).alias("differ"))
+    done = links_of(scratch.write(likely.join(central.select("a", "b"), ["a", "b"], "left_anti").unionByName(central)))
     links = done.where("linked").select("a", "b")
-    found = components(links, scratch)
+    found = scratch.write(components(links, scratch))
+
+    # round 2: nodes that share a cold key or are close in a family, and are not in one component yet
+    own = cold.select("key", "node").unionByName(cold.select("key", F.col("hub").alias("node")).distinct())
+    pairs = _unlinked(own, found, scratch).unionByName(_families(done.where("delta is not null"), found, scratch)).distinct()
+    tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = near(scratch.write(pairs).join(tried, ["a", "b"], "left_anti")).withColumn("differ", F.lit(False))
+    more = links_of(scratch.write(rest))
+    return components(links.unionByName(more.where("linked").select("a", "b")), scratch)
+
 
-    # round 2: all pairs of nodes that share a key and are not in one component yet
-    members = shared.select("key", "node").unionByName(shared.select("key", F.col("hub").alias("node")).distinct())
+def _unlinked(members: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of nodes that share a key, of at most HOT nodes, and are in different components."""
     members = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     mixed = members.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
     open_ = scratch.write(members.join(mixed, "key", "left_semi"))
     other = open_.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
-    pairs = open_.select("key", F.col("node").alias("a"), F.col("c").alias("ca")).join(other, "key").where("a < b and ca != cb").select("a", "b").distinct()
-    tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = scratch.write(verify(pairs.join(tried, ["a", "b"], "left_anti")))
-    return components(links.unionByName(more.where("linked").select("a", "b")), scratch)
+    return open_.select("key", F.col("node").alias("a"), F.col("c").alias("ca")).join(other, "key").where("a < b and ca != cb").select("a", "b").distinct()
+
+
+def _families(done: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of a family that may link though they are in different components.
+
+    done: members b with their differences delta, n in number, from center a. Let D(x) be the differences of x, and d the most
+    that linked sets differ in. Linked x and y have at least (n(x) + n(y) - d) / 2 differences in common. As one of them, x, is not
+    linked to the center, y linked to it: more than 4 / 9 n(y), and for any x: at least n(x) - d(x). Of sets with so much in
+    common, ordered by how many members have a difference, the first n - common + 1 have one in common.
+    """
+    rows = done.join(found.select(F.col("node").alias("b"), "component"), "b", "left").select("a", "b", "linked", "nb", "n", "delta", F.coalesce("component", "b").alias("c"))
+    mixed = rows.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("a")
+    common = F.when(F.col("linked"), F.floor(4 * F.col("n") / 9) + 1).otherwise(F.greatest(F.lit(1), F.col("n") - F.floor((F.col("nb") + F.floor(5 * F.col("nb") / 4)) / 9)))
+    rows = rows.join(mixed, "a", "left_semi").select("a", "b", "c", "nb", "n", (F.col("n") - common + 1).alias("most"), F.explode("delta").alias("e"))
+    rows = scratch.write(rows)
+    usual = rows.groupBy("a", "e").agg(F.count("*").alias("members")).where("members > 1")
+    # differences of a single member come first and match nothing, so only their number counts
+    place = F.col("n") - F.count("*").over(Window.partitionBy("a", "b")) + F.row_number().over(Window.partitionBy("a", "b").orderBy("members", "e"))
+    prefix = scratch.write(rows.join(usual, ["a", "e"]).withColumn("at", place).where("at <= most").select("a", "e", "b", "c", "nb", "n", "at"))
+    other = prefix.select("a", "e", *[F.col(c).alias(f"{c}2") for c in ("b", "c", "nb", "n", "at")])
+    # the first difference in common leaves at most the rest of the shorter one for the others
+    enough = "2 * (1 + least(n - at, n2 - at2)) >= n + n2 - floor((nb + nb2) / 9)"
+    return prefix.join(other, ["a", "e"]).where("b < b2 and c != c2").where(enough).select(F.col("b").alias("a"), F.col("b2").alias("b")).distinct()

@@ -11,7 +11,7 @@ Groups never meet pairwise. Sets that are equal are one node from the start, and
 that many sets share is hot. A set with no more hot segments than it emits beyond d + 1 leaves them out, which keeps the pigeonhole:
 this takes care of passages that unlike documents share. The others belong to large families of near copies. A family is compared
 with its most central set, and what is not linked to that is joined on differences from it: two members that are close to each other
-share a certain number of their differences, so a join on the rarest of these finds them (see _families). Nodes of other segments are
+share a certain number of their differences, so a join on the rarest of these finds them (see buckets.py). Nodes of other segments are
 first compared with the segment's smallest node, then with those that are still in another component. Components come from
 distributed union-find.
 
@@ -28,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .buckets import linked_by_keys
 from .shared import Scratch, importable
 from .shingles import U, mix, shingle_set, word_hashes
 
@@ -39,8 +39,6 @@ from .shingles import U, mix, shingle_set, word_hashes
 WORDS = 5
 #: Size bands grow by this factor; a set just above a border also takes part in the band below.
 RATIO = 3
-#: A segment that more nodes share is hot.
-HOT = 8
 
 
 def band(n: int) -> int:
@@ -194,71 +192,6 @@ class _Join:
         self.scratch.drop(texts)
         return out
 
-    def components(self, keys: DataFrame) -> DataFrame:
-        """keys: (key, node, slack). Returns (node, component) of every node with a link."""
-        scratch, is_hot = self.scratch, F.col("rows") > HOT
-        # running values over a sort, which spills and holds no group: nodes of a key that is not theirs alone
-        by_key = Window.partitionBy("key").orderBy("node")
-        hub = F.first("node").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        first_slack = F.first("slack").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        shared = keys.select("key", "node", "slack", hub.alias("hub"), first_slack.alias("hub_slack"), F.lag("node").over(by_key).alias("last")).where("node != hub and node != last")
-        shared = scratch.write(shared.drop("last"))
-        counts = shared.groupBy("key").agg((F.count("*") + 1).alias("rows"), F.first("hub").alias("node"), F.first("hub_slack").alias("slack"))
-        hot = scratch.write(counts.where(is_hot))
-        members = shared.join(hot.select("key"), "key").select("key", "node", "slack").unionByName(hot.select("key", "node", "slack"))
-        burden = members.groupBy("node").agg(F.count("*").alias("burden"), F.min("slack").alias("slack")).where("burden > slack").select("node", "burden")
-        family = scratch.write(members.select("key", "node").join(burden, "node"))
-        center = family.groupBy("key").agg(F.max_by("node", F.struct("burden", "node")).alias("center"))
-        frames = scratch.write(family.join(center, "key").select("center", "node").distinct())
-        cold = shared.join(hot.select("key"), "key", "left_anti")
-
-        # round 1: members of families against the center, others against the hub that they share most keys with
-        votes = cold.groupBy("hub", "node").agg(F.count("*").alias("votes"))
-        best = votes.groupBy("node").agg(F.max_by("hub", F.struct("votes", "hub")).alias("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        near = self.near(best).withColumn("differ", F.lit(False))
-        central = frames.where("center != node").select(F.col("center").alias("a"), F.col("node").alias("b"), F.lit(True).alias("differ"))
-        done = self.links(scratch.write(near.join(central.select("a", "b"), ["a", "b"], "left_anti").unionByName(central)))
-        links = done.where("linked").select("a", "b")
-        found = scratch.write(components(links, scratch))
-
-        # round 2: nodes that share a cold key or are close in a family, and are not in one component yet
-        own = cold.select("key", "node").unionByName(cold.select("key", F.col("hub").alias("node")).distinct())
-        pairs = self._unlinked(own, found).unionByName(self._families(done.where("delta is not null"), found)).distinct()
-        tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        rest = self.near(scratch.write(pairs).join(tried, ["a", "b"], "left_anti")).withColumn("differ", F.lit(False))
-        more = self.links(scratch.write(rest))
-        return components(links.unionByName(more.where("linked").select("a", "b")), scratch)
-
-    def _unlinked(self, members: DataFrame, found: DataFrame) -> DataFrame:
-        """Pairs (a, b) of nodes that share a key, of at most HOT nodes, and are in different components."""
-        members = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-        mixed = members.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
-        open_ = self.scratch.write(members.join(mixed, "key", "left_semi"))
-        other = open_.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
-        return open_.select("key", F.col("node").alias("a"), F.col("c").alias("ca")).join(other, "key").where("a < b and ca != cb").select("a", "b").distinct()
-
-    def _families(self, done: DataFrame, found: DataFrame) -> DataFrame:
-        """Pairs (a, b) of a family that may link though they are in different components.
-
-        done: members b with their differences delta, n in number, from center a. Let D(x) be the differences of x, and d the most
-        that linked sets differ in. Linked x and y have at least (n(x) + n(y) - d) / 2 differences in common. As one of them, x, is not
-        linked to the center, y linked to it: more than 4 / 9 n(y), and for any x: at least n(x) - d(x). Of sets with so much in
-        common, ordered by how many members have a difference, the first n - common + 1 have one in common.
-        """
-        rows = done.join(found.select(F.col("node").alias("b"), "component"), "b", "left").select("a", "b", "linked", "nb", "n", "delta", F.coalesce("component", "b").alias("c"))
-        mixed = rows.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("a")
-        common = F.when(F.col("linked"), F.floor(4 * F.col("n") / 9) + 1).otherwise(F.greatest(F.lit(1), F.col("n") - F.floor((F.col("nb") + F.floor(5 * F.col("nb") / 4)) / 9)))
-        rows = rows.join(mixed, "a", "left_semi").select("a", "b", "c", "nb", "n", (F.col("n") - common + 1).alias("most"), F.explode("delta").alias("e"))
-        rows = self.scratch.write(rows)
-        usual = rows.groupBy("a", "e").agg(F.count("*").alias("members")).where("members > 1")
-        # differences of a single member come first and match nothing, so only their number counts
-        place = F.col("n") - F.count("*").over(Window.partitionBy("a", "b")) + F.row_number().over(Window.partitionBy("a", "b").orderBy("members", "e"))
-        prefix = self.scratch.write(rows.join(usual, ["a", "e"]).withColumn("at", place).where("at <= most").select("a", "e", "b", "c", "nb", "n", "at"))
-        other = prefix.select("a", "e", *[F.col(c).alias(f"{c}2") for c in ("b", "c", "nb", "n", "at")])
-        # the first difference in common leaves at most the rest of the shorter one for the others
-        enough = "2 * (1 + least(n - at, n2 - at2)) >= n + n2 - floor((nb + nb2) / 9)"
-        return prefix.join(other, ["a", "e"]).where("b < b2 and c != c2").where(enough).select(F.col("b").alias("a"), F.col("b2").alias("b")).distinct()
-
 
 def linked_components(docs: DataFrame) -> DataFrame:
     """docs: (doc_id, text). One row per document: doc_id, n_shingles, component_id."""
@@ -269,7 +202,7 @@ def linked_components(docs: DataFrame) -> DataFrame:
     nodes = scratch.write(docs.mapInArrow(_nodes, "doc_id long, node long, n long, level int, bits array<long>"))
     join = _Join(docs, nodes, scratch)
 
-    final = join.components(docs.select("text").mapInArrow(_keys, "key long, node long, slack int"))
+    final = linked_by_keys(docs.select("text").mapInArrow(_keys, "key long, node long, slack int"), lambda _: join.links, scratch, join.near)
 
     own = nodes.where("level >= -1").select("doc_id", "node", "n").join(final, "node", "left")
     own = scratch.write(own.select("doc_id", "n", F.coalesce("component", "node").alias("c")))

@@ -223,7 +223,7 @@ def _shingles(line):
 
 def test_line_dedup(docs):
     docs = docs.dropDuplicates(["doc_id"])
-    lines = sorted((i, k, re.sub(r"\s+", " ", line.lower()).strip()) for i, t in _rows(docs) for k, line in enumerate((t or "").split("\n")))
+    lines = sorted((i, k, line.lower().strip(" ")) for i, t in _rows(docs) for k, line in enumerate((t or "").split("\n")))
     sets = {x: _shingles(x) for _, _, x in lines if len(x.split(" ")) >= 8}
     parent = {x: x for x in sets}
     for a in sets:
