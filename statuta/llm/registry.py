@@ -67,7 +67,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op3_mix_sources": OP3, "op7_chat_format": OP7, "op8_exact_dedup": OP8}
+    return {"op2_ngram_jaccard": OP2, "op3_mix_sources": OP3, "op7_chat_format": OP7, "op8_exact_dedup": OP8}
 
 
 OP3 = r"""
@@ -102,3 +102,14 @@ SELECT r.conv_id, CAST(r.place // 512 AS INTEGER) AS part, k.n_turns, k.copies,
   string_agg('<|' || coalesce(role, 'user') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10), '' ORDER BY r.place) AS text
 FROM r JOIN k ON r.conv_id IS NOT DISTINCT FROM k.conv_id GROUP BY r.conv_id, part, k.n_turns, k.copies
 """
+
+OP2 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id WHERE r.c < e.b)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
