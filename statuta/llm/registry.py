@@ -67,7 +67,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op2_ngram_jaccard": OP2, "op3_mix_sources": OP3, "op7_chat_format": OP7, "op8_exact_dedup": OP8}
+    return {"op2_ngram_jaccard": OP2, "op3_mix_sources": OP3, "op4_license_scan": OP4, "op7_chat_format": OP7, "op8_exact_dedup": OP8}
 
 
 OP3 = r"""
@@ -113,3 +113,28 @@ e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
 r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id WHERE r.c < e.b)
 SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
+
+
+def _op4() -> str:
+    """SQL of the licence scan: key phrases word by word, and the share of IDF mass that a template has in its place."""
+    known = licenses.templates()
+    vocab = set(licenses.vocabulary())
+    text = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    facts = ", ".join(f"({n}, '{label}', {text(key)}, {at}, {str(base).upper()})" for n, label, _, key, at, base in known)
+    posts = ", ".join(f"({n}, '{w}', {rel})" for n, _, words, *_ in known for rel, w in enumerate(words) if w in vocab)
+    return rf"""
+WITH t(n, label, key, off, base) AS (VALUES {facts}), post(n, word, rel) AS (VALUES {posts}),
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+df AS (SELECT word, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(w) AS word FROM w) GROUP BY word),
+idf AS (SELECT word, ln((1 + (SELECT count(*) FROM documents)) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT word FROM post) LEFT JOIN df USING (word)),
+mass AS (SELECT n, sum(idf) AS mass FROM post JOIN idf USING (word) GROUP BY n),
+hit AS (SELECT doc_id, w, t.n, label, base, unnest(list_filter(range(len(w) - len(key) + 1), lambda i: w[i + 1:i + len(key)] = key)) - off AS start FROM w, t WHERE list_has_all(w, key)),
+got AS (SELECT h.doc_id, h.n, h.label, h.base, h.start, sum(CASE WHEN h.start + p.rel >= 0 AND h.w[h.start + p.rel + 1] = p.word THEN idf ELSE 0 END) AS got FROM hit h JOIN post p ON p.n = h.n JOIN idf USING (word) GROUP BY 1, 2, 3, 4, 5),
+per AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+  string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(least(1.0::DOUBLE, round(got / mass, 6))) AS score FROM got JOIN mass USING (n) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score FROM w LEFT JOIN per ON per.doc_id = w.doc_id
+"""
+
+
+OP4 = _op4()
