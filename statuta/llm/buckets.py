@@ -22,7 +22,7 @@ HOT = 8
 def linked_by_keys(keys: DataFrame, verifier: Callable, scratch: Scratch, near: Callable = lambda pairs: pairs) -> DataFrame:
     """keys: (key, node, slack), repeats allowed. Returns (node, component) of every node with a link.
 
-    slack: how many hot keys a node may leave out if every other node does so too. near: keeps the pairs (a, b) that may link.
+    slack: how many hot keys a node may leave out so that it still shares another with every node it links with. near: keeps the pairs (a, b) that may link.
     verifier: given the nodes (node) that share a key, returns a function from pairs (a, b, differ) to (a, b, linked, na, nb, n, delta):
     whether sets a and b have a Jaccard similarity of 0.8 or more, their sizes, and the number of their differences, with the
     differences themselves where differ is true and null elsewhere.

@@ -8,8 +8,8 @@ weaker ones too (see _emitted). The rows are joined on equal segments, the Hammi
 pairs, and the rest is verified exactly on whole texts. No link is lost: the segments are a pigeonhole argument, not a probability.
 
 Groups never meet pairwise. Sets that are equal are one node from the start, and a task emits the segments of a node once. A segment
-that many sets share is hot. A set with no more hot segments than it emits beyond d + 1 leaves them out, which keeps the pigeonhole:
-this takes care of passages that unlike documents share. The others belong to large families of near copies. A family is compared
+that many sets share is hot. A set with no more hot segments than both it and any set it can link with emit beyond d + 1 leaves them
+out, which keeps the pigeonhole: this takes care of passages that unlike documents share. The others belong to large families of near copies. A family is compared
 with its most central set, and what is not linked to that is joined on differences from it: two members that are close to each other
 share a certain number of their differences, so a join on the rarest of these finds them (see buckets.py). Nodes of other segments are
 first compared with the segment's smallest node, then with those that are still in another component. Components come from
@@ -67,21 +67,25 @@ def bands(n: int) -> list[tuple[int, int]]:
     return out
 
 
-def _emitted(seg: np.ndarray, xor: np.ndarray, count: np.ndarray, total: int, d: int) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and contents of the segments a set emits.
+def _emitted(seg: np.ndarray, xor: np.ndarray, count: np.ndarray, total: int, d: int, least: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Numbers and contents of the segments a set emits, and how many of them it may leave out where they are hot.
 
     Linked sets agree in at least one of the first d + 1 segments with two shingles or more of either, and agreeing segments hold
     the same shingles. A set with too few of those emits all that hold a shingle, and one with too few of these all segments.
-    With s more than d + 1 at least s + 1 agree, so any s of them may be left out if they are left out of every other set as well.
+
+    Segments outside the difference are the same in both sets, so two sets that emit k and l of the segments with two shingles or more
+    agree in all they have, or in min(k, l) - d of them at least. A set with s more than d + 1 may leave out s, and no more than the
+    spare ones of its partners; least is the smallest d of any of them. A set that emits weaker segments too may have a partner that
+    emits d + 1 of the others, of which one alone agrees, so it leaves out none.
     """
     rich = np.flatnonzero(count >= 2)
     if len(rich) > d:
         rich = rich[: d + 1 + spare(d)]
-        return seg[rich], xor[rich]
+        return seg[rich], xor[rich], min(len(rich) - d - 1, spare(least))
     if len(seg) > d:
-        return seg, xor
+        return seg, xor, 0
     empty = np.setdiff1d(np.arange(total), seg)
-    return np.concatenate([seg, empty]), np.concatenate([xor, np.zeros(len(empty), U)])
+    return np.concatenate([seg, empty]), np.concatenate([xor, np.zeros(len(empty), U)]), 0
 
 
 def spare(d: int) -> int:
@@ -89,15 +93,26 @@ def spare(d: int) -> int:
     return 3 + d // 16
 
 
+def least_differ(n: int, s: int) -> int:
+    """Smallest d that a set takes part with in band s and that can link with one of n shingles there."""
+    least, top = -(-4 * n // 5), RATIO ** (s + 1) - 1
+    return min(differ(least, least * 5 // 4), differ(top + 1, top))
+
+
 def sketch(items: np.ndarray, s: int, d: int) -> np.ndarray:
     """Join keys of a set in band s: hashes of (band, segment, XOR of its shingles)."""
+    return sketch_and_slack(items, s, d)[0]
+
+
+def sketch_and_slack(items: np.ndarray, s: int, d: int) -> tuple[np.ndarray, int]:
+    """The join keys of a set in band s, and how many hot ones of them it may leave out whatever its partners emit."""
     total = segments(s)
     part = ((mix(items + U(s)) >> U(32)) * U(total)) >> U(32)
     order = np.argsort(part, kind="stable")
     seg, first, count = np.unique(part[order], return_index=True, return_counts=True)
     xor = np.bitwise_xor.reduceat(items[order], first)
-    seg, xor = _emitted(seg.astype(np.int64), xor, count, total, d)
-    return mix(xor + mix(seg.astype(U) * U(64) + U(s)))
+    seg, xor, slack = _emitted(seg.astype(np.int64), xor, count, total, d, least_differ(len(items), s))
+    return mix(xor + mix(seg.astype(U) * U(64) + U(s))), slack
 
 
 def parity_bits(items: np.ndarray, s: int) -> np.ndarray:
@@ -133,9 +148,10 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(items) and node not in done:
                 done.add(node)
                 for s, d in bands(len(items)):
-                    keys.append(sketch(items, s, d).view(np.int64))
+                    emitted, left_out = sketch_and_slack(items, s, d)
+                    keys.append(emitted.view(np.int64))
                     nodes.append(np.full(len(keys[-1]), node))
-                    slack.append(np.full(len(keys[-1]), max(0, len(keys[-1]) - d - 1), np.int32))
+                    slack.append(np.full(len(keys[-1]), left_out, np.int32))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nodes, slack)], ["key", "node", "slack"])
 
 

@@ -303,3 +303,48 @@ def test_ngram_join_of_families(spark):
                 parent[max(x, y)] = min(x, y)
     got = similar.linked_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(i, _find(parent, i)) for i in range(len(sets))]
+
+
+def _components_by_pairs(texts):
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[j : j + 5]) for j in range(len(w) - 4)})
+    parent = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = _find(parent, a), _find(parent, b)
+                parent[max(x, y)] = min(x, y)
+    return [_find(parent, i) for i in range(len(sets))]
+
+
+@pytest.mark.parametrize("least, most", [(15, 30), (100, 115)])
+def test_ngram_join_of_families_near_a_band_border(spark, least, most):
+    """Families whose members emit all segments beside members that emit few: hot segments are left out of neither for the other's slack."""
+    rng = random.Random(least)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(7))
+    texts = []
+    for _ in range(30):
+        text = [word() for _ in range(rng.randint(least, most))]
+        for _ in range(14):
+            more, less = rng.randint(0, len(text) // 9), rng.randint(0, len(text) // 9)
+            texts.append(" ".join([word() for _ in range(rng.randint(0, more))] + text[rng.randint(0, less) :] + [word() for _ in range(rng.randint(0, more))]))
+    rng.shuffle(texts)
+    got = similar.linked_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == list(enumerate(_components_by_pairs(texts)))
+
+
+def test_sketches_share_a_key_without_those_left_out():
+    """Whatever two linked sets are, and whichever hot keys the one leaves out within its slack, they share another."""
+    rng = np.random.default_rng(4)
+    for n in [*range(8, 40), *range(76, 130)] * 40:
+        a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        drop, add = rng.integers(0, 1 + n // 8, 2)
+        b = np.unique(np.concatenate([rng.permutation(a)[drop:], rng.integers(0, 2**64, add, dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 80 * (len(a) + len(b) - both):
+            x, y = ([similar.sketch_and_slack(z, s, d) for s, d in similar.bands(len(z))] for z in (a, b))
+            shared = set(np.concatenate([k for k, _ in x]).tolist()) & set(np.concatenate([k for k, _ in y]).tolist())
+            assert len(shared) > max(min(slack for _, slack in z) for z in (x, y))
