@@ -19,7 +19,7 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that another place has already; those left without any line go."""
-    return line_dedup.dedup_lines(docs)
+    return line_dedup.dedup_lines(docs, min_words=line_dedup.ALL)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,13 +1,14 @@
 """Operator 1: fuzzy deduplication of lines. DataFrame functions only.
 
 A line is taken in lower case, without spaces around it. Its shingles are the nine characters from each word start (from every character,
-where words are longer than 16 characters on average, as in scripts without spaces). The MinHash signature is the twelve smallest
+where words are longer than 16 characters on average, as in scripts without spaces, and in lines of nine characters or more with fewer
+than eight words, whose few word starts leave much of them out). The MinHash signature is the twelve smallest
 hashes of its shingle set, and each three neighbours in it are a band: two lines at the threshold share a band with a probability of
 about 0.98, and more similar lines nearly always. Lines that share a band are verified by exact Jaccard similarity (0.8) on their
 whole shingle sets, links are joined by distributed union-find, and of each component the first line (by doc_id, then line number) stays.
 
-Equal lines are one node, recognised by a 64-bit hash, and collapse before any signature is shuffled. Lines with fewer than MIN_WORDS
-words always stay: they are headings, labels and closings, not copied content.
+Equal lines are one node, recognised by a 64-bit hash, and collapse before any signature is shuffled. Blank lines always stay.
+With min_words, shorter lines stay too (headings, labels, closings); op1_line_dedup and the pipeline do without.
 
 Edge cases: a null text counts as empty; an empty text is one empty line, which stays; a null doc_id ranks last; rows that repeat a
 doc_id are separate documents, the later of equal rows loses its lines; an empty table gives an empty result; lines of any length are
@@ -26,6 +27,8 @@ SHINGLE = 9
 SIGNATURE = 12
 BAND = 3
 MIN_WORDS = 8
+#: min_words that takes every line that is not blank.
+ALL = 0
 
 
 def plain(line: Column) -> Column:
@@ -41,7 +44,8 @@ def shingles(line: Column, n_words: Column) -> Column:
     """Distinct hashes of the character shingles of a plain line."""
     at_words = F.regexp_extract_all(line, F.lit(r"(?s)(?<![^ ])(?=([^ ].{0,%d}))" % (SHINGLE - 1)), F.lit(1))
     everywhere = F.regexp_extract_all(line, F.lit(r"(?s)(?=(.{%d}))" % SHINGLE), F.lit(1))
-    found = F.when(F.char_length(line) > 16 * n_words, everywhere).otherwise(at_words)
+    length = F.char_length(line)
+    found = F.when((length > 16 * n_words) | ((n_words < MIN_WORDS) & (length >= SHINGLE)), everywhere).otherwise(at_words)
     return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
 
 
@@ -53,11 +57,12 @@ def bands(hashes: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
-    """(uid, doc_id, line_no, id, n, plain): every line of every document; id is null for lines that stay anyway.
+    """(uid, doc_id, line_no, id, n, plain): every line of every document; id is null for lines that stay anyway: blank ones, and those with fewer than min_words words.
 
     The columns are made inside the generator, so that no filter or projection above it makes them again.
     """
-    known = lambda p, n: F.struct(F.when(n >= min_words, F.xxhash64(p)).alias("id"), n.alias("n"), p.alias("plain"))
+    seen = lambda p: F.substring(p, 1, 1).between("!", "~") | p.rlike(r"[^\s\p{Z}]")
+    known = lambda p, n: F.struct(F.when((n >= min_words) & seen(p), F.xxhash64(p)).alias("id"), n.alias("n"), p.alias("plain"))
     lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda line: let(plain(line), lambda p: let(words(p), lambda n: known(p, n))))
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.posexplode(lines).alias("line_no", "x"))
     return rows.select("uid", "doc_id", "line_no", "x.*")

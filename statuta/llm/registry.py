@@ -12,7 +12,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.decisions(_table(spark, sf_dir, "documents")).drop("uid")
+    return line_dedup.decisions(_table(spark, sf_dir, "documents"), min_words=line_dedup.ALL).drop("uid")
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

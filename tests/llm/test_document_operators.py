@@ -348,3 +348,16 @@ def test_sketches_share_a_key_without_those_left_out():
             x, y = ([similar.sketch_and_slack(z, s, d) for s, d in similar.bands(len(z))] for z in (a, b))
             shared = set(np.concatenate([k for k, _ in x]).tolist()) & set(np.concatenate([k for k, _ in y]).tolist())
             assert len(shared) > max(min(slack for _, slack in z) for z in (x, y))
+
+
+def test_line_dedup_of_short_lines(spark):
+    """op1 takes every line that is not blank; unlike short lines stay, also with a common start."""
+    texts = ["Les.\nintroduction\n\n \t\r", "les. \nintroductory\n\n \t\r", "LES.\nintroduction\n \na b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["line_no"]) for r in line_dedup.decisions(docs, min_words=line_dedup.ALL).collect() if not r["kept"]}
+    assert got == {(1, 0), (2, 0), (2, 1)}
+
+
+def test_op1_takes_short_lines(spark, tmp_path):
+    spark.createDataFrame([(1, "les."), (2, "les.")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(tuple(r) for r in registry.op1_line_dedup(spark, str(tmp_path)).collect()) == [(1, 0, 1, 0, True), (2, 0, 1, 0, False)]
