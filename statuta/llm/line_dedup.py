@@ -8,7 +8,8 @@ about 0.98, and more similar lines nearly always. Lines that share a band are ve
 whole shingle sets, links are joined by distributed union-find, and of each component the first line (by doc_id, then line number) stays.
 
 Equal lines are one node, recognised by a 64-bit hash, and collapse before any signature is shuffled. Blank lines always stay.
-With min_words, shorter lines stay too (headings, labels, closings); op1_line_dedup and the pipeline do without.
+With min_words, shorter lines stay too (headings, labels, closings), but none whose words have more than 16 characters on average, as
+spaces do not tell their length; op1_line_dedup and the pipeline do without.
 
 Edge cases: a null text counts as empty; an empty text is one empty line, which stays; a null doc_id ranks last; rows that repeat a
 doc_id are separate documents, the later of equal rows loses its lines; an empty table gives an empty result; lines of any length are
@@ -40,12 +41,16 @@ def words(line: Column) -> Column:
     return F.when(line == "", 0).otherwise(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "))) + 1)
 
 
+def unspaced(line: Column, n_words: Column) -> Column:
+    """Whether spaces do not tell how long a plain line is: its words have more than 16 characters on average."""
+    return F.char_length(line) > 16 * n_words
+
+
 def shingles(line: Column, n_words: Column) -> Column:
     """Distinct hashes of the character shingles of a plain line."""
     at_words = F.regexp_extract_all(line, F.lit(r"(?s)(?<![^ ])(?=([^ ].{0,%d}))" % (SHINGLE - 1)), F.lit(1))
     everywhere = F.regexp_extract_all(line, F.lit(r"(?s)(?=(.{%d}))" % SHINGLE), F.lit(1))
-    length = F.char_length(line)
-    found = F.when((length > 16 * n_words) | ((n_words < MIN_WORDS) & (length >= SHINGLE)), everywhere).otherwise(at_words)
+    found = F.when(unspaced(line, n_words) | ((n_words < MIN_WORDS) & (F.char_length(line) >= SHINGLE)), everywhere).otherwise(at_words)
     return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
 
 
@@ -57,12 +62,12 @@ def bands(hashes: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
-    """(uid, doc_id, line_no, id, n, plain): every line of every document; id is null for lines that stay anyway: blank ones, and those with fewer than min_words words.
+    """(uid, doc_id, line_no, id, n, plain): every line of every document; id is null for lines that stay anyway: blank ones, and spaced ones with fewer than min_words words.
 
     The columns are made inside the generator, so that no filter or projection above it makes them again.
     """
     seen = lambda p: F.substring(p, 1, 1).between("!", "~") | p.rlike(r"[^\s\p{Z}]")
-    known = lambda p, n: F.struct(F.when((n >= min_words) & seen(p), F.xxhash64(p)).alias("id"), n.alias("n"), p.alias("plain"))
+    known = lambda p, n: F.struct(F.when(((n >= min_words) | unspaced(p, n)) & seen(p), F.xxhash64(p)).alias("id"), n.alias("n"), p.alias("plain"))
     lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda line: let(plain(line), lambda p: let(words(p), lambda n: known(p, n))))
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.posexplode(lines).alias("line_no", "x"))
     return rows.select("uid", "doc_id", "line_no", "x.*")

@@ -361,3 +361,12 @@ def test_line_dedup_of_short_lines(spark):
 def test_op1_takes_short_lines(spark, tmp_path):
     spark.createDataFrame([(1, "les."), (2, "les.")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert sorted(tuple(r) for r in registry.op1_line_dedup(spark, str(tmp_path)).collect()) == [(1, 0, 1, 0, True), (2, 0, 1, 0, False)]
+
+
+def test_line_dedup_of_lines_without_spaces(spark):
+    """Scripts without spaces, tabs and no-break spaces: long copies are found whatever min_words is."""
+    passage = "".join(chr(0x4E00 + i * 37 % 5000) for i in range(400))
+    lines = [passage, "\t".join(f"cell{i}" for i in range(30)), " ".join(f"word{i}" for i in range(30))]
+    docs = spark.createDataFrame([(i, "\n".join(lines)) for i in range(2)] + [(2, passage[:390])], "doc_id long, text string")
+    got = {(r["doc_id"], r["line_no"]) for r in line_dedup.decisions(docs).collect() if not r["kept"]}
+    assert got == {(1, 0), (1, 1), (1, 2), (2, 0)}
