@@ -12,7 +12,7 @@ With min_words, shorter lines stay too (headings, labels, closings), but none wh
 spaces do not tell their length; op1_line_dedup and the pipeline do without.
 
 Edge cases: a null text counts as empty; an empty text is one empty line, which stays; a null doc_id ranks last; rows that repeat a
-doc_id are separate documents, the later of equal rows loses its lines; an empty table gives an empty result; lines of any length are
+doc_id or have none are separate documents, the later of equal rows loses its lines; an empty table gives an empty result; lines of any length are
 read whole; other columns are ignored by decisions() and kept by dedup_lines().
 """
 
@@ -69,7 +69,7 @@ def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
     seen = lambda p: F.substring(p, 1, 1).between("!", "~") | p.rlike(r"[^\s\p{Z}]")
     known = lambda p, n: F.struct(F.when(((n >= min_words) | unspaced(p, n)) & seen(p), F.xxhash64(p)).alias("id"), n.alias("n"), p.alias("plain"))
     lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda line: let(plain(line), lambda p: let(words(p), lambda n: known(p, n))))
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.posexplode(lines).alias("line_no", "x"))
+    rows = docs.select("uid", "doc_id", F.posexplode(lines).alias("line_no", "x"))
     return rows.select("uid", "doc_id", "line_no", "x.*")
 
 
@@ -93,8 +93,13 @@ def _verifier(lines: DataFrame, scratch: Scratch):
 
 def decisions(docs: DataFrame, min_words: int = MIN_WORDS, scratch: Scratch | None = None) -> DataFrame:
     """One row per line: uid, doc_id, line_no, keep_doc_id, keep_line_no (of the line that stays for it), kept."""
-    scratch = scratch or Scratch(docs.sparkSession)
-    lines = lines_of(docs.select("doc_id", "text"), min_words)
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
+    return _decisions(rows, min_words, scratch or Scratch(docs.sparkSession))
+
+
+def _decisions(rows: DataFrame, min_words: int, scratch: Scratch) -> DataFrame:
+    """decisions() for rows (uid, doc_id, text)."""
+    lines = lines_of(rows, min_words)
     keyed = F.when(F.col("id").isNotNull(), bands(shingles(F.col("plain"), F.col("n"))))
     seen = scratch.write(lines.select("uid", "doc_id", "line_no", "id", keyed.alias("keys")))
     distinct = seen.where("id is not null").groupBy("id").agg(F.first("keys").alias("keys"))
@@ -109,10 +114,13 @@ def decisions(docs: DataFrame, min_words: int = MIN_WORDS, scratch: Scratch | No
     return shared.unionByName(alone)
 
 
-def dedup_lines(docs: DataFrame, **options) -> DataFrame:
-    """docs (unique doc_id) without the dropped lines; documents that had lines and are left with none are dropped."""
-    gone = decisions(docs, **options).where("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
-    both = docs.join(gone, "doc_id", "left")
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, scratch: Scratch | None = None) -> DataFrame:
+    """docs without the dropped lines; rows that had lines and are left with none are dropped. Each row loses its own lines only."""
+    scratch = scratch or Scratch(docs.sparkSession)
+    rows = scratch.write(docs.withColumn("_uid", F.monotonically_increasing_id()))
+    said = _decisions(rows.select(F.col("_uid").alias("uid"), "doc_id", "text"), min_words, scratch)
+    gone = said.where("not kept").groupBy(F.col("uid").alias("_uid")).agg(F.collect_set("line_no").alias("_gone"))
+    both = rows.join(gone, "_uid", "left")
     left = let(F.split("text", "\n"), lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone")), lambda i: lines[i]))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     out = both.withColumn("text", text).where(F.col("_gone").isNull() | F.col("text").rlike(r"[^\s\p{Z}]"))

@@ -370,3 +370,11 @@ def test_line_dedup_of_lines_without_spaces(spark):
     docs = spark.createDataFrame([(i, "\n".join(lines)) for i in range(2)] + [(2, passage[:390])], "doc_id long, text string")
     got = {(r["doc_id"], r["line_no"]) for r in line_dedup.decisions(docs).collect() if not r["kept"]}
     assert got == {(1, 0), (1, 1), (1, 2), (2, 0)}
+
+
+def test_line_dedup_of_rows_without_a_doc_id_of_their_own(spark):
+    """Repeated and null ids: each row loses its own lines, and the first of equal rows keeps them."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(12)) for k in "abc")
+    rows = [(1, a), (1, a), (2, f"{a}\n{b}"), (2, f"{c}\n{b}"), (None, f"{c}\nown"), (None, b)]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, n int").coalesce(1)
+    assert sorted((r["n"], r["text"]) for r in line_dedup.dedup_lines(docs, min_words=line_dedup.ALL).collect()) == [(0, a), (2, b), (3, c), (4, "own")]
