@@ -17,8 +17,9 @@ distributed union-find.
 
 Sets are compared as 64-bit hashes of their shingles, a node is a 64-bit hash of a set: an error needs a collision.
 
-Edge cases: a null or empty text, or one of white space only, has an empty set and links with nothing; rows that repeat a doc_id each
-get a row (and component); a null doc_id never names a component that has another; an empty table gives an empty result; texts of any
+Edge cases: a null or empty text, or one of white space only, has an empty set and links with nothing; rows are told apart by
+an id of their own, so rows that repeat a doc_id or have none each get a row (and component) by their own text; a null doc_id never
+names a component that has another; an empty table gives an empty result; texts of any
 length are read whole; other columns are ignored.
 """
 
@@ -129,13 +130,13 @@ def node_of(items: np.ndarray) -> int:
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, node, size, level, bits = [], [], [], [], []
-        for doc, words in zip(batch.column(0).to_pylist(), word_hashes(batch.column(1)), strict=True):
+        rows, ids, node, size, level, bits = [], [], [], [], [], []
+        for row, doc, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), word_hashes(batch.column(2)), strict=True):
             items = shingle_set(words, WORDS)
             for i, (s, _) in enumerate(bands(len(items)) if len(items) else [(-1, 0)]):
-                ids.append(doc), node.append(node_of(items)), size.append(len(items)), level.append(s if i == 0 else -2 - s)
+                rows.append(row), ids.append(doc), node.append(node_of(items)), size.append(len(items)), level.append(s if i == 0 else -2 - s)
                 bits.append(parity_bits(items, s) if s >= 0 else None)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(level, pa.int32()), pa.array(bits, pa.list_(pa.int64()))], ["doc_id", "node", "n", "level", "bits"])
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(ids, pa.int64()), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(level, pa.int32()), pa.array(bits, pa.list_(pa.int64()))], ["uid", "doc_id", "node", "n", "level", "bits"])
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,12 +179,12 @@ def _hamming(a: Column, b: Column) -> Column:
 
 
 class _Join:
-    """The state of one join: the documents, the node table and the shared folder."""
+    """The state of one join: the documents (uid, text), the node table and the shared folder."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, scratch: Scratch):
         self.docs, self.scratch = docs, scratch
         self.bits = nodes.where("n > 0").select("node", F.when(F.col("level") < -1, -2 - F.col("level")).otherwise(F.col("level")).alias("band"), "n", "bits").dropDuplicates(["node", "band"])
-        self.first = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+        self.first = nodes.where("n > 0").groupBy("node").agg(F.min("uid").alias("uid"))
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) whose sizes and bit sketches allow a link."""
@@ -193,10 +194,10 @@ class _Join:
         return pairs.join(left, "a").join(right, ["b", "band"]).where(fit).where(9 * _hamming(F.col("ba"), F.col("bb")) <= F.col("na") + F.col("nb")).select("a", "b").distinct()
 
     def texts(self, pairs: DataFrame) -> DataFrame:
-        """(node, text) of one document of each node in pairs."""
+        """(node, text) of one row of each node in pairs."""
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = wanted.join(self.first, "node")
-        return self.docs.select("doc_id", "text").join(wanted, "doc_id").select("node", "text").dropDuplicates(["node"])
+        return self.docs.select("uid", "text").join(wanted, "uid").select("node", "text")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """pairs (a, b, differ) verified on whole texts; differ asks for the differences too."""
@@ -209,25 +210,33 @@ class _Join:
         return out
 
 
-def linked_components(docs: DataFrame) -> DataFrame:
-    """docs: (doc_id, text). One row per document: doc_id, n_shingles, component_id."""
-    spark = docs.sparkSession
-    importable(spark)
-    scratch = Scratch(spark)
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    nodes = scratch.write(docs.mapInArrow(_nodes, "doc_id long, node long, n long, level int, bits array<long>"))
-    join = _Join(docs, nodes, scratch)
+def _grouped(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """rows: (uid, doc_id, text), as materialised. (uid, doc_id, n, c) of every row: the size of its set and its group, null for empty sets."""
+    importable(rows.sparkSession)
+    nodes = scratch.write(rows.mapInArrow(_nodes, "uid long, doc_id long, node long, n long, level int, bits array<long>"))
+    join = _Join(rows, nodes, scratch)
+
+    final = linked_by_keys(rows.select("text").mapInArrow(_keys, "key long, node long, slack int"), lambda _: join.links, scratch, join.near)
 
-    final = linked_by_keys(docs.select("text").mapInArrow(_keys, "key long, node long, slack int"), lambda _: join.links, scratch, join.near)
+    own = nodes.where("level >= -1").select("uid", "doc_id", "node", "n").join(final, "node", "left")
+    return scratch.write(own.select("uid", "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("c")))
 
-    own = nodes.where("level >= -1").select("doc_id", "node", "n").join(final, "node", "left")
-    own = scratch.write(own.select("doc_id", "n", F.coalesce("component", "node").alias("c")))
-    named = own.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
-    full = own.where("n > 0").join(named, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return full.unionByName(own.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+def linked_components(docs: DataFrame) -> DataFrame:
+    """docs: (doc_id, text). One row per document: doc_id, n_shingles, component_id."""
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.write(docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long"), "text"))
+    own = _grouped(rows, scratch)
+    named = own.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    full = own.where("c is not null").join(named, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return full.unionByName(own.where("c is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs (unique doc_id) with one document of each component, the one with the smallest doc_id."""
-    stay = linked_components(docs).where("component_id = doc_id").select("doc_id")
-    return docs.join(stay, "doc_id", "left_semi")
+    """docs with one row of each component, the first by doc_id (null last) and place; rows with an empty set link with nothing and stay."""
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.write(docs.withColumn("_uid", F.monotonically_increasing_id()))
+    own = _grouped(rows.select(F.col("_uid").alias("uid"), F.col("doc_id").cast("long"), "text"), scratch)
+    first = own.where("c is not null").groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("keep"))
+    stay = first.select(F.col("keep.uid").alias("_uid")).unionByName(own.where("c is null").select(F.col("uid").alias("_uid")))
+    return rows.join(stay, "_uid", "left_semi").select(*docs.columns)

@@ -378,3 +378,16 @@ def test_line_dedup_of_rows_without_a_doc_id_of_their_own(spark):
     rows = [(1, a), (1, a), (2, f"{a}\n{b}"), (2, f"{c}\n{b}"), (None, f"{c}\nown"), (None, b)]
     docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, n int").coalesce(1)
     assert sorted((r["n"], r["text"]) for r in line_dedup.dedup_lines(docs, min_words=line_dedup.ALL).collect()) == [(0, a), (2, b), (3, c), (4, "own")]
+
+
+def test_near_duplicates_of_rows_without_a_doc_id_of_their_own(spark):
+    """Null and repeated ids: each row is judged by its own text, and one row of each group stays."""
+    rng = random.Random(3)
+    text = lambda: [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(None, a), (None, [*a, "more"]), (None, b), (7, c), (7, c), (8, d), (8, ["first", *c]), (9, [*d, "last"]), (None, [])]
+    docs = spark.createDataFrame([(i, " ".join(t), k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, n int").coalesce(1)
+    assert sorted(r["n"] for r in similar.keep_one(docs).collect()) == [0, 2, 3, 5, 8]
+    got = [tuple(r) for r in similar.linked_components(docs).select("doc_id", "component_id").collect()]
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    assert sorted(got, key=key) == sorted([*[(None, None)] * 4, (7, 7), (7, 7), (8, 8), (8, 7), (9, 8)], key=key)
