@@ -18,7 +18,7 @@ _RADIX = int(_rng.integers(0, 2**64, dtype=U)) | 1
 _PLACE = _rng.integers(0, 2**64, 64, dtype=U) | U(1)
 _powers: list[np.ndarray] = []
 #: Bytes hashed at a time.
-WINDOW = 1 << 20
+WINDOW = 1 << 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
