@@ -1,8 +1,9 @@
 """Components of the links among sets that share a key, without comparing all pairs of a large group.
 
 Nodes of a key with few nodes are first compared with its smallest node, then with those that are still in another component. A key
-with more nodes is hot: its nodes are a family, compared with the most central of them, and what is not linked to that is joined on
-differences from it.
+with more nodes is hot: its nodes are a family, compared with the node that shares most hot keys. If that leaves some unlinked, the
+family gets a better center, the node closest to what most of its nodes have in common, and what is not linked to that either is joined
+on differences from it.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def linked_by_keys(keys: DataFrame, verifier: Callable, scratch: Scratch, near:
     hub = F.first("node").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     first_slack = F.first("slack").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     shared = keys.select("key", "node", "slack", hub.alias("hub"), first_slack.alias("hub_slack"), F.lag("node").over(by_key).alias("last")).where("node != hub and node != last")
-    shared = scratch.write(shared.drop("last"))
+    shared = scratch.write(shared.drop("last"), hashes=True)
     links_of = verifier(shared.select("node").unionByName(shared.select(F.col("hub").alias("node"))).distinct())
     counts = shared.groupBy("key").agg((F.count("*") + 1).alias("rows"), F.first("hub").alias("node"), F.first("hub_slack").alias("slack"))
     hot = scratch.write(counts.where(is_hot))
@@ -50,12 +51,13 @@ def linked_by_keys(keys: DataFrame, verifier: Callable, scratch: Scratch, near:
     likely = near(best).withColumn("differ", F.lit(False))
     central = frames.where("center != node").select(F.col("center").alias("a"), F.col("node").alias("b"), F.lit(True).alias("differ"))
     done = links_of(scratch.write(likely.join(central.select("a", "b"), ["a", "b"], "left_anti").unionByName(central)))
-    links = done.where("linked").select("a", "b")
+    families = scratch.write(_recentred(done.where("delta is not null"), scratch))
+    links = done.where("linked").select("a", "b").unionByName(families.where("linked").select(F.col("center").alias("a"), "b"))
     found = scratch.write(components(links, scratch))
 
     # round 2: nodes that share a cold key or are close in a family, and are not in one component yet
     own = cold.select("key", "node").unionByName(cold.select("key", F.col("hub").alias("node")).distinct())
-    pairs = _unlinked(own, found, scratch).unionByName(_families(done.where("delta is not null"), found, scratch)).distinct()
+    pairs = _unlinked(own, found, scratch).unionByName(_families(families, found, scratch)).distinct()
     tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = near(scratch.write(pairs).join(tried, ["a", "b"], "left_anti")).withColumn("differ", F.lit(False))
     more = links_of(scratch.write(rest))
@@ -71,19 +73,45 @@ def _unlinked(members: DataFrame, found: DataFrame, scratch: Scratch) -> DataFra
     return open_.select("key", F.col("node").alias("a"), F.col("c").alias("ca")).join(other, "key").where("a < b and ca != cb").select("a", "b").distinct()
 
 
+def _recentred(done: DataFrame, scratch: Scratch) -> DataFrame:
+    """Families with unlinked members, on a better center: (a, center, b, linked, nb, n, delta), a naming the family.
+
+    done: members b with their differences delta, n in number, from the first center a. Differences that most members have are the first
+    center's own, so without them it is the set of what most members have in common. The result's differences are those from that set,
+    center is the member closest to it, and linked says whether b links with center, which the differences of both decide exactly: sets
+    x and y link when 9 * |x and y differ in| <= |x| + |y|. Where unlike sets only share a passage, that passage is the common set.
+    """
+    open_ = done.groupBy("a").agg(F.min("linked").alias("all"), F.max("na").alias("na"), F.count("*").alias("members")).where("not all")
+    open_ = scratch.write(open_.select("a", "na", "members"))
+    none = F.array().cast("array<bigint>")
+    first = open_.select("a", F.col("a").alias("b"), F.col("na").alias("nb"), none.alias("delta"), "members")
+    rows = scratch.write(done.join(open_.select("a", "members"), "a").select("a", "b", "nb", "delta", "members").unionByName(first), hashes=True)
+    usual = rows.select("a", "members", F.explode("delta").alias("e")).groupBy("a", "e").agg(F.count("*").alias("n"), F.max("members").alias("members")).where("2 * n > members + 1")
+    usual = scratch.write(usual.groupBy("a").agg(F.collect_list("e").alias("usual")))  # at most twice as many as a member has
+    apart = lambda x, y: F.concat(F.array_except(x, y), F.array_except(y, x))
+    rows = scratch.write(rows.join(usual, "a", "left").select("a", "b", "nb", apart("delta", F.coalesce("usual", none)).alias("delta")), hashes=True)
+    center = scratch.write(rows.groupBy("a").agg(F.min_by(F.struct("b", "nb", "delta"), F.struct(F.size("delta"), "b")).alias("m")))
+    both = rows.join(center, "a").where("b != m.b").withColumn("apart", F.size(apart("delta", "m.delta")))
+    return both.select("a", F.col("m.b").alias("center"), "b", (9 * F.col("apart") <= F.col("m.nb") + F.col("nb")).alias("linked"), "nb", F.size("delta").cast("long").alias("n"), "delta")
+
+
 def _families(done: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) of a family that may link though they are in different components.
 
-    done: members b with their differences delta, n in number, from center a. Let D(x) be the differences of x, and d the most
-    that linked sets differ in. Linked x and y have at least (n(x) + n(y) - d) / 2 differences in common. As one of them, x, is not
-    linked to the center, y linked to it: more than 4 / 9 n(y), and for any x: at least n(x) - d(x). Of sets with so much in
-    common, ordered by how many members have a difference, the first n - common + 1 have one in common.
+    done: members b of family a with their differences delta, n in number, from one set. Let D(x) be the differences of x, and d(x) the
+    most that x and a set it links with differ in. Linked x and y have (n(x) + n(y) - |x and y differ in|) / 2 differences in common,
+    and as n(y) is no less than those, at least n(x) - d(x). Of sets with so much in common, ordered by how many members have a
+    difference, the first n - common + 1 have one in common.
     """
-    rows = done.join(found.select(F.col("node").alias("b"), "component"), "b", "left").select("a", "b", "linked", "nb", "n", "delta", F.coalesce("component", "b").alias("c"))
+    rows = done.join(found.select(F.col("node").alias("b"), "component"), "b", "left").select("a", "b", "nb", "n", "delta", F.coalesce("component", "b").alias("c"))
     mixed = rows.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("a")
-    common = F.when(F.col("linked"), F.floor(4 * F.col("n") / 9) + 1).otherwise(F.greatest(F.lit(1), F.col("n") - F.floor((F.col("nb") + F.floor(5 * F.col("nb") / 4)) / 9)))
+    common = F.greatest(F.lit(1), F.col("n") - F.floor((F.col("nb") + F.floor(5 * F.col("nb") / 4)) / 9))
     rows = rows.join(mixed, "a", "left_semi").select("a", "b", "c", "nb", "n", (F.col("n") - common + 1).alias("most"), F.explode("delta").alias("e"))
-    rows = scratch.write(rows)
+    rows = scratch.write(rows, hashes=True)
+    # differences of a single member are among those from any other, so a member with more than d of them links with none
+    own = rows.groupBy("a", "e").agg(F.min("b").alias("b"), F.max("b").alias("top")).where("b = top").groupBy("a", "b").agg(F.count("*").alias("own"))
+    lonely = rows.select("a", "b", "nb").distinct().join(own, ["a", "b"]).where("own > floor((nb + floor(5 * nb / 4)) / 9)").select("a", "b")
+    rows = scratch.write(rows.join(lonely, ["a", "b"], "left_anti"), hashes=True)
     usual = rows.groupBy("a", "e").agg(F.count("*").alias("members")).where("members > 1")
     # differences of a single member come first and match nothing, so only their number counts
     place = F.col("n") - F.count("*").over(Window.partitionBy("a", "b")) + F.row_number().over(Window.partitionBy("a", "b").orderBy("members", "e"))

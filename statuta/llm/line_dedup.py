@@ -1,19 +1,20 @@
 """Operator 1: fuzzy deduplication of lines. DataFrame functions only.
 
-A line is taken in lower case, without spaces around it. Its shingles are the nine characters from each word start (from every character,
-where words are longer than 16 characters on average, as in scripts without spaces, and in lines of nine characters or more with fewer
-than eight words, whose few word starts leave much of them out). The MinHash signature is the twelve smallest
-hashes of its shingle set, and each three neighbours in it are a band: two lines at the threshold share a band with a probability of
-about 0.98, and more similar lines nearly always. Lines that share a band are verified by exact Jaccard similarity (0.8) on their
-whole shingle sets, links are joined by distributed union-find, and of each component the first line (by doc_id, then line number) stays.
-
-Equal lines are one node, recognised by a 64-bit hash, and collapse before any signature is shuffled. Blank lines always stay.
-With min_words, shorter lines stay too (headings, labels, closings), but none whose words have more than 16 characters on average, as
-spaces do not tell their length; op1_line_dedup and the pipeline do without.
+A line is taken in lower case, without spaces around it. Its shingles are the nine characters from each start; a start is the first
+character of a word (a run of U+0021 to U+0DFF), every eighth one further inside a long word, and each other character, as in scripts
+without spaces. So every character of a word lies in a shingle, and any change of one changes the set. The MinHash signature is the twelve
+smallest hashes of the shingle set, and each three neighbours in it are a band: two lines at the threshold share a band with a
+probability of about 0.98, and more similar lines nearly always. Lines that share a band are verified by exact Jaccard similarity
+(0.8) on their whole shingle sets, links are joined by distributed union-find, and of each component the first line (by doc_id, then
+line number) stays.
+
+Equal lines are one node, recognised by a 64-bit hash, and collapse before any band key is shuffled. Blank lines always stay.
+With min_words, lines of fewer words stay too (headings, labels, closings), but none whose words have more than 16 characters on
+average, as spaces do not tell their length; op1_line_dedup and the pipeline do without.
 
 Edge cases: a null text counts as empty; an empty text is one empty line, which stays; a null doc_id ranks last; rows that repeat a
 doc_id or have none are separate documents, the later of equal rows loses its lines; an empty table gives an empty result; lines of any length are
-read whole; other columns are ignored by decisions() and kept by dedup_lines().
+read whole; other columns, whatever their names, are ignored by decisions() and kept by dedup_lines().
 """
 
 from __future__ import annotations
@@ -27,58 +28,50 @@ from .shared import Scratch, let
 SHINGLE = 9
 SIGNATURE = 12
 BAND = 3
-MIN_WORDS = 8
 #: min_words that takes every line that is not blank.
 ALL = 0
+#: At each start the shingle is captured and the word, up to eight characters of it, or the other character is passed.
+STARTS = r"(?s)(?=(.{1,%d}))(?:[!-\x{DFF}]{1,%d}+|.)\x20?+" % (SHINGLE, SHINGLE - 1)
 
 
 def plain(line: Column) -> Column:
     return F.trim(F.lower(line))
 
 
-def words(line: Column) -> Column:
-    """Number of words of a plain line."""
-    return F.when(line == "", 0).otherwise(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "))) + 1)
-
-
-def unspaced(line: Column, n_words: Column) -> Column:
-    """Whether spaces do not tell how long a plain line is: its words have more than 16 characters on average."""
-    return F.char_length(line) > 16 * n_words
-
-
-def shingles(line: Column, n_words: Column) -> Column:
+def shingles(line: Column) -> Column:
     """Distinct hashes of the character shingles of a plain line."""
-    at_words = F.regexp_extract_all(line, F.lit(r"(?s)(?<![^ ])(?=([^ ].{0,%d}))" % (SHINGLE - 1)), F.lit(1))
-    everywhere = F.regexp_extract_all(line, F.lit(r"(?s)(?=(.{%d}))" % SHINGLE), F.lit(1))
-    found = F.when(unspaced(line, n_words) | ((n_words < MIN_WORDS) & (F.char_length(line) >= SHINGLE)), everywhere).otherwise(at_words)
-    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
+    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(STARTS), F.lit(1)), lambda s: F.xxhash64(s)))
 
 
-def bands(hashes: Column) -> Column:
-    """Keys of each BAND neighbours among the SIGNATURE smallest hashes; fewer hashes make one key."""
-    low = F.slice(F.sort_array(hashes), 1, SIGNATURE)
-    several = lambda s: F.transform(F.sequence(F.lit(0), F.size(s) - BAND), lambda i: F.xxhash64(*[s[i + j] for j in range(BAND)]))
-    return let(low, lambda s: F.when(F.size(s) >= BAND, several(s)).otherwise(F.array(F.xxhash64(s))))
+def bands(low: Column) -> list[Column]:
+    """Keys of each BAND neighbours among the sorted smallest hashes, null where there are none; fewer hashes make one key."""
+    several = [F.when(F.size(low) >= i + BAND, F.xxhash64(*[F.get(low, F.lit(i + j)) for j in range(BAND)])) for i in range(SIGNATURE - BAND + 1)]
+    return [F.coalesce(several[0], F.xxhash64(low)), *several[1:]]
 
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
-    """(uid, doc_id, line_no, id, n, plain): every line of every document; id is null for lines that stay anyway: blank ones, and spaced ones with fewer than min_words words.
+    """(uid, doc_id, line_no, id, place, plain): every line of every document; id is null for lines that stay anyway: blank ones and spaced ones with fewer than min_words words.
 
-    The columns are made inside the generator, so that no filter or projection above it makes them again.
+    place is a hash of doc_id and line_no, which tells copies of a line apart.
     """
-    seen = lambda p: F.substring(p, 1, 1).between("!", "~") | p.rlike(r"[^\s\p{Z}]")
-    known = lambda p, n: F.struct(F.when(((n >= min_words) | unspaced(p, n)) & seen(p), F.xxhash64(p)).alias("id"), n.alias("n"), p.alias("plain"))
-    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda line: let(plain(line), lambda p: let(words(p), lambda n: known(p, n))))
-    rows = docs.select("uid", "doc_id", F.posexplode(lines).alias("line_no", "x"))
-    return rows.select("uid", "doc_id", "line_no", "x.*")
+    rows = docs.select("uid", "doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    rows = rows.select("uid", "doc_id", "line_no", plain(F.col("line")).alias("plain"))
+    p = F.col("plain")
+    taken = F.substring(p, 1, 1).between("!", "~") | p.rlike(r"[^\s\p{Z}]")
+    if min_words:
+        n = F.size(F.split(p, " "))
+        taken = taken & ((n >= min_words) | (F.char_length(p) > 16 * n))
+    return rows.select("uid", "doc_id", "line_no", F.when(taken, F.xxhash64(p)).alias("id"), F.xxhash64("doc_id", "line_no").alias("place"), "plain")
 
 
-def _verifier(lines: DataFrame, scratch: Scratch):
-    """Verifier of pairs of line ids on whole lines; lines: (id, n, plain). The lines are read once, for all that share a band."""
+def _verifier(lines: DataFrame, distinct: DataFrame, scratch: Scratch):
+    """Verifier of pairs of line ids on whole lines; lines: (id, place, plain), distinct: (id, place). The lines are read once, for all that share a band."""
 
     def verifier(nodes: DataFrame):
-        sets = lines.join(nodes.select(F.col("node").alias("id")), "id").dropDuplicates(["id"]).select("id", shingles(F.col("plain"), F.col("n")).alias("s"))
-        sets = scratch.write(sets)
+        # one copy of each line that is wanted; copies differ in place, so no task gets all copies of a frequent line
+        wanted = distinct.join(nodes.select(F.col("node").alias("id")), "id").select("id", "place")
+        sets = lines.join(wanted, ["id", "place"]).select("id", shingles(F.col("plain")).alias("s"))
+        sets = scratch.write(sets.dropDuplicates(["id"]))
 
         def links(pairs: DataFrame) -> DataFrame:
             both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
@@ -91,37 +84,45 @@ def _verifier(lines: DataFrame, scratch: Scratch):
     return verifier
 
 
-def decisions(docs: DataFrame, min_words: int = MIN_WORDS, scratch: Scratch | None = None) -> DataFrame:
+def decisions(docs: DataFrame, min_words: int = ALL) -> DataFrame:
     """One row per line: uid, doc_id, line_no, keep_doc_id, keep_line_no (of the line that stays for it), kept."""
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
-    return _decisions(rows, min_words, scratch or Scratch(docs.sparkSession))
+    return _decisions(rows, min_words, Scratch(docs.sparkSession))
 
 
 def _decisions(rows: DataFrame, min_words: int, scratch: Scratch) -> DataFrame:
-    """decisions() for rows (uid, doc_id, text)."""
+    """decisions() for rows (uid, doc_id, text); of the scratch tables only those that the result reads are left."""
     lines = lines_of(rows, min_words)
-    keyed = F.when(F.col("id").isNotNull(), bands(shingles(F.col("plain"), F.col("n"))))
-    seen = scratch.write(lines.select("uid", "doc_id", "line_no", "id", keyed.alias("keys")))
-    distinct = seen.where("id is not null").groupBy("id").agg(F.first("keys").alias("keys"))
-    keys = distinct.select(F.explode("keys").alias("key"), F.col("id").alias("node"), F.lit(0).alias("slack"))
-    found = linked_by_keys(keys, _verifier(lines.select("id", "n", "plain").where("id is not null"), scratch), scratch)
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid", "line_no")
-    named = seen.select("uid", "doc_id", "line_no", "id").join(found.select(F.col("node").alias("id"), "component"), "id", "left")
-    named = named.select("uid", "doc_id", "line_no", F.coalesce("component", "id").alias("c"))
-    first = named.where("c is not null").groupBy("c").agg(F.min(place).alias("keep"))
+    low = F.when(F.col("id").isNotNull(), F.slice(F.sort_array(shingles(F.col("plain"))), 1, SIGNATURE))
+    signed = lines.select("uid", "doc_id", "line_no", "id", "place", low.alias("low"))
+    names = [f"k{i}" for i in range(SIGNATURE - BAND + 1)]
+    seen = scratch.write(signed.select("uid", "doc_id", "line_no", "id", "place", *[k.alias(n) for n, k in zip(names, bands(F.col("low")), strict=True)]), hashes=True)
+    # values of fixed width, so that equal lines are combined by hash before the shuffle
+    distinct = scratch.write(seen.where("id is not null").groupBy("id").agg(F.min("place").alias("place"), F.count("*").alias("copies"), *[F.max(n).alias(n) for n in names]), hashes=True)
+    keys = distinct.select(F.explode(F.array_compact(F.array(*names))).alias("key"), F.col("id").alias("node"), F.lit(0).alias("slack"))
+    found = linked_by_keys(keys, _verifier(lines.select("id", "place", "plain").where("id is not null"), distinct, scratch), scratch)
+
+    # only lines with copies or links go on to be grouped
+    same = distinct.where("copies > 1").select("id").join(found.select(F.col("node").alias("id")), "id", "left_anti").select("id", F.col("id").alias("c"))
+    groups = found.select(F.col("node").alias("id"), F.col("component").alias("c")).unionByName(same)
+    named = scratch.write(seen.select("uid", "doc_id", "line_no", "id").join(groups, "id", "left").select("uid", "doc_id", "line_no", "c"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid", "line_no")
+    # a table of its own, so that the join has an exchange on either side and the rows of a frequent line can be split
+    first = scratch.write(named.where("c is not null").groupBy("c").agg(F.min(order).alias("keep")))
     shared = named.where("c is not null").join(first, "c").select("uid", "doc_id", "line_no", F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no"), ((F.col("keep.uid") == F.col("uid")) & (F.col("keep.line_no") == F.col("line_no"))).alias("kept"))
+    scratch.keep(named, first)
     alone = named.where("c is null").select("uid", "doc_id", "line_no", F.col("doc_id").alias("keep_doc_id"), F.col("line_no").alias("keep_line_no"), F.lit(True).alias("kept"))
     return shared.unionByName(alone)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, scratch: Scratch | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = ALL) -> DataFrame:
     """docs without the dropped lines; rows that had lines and are left with none are dropped. Each row loses its own lines only."""
-    scratch = scratch or Scratch(docs.sparkSession)
-    rows = scratch.write(docs.withColumn("_uid", F.monotonically_increasing_id()))
-    said = _decisions(rows.select(F.col("_uid").alias("uid"), "doc_id", "text"), min_words, scratch)
-    gone = said.where("not kept").groupBy(F.col("uid").alias("_uid")).agg(F.collect_set("line_no").alias("_gone"))
-    both = rows.join(gone, "_uid", "left")
-    left = let(F.split("text", "\n"), lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone")), lambda i: lines[i]))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    out = both.withColumn("text", text).where(F.col("_gone").isNull() | F.col("text").rlike(r"[^\s\p{Z}]"))
-    return out.select(*docs.columns)
+    scratch, inner = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
+    rows = scratch.write(docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest")))
+    said = _decisions(rows.select("uid", "doc_id", "text"), min_words, inner)
+    gone = scratch.write(said.where("not kept").groupBy("uid").agg(F.collect_set("line_no").alias("gone")))
+    inner.keep()
+    left = let(F.split("text", "\n"), lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: lines[i]))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    out = rows.join(gone, "uid", "left").select("gone", text.alias("text"), "rest").where(F.col("gone").isNull() | F.col("text").rlike(r"[^\s\p{Z}]"))
+    return out.select(*[F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns])

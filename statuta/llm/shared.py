@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,31 +29,53 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _clear(spark: SparkSession, root: str) -> None:
+    """At the end of the driver, as results are lazy and may read their tables until then."""
+    with contextlib.suppress(Py4JError, OSError, AttributeError):  # the JVM may have gone before
+        _delete(spark, root)
+
+
 class Scratch:
-    """Tables written to the shared folder; each cuts the lineage, so a lost executor costs one stage."""
+    """Tables written to the shared folder; each cuts the lineage, so a lost executor costs one stage. What is left goes when the driver ends."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{scratch_root(spark)}/statuta-{uuid.uuid4().hex}"
+        self.paths: list[str] = []
         self.n = 0
 
-    def write(self, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    def write(self, df: DataFrame, hashes: bool = False) -> DataFrame:
+        """df as a table of its own; hashes: its columns are mostly hashes, for which building dictionaries is wasted work."""
+        if not self.n:
+            atexit.register(_clear, self.spark, self.root)
         self.n += 1
         path = f"{self.root}/{self.n}"
         writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
+        if hashes:
+            writer = writer.option("parquet.enable.dictionary", "false")
         writer.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path) if not partition_by else self.spark.read.parquet(path)
+        self.paths.append(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         """Remove tables that nothing reads any more."""
-        jvm = self.spark._jvm
         for t in tables:
-            path = jvm.org.apache.hadoop.fs.Path(t._scratch_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.paths.remove(t._scratch_path)
+            _delete(self.spark, t._scratch_path)
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Remove all other tables; for the end of an operator whose result reads these alone."""
+        stay = {t._scratch_path for t in tables}
+        for path in [p for p in self.paths if p not in stay]:
+            self.paths.remove(path)
+            _delete(self.spark, path)
 
 
 def lower_ascii(text: Column) -> Column:
