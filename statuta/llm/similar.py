@@ -211,7 +211,7 @@ class _Join:
 
 
 def _grouped(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """rows: (uid, doc_id, text), as materialised. (uid, doc_id, n, c) of every row: the size of its set and its group, null for empty sets."""
+    """rows: (uid, doc_id, text), as materialised. (uid, doc_id, n, c) of every row: the size of its set and its group, null for empty sets. The only table left in scratch."""
     importable(rows.sparkSession)
     nodes = scratch.write(rows.mapInArrow(_nodes, "uid long, doc_id long, node long, n long, level int, bits array<long>"))
     join = _Join(rows, nodes, scratch)
@@ -219,14 +219,17 @@ def _grouped(rows: DataFrame, scratch: Scratch) -> DataFrame:
     final = linked_by_keys(rows.select("text").mapInArrow(_keys, "key long, node long, slack int"), lambda _: join.links, scratch, join.near)
 
     own = nodes.where("level >= -1").select("uid", "doc_id", "node", "n").join(final, "node", "left")
-    return scratch.write(own.select("uid", "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("c")))
+    own = scratch.write(own.select("uid", "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("c")))
+    scratch.keep(own)
+    return own
 
 
 def linked_components(docs: DataFrame) -> DataFrame:
     """docs: (doc_id, text). One row per document: doc_id, n_shingles, component_id."""
     scratch = Scratch(docs.sparkSession)
     rows = scratch.write(docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long"), "text"))
-    own = _grouped(rows, scratch)
+    own = _grouped(rows, Scratch(docs.sparkSession))
+    scratch.keep()
     named = own.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id"))
     full = own.where("c is not null").join(named, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return full.unionByName(own.where("c is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
@@ -236,7 +239,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """docs with one row of each component, the first by doc_id (null last) and place; rows with an empty set link with nothing and stay."""
     scratch = Scratch(docs.sparkSession)
     rows = scratch.write(docs.withColumn("_uid", F.monotonically_increasing_id()))
-    own = _grouped(rows.select(F.col("_uid").alias("uid"), F.col("doc_id").cast("long"), "text"), scratch)
+    own = _grouped(rows.select(F.col("_uid").alias("uid"), F.col("doc_id").cast("long"), "text"), Scratch(docs.sparkSession))
     first = own.where("c is not null").groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("keep"))
     stay = first.select(F.col("keep.uid").alias("_uid")).unionByName(own.where("c is null").select(F.col("uid").alias("_uid")))
     return rows.join(stay, "_uid", "left_semi").select(*docs.columns)
