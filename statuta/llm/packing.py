@@ -1,12 +1,16 @@
 """Operator 5: best-fit-decreasing packing of tokenised documents into sequences of a fixed capacity.
 
-Documents are tokenised where they are read and cut into pieces of at most one capacity; only (piece, length) rows travel. The
-pieces are dealt by a hash of their row number to groups of bounded size, and each group is packed best-fit decreasing: a segment
-tree over remaining capacities finds the tightest open sequence for each piece in logarithmic time. Each group leaves at most one
-sequence less than half full that a single packing could have saved, one in several thousand.
+Documents are tokenised where they are read and cut into pieces of at most one capacity; only (piece, length) rows travel. All pieces
+of the table are packed together: there are at most `capacity` different lengths, so the driver packs their counts, length by length,
+and the tightest open sequences for each come from a segment tree over remaining capacities in logarithmic time. Sequences that
+are filled alike are handled as one run, and pieces find their place by their rank among the pieces of their length, which is a count
+of each task plus a running sum over tasks. The number of sequences is that of best-fit decreasing over the whole table.
 
-Edge cases: a null or empty text is the end token alone; rows that repeat a doc_id are packed each on its own; an empty table gives
-an empty result; other columns are ignored; a text of any length is tokenised whole.
+The plan is bounded whatever the table holds: a length adds at most four runs, and a run that takes pieces of length n keeps less than
+half of its room, so it is touched at most 13 times: 13 * 4 * 4096 rows of five numbers for a capacity of 4096.
+
+Edge cases: a null or empty text is the end token alone; a null doc_id stays null and others keep all 64 bits; rows that repeat a
+doc_id are packed each on its own; an empty table gives an empty result; other columns are ignored; a text of any length is tokenised whole.
 """
 
 from __future__ import annotations
@@ -16,19 +20,17 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import Scratch, importable
 
 CAPACITY = 4096
 END = 1
-#: Pieces packed together: bounds the memory of a task.
-GROUP = 1 << 14
-#: Words whose ids a worker remembers; a full memory is emptied.
-REMEMBERED = 1_000_000
+#: Words whose ids a worker remembers in each of two generations: a full one becomes the older one, from which words in use come back.
+REMEMBERED = 1 << 18
 
 _loaded: dict[str, Words] = {}
 
@@ -49,9 +51,13 @@ class Words(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.parts: dict[str, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if self.ASCII.fullmatch(word):
+        out = self.older.get(word)
+        if out is not None:
+            pass
+        elif self.ASCII.fullmatch(word):
             out = b"".join([self.part(p) for p in self.PARTS.findall(word.decode())])
         else:
             out = self.whole(word.decode())
@@ -72,6 +78,7 @@ class Words(dict):
         if b"<|" in raw:  # may spell a special token, which the tokenizer finds before anything else
             return self.whole(text)
         if len(self) > REMEMBERED:
+            self.older = dict(self)
             self.clear()
             self.parts.clear()
         return b"".join(map(self.__getitem__, raw.split()))
@@ -84,28 +91,31 @@ def _words(path: str) -> Words:
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32[, ids]): every document's ids and end token, cut at the capacity."""
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    """(doc_id, piece, start, length, ids_crc32, task, nth[, ids]): every document's ids and end token, cut at the capacity; nth counts the task's pieces of this length from 0."""
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth", "ids"][: 7 + with_ids]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long" + ", ids binary" * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end, step = _words(tokenizer_path), END.to_bytes(4, "little"), 4 * capacity
+        task, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in batches:
-            rows: list[list] = [[] for _ in range(5 + with_ids)]
+            rows: list[list] = [[] for _ in names]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = words.ids(text.as_py()) + end
                 for n, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
-                    for column, value in zip(rows, (doc, n, at // 4, len(part) // 4, zlib.crc32(part), part), strict=False):
+                    length = len(part) // 4
+                    for column, value in zip(rows, (doc, n, at // 4, length, zlib.crc32(part), task, seen[length], part), strict=False):
                         column.append(value)
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, types, strict=False)], names[: len(rows)])
+                    seen[length] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, types, strict=False)], names)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
 
 
 class Tightest:
-    """Segment tree over the remaining capacities 0..capacity: how many open sequences have each."""
+    """Segment tree over the remaining capacities 0..capacity: how many runs of open sequences have each."""
 
     def __init__(self, capacity: int):
         self.size = 1 << capacity.bit_length()
@@ -118,7 +128,7 @@ class Tightest:
             i >>= 1
 
     def find(self, least: int) -> int:
-        """The smallest remaining capacity of an open sequence that is at least `least`, or -1."""
+        """The smallest remaining capacity of open sequences that is at least `least`, or -1."""
         i, count, size = least + self.size, self.count, self.size
         if count[i]:
             return least
@@ -132,37 +142,69 @@ class Tightest:
         return -1
 
 
-def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence number and offset of each length, all at most capacity."""
-    order = np.argsort(-lengths, kind="stable")
-    sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
-    tree, open_at, opened = Tightest(capacity), [[] for _ in range(capacity + 1)], 0
-    for i, n in zip(order.tolist(), lengths[order].tolist(), strict=True):
-        room = tree.find(n)
-        if room < 0:
-            s, room, opened = opened, capacity, opened + 1
-        else:
-            s = open_at[room].pop()
-            tree.add(room, -1)
-        sequence[i], offset[i] = s, capacity - room
-        if room > n:
-            open_at[room - n].append(s)
-            tree.add(room - n, 1)
-    return sequence, offset
-
+def best_fit_decreasing(counts: dict[int, int], capacity: int) -> np.ndarray:
+    """Best-fit decreasing of counts[n] pieces of each length n. Rows (length, rank, sequence, each, offset), by length and rank.
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
+    The pieces of a length from `rank` on, up to the next row's, go to the sequences from `sequence` on, `each` of them to one, the
+    first of these at `offset`. Any sequence of the tightest room takes as many pieces of a length as fit before the next one does.
+    """
+    tree, open_at, opened, plan = Tightest(capacity), [[] for _ in range(capacity + 1)], 0, []
+
+    def leave(first: int, many: int, room: int) -> None:
+        if many and room:
+            open_at[room].append((first, many))
+            tree.add(room, 1)
+
+    for n in sorted(counts, reverse=True):
+        left, rank = counts[n], 0
+        while left:
+            room = tree.find(n)
+            if room < 0:
+                room, each = capacity, capacity // n
+                first, many = opened, -(-left // each)
+                opened += many
+            else:
+                first, many = open_at[room].pop()
+                tree.add(room, -1)
+                each = room // n
+            plan.append((n, rank, first, each, capacity - room))
+            full = min(many, left // each)
+            leave(first, full, room - each * n)
+            rank, left = rank + full * each, left - full * each
+            if left and full < many:
+                leave(first + full, 1, room - left * n)
+                full, left = full + 1, 0
+            leave(first + full, many - full, room)
+    return np.array(sorted(plan), np.int64).reshape(-1, 5)
+
+
+def placed(plan: np.ndarray, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of pieces, given their lengths and their ranks among the pieces of the same length."""
+    row = np.empty(len(length), np.int64)
+    for n in np.unique(length):
+        mine = length == n
+        a, b = np.searchsorted(plan[:, 0], [n, n + 1])
+        row[mine] = a + np.searchsorted(plan[a:b, 1], rank[mine], "right") - 1
+    _, begin, sequence, each, offset = plan[row].T
+    past = rank - begin
+    return sequence + past // each, offset + past % each * length
+
+
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     importable(docs.sparkSession)
-    scratch = Scratch(docs.sparkSession)
-    table = scratch.write(pieces(docs, tokenizer_path, capacity))
-    groups = max(1, -(-table.count() // group))
-
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable")
-        s, o = best_fit_decreasing(pdf["length"].to_numpy(), capacity)
-        return pdf.assign(sequence_id=pdf["g"].to_numpy() * (1 << 32) + s, offset=o).drop(columns="g")
-
-    dealt = table.withColumn("g", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return dealt.groupBy("g").applyInPandas(place, schema)
+    table = Scratch(docs.sparkSession).write(pieces(docs, tokenizer_path, capacity))
+    # at most one row for each length up to the capacity
+    plan = best_fit_decreasing({r["length"]: r["n"] for r in table.groupBy("length").agg(F.count("*").alias("n")).collect()}, capacity)
+    earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = table.groupBy("task", "length").agg(F.count("*").alias("n"))
+    tasks = tasks.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    kept = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    ranked = table.join(tasks, ["task", "length"]).select(*kept, (F.col("before") + F.col("nth")).alias("rank"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            where = placed(plan, *(batch.column(c).to_numpy(zero_copy_only=False) for c in (3, 5)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], *map(pa.array, where)], [*kept, "sequence_id", "offset"])
+
+    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
