@@ -63,6 +63,43 @@ def test_recall_on_the_given_table(spark):
         assert found == sorted(found, key=lambda x: (-x[1], x[0]))
 
 
+def test_share_of_rows_scanned(spark):
+    """Vectors in groups are found among few rows; the given vectors are isotropic, so most rows are read there."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(40, 16))
+    rows = [(i, (3 * centres[i % 40] + rng.normal(size=16)).tolist()) for i in range(4000)]
+    want = _brute(rows, 20, 20)
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    hits = sum(r["vec_id"] in {v for v, _ in want[r["query_id"]]} for r in got)
+    assert hits >= 0.9 * sum(map(len, want.values())) and np.mean([r["scanned"] for r in got]) < 0.35 * len(rows)
+    given = neighbours.search(spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")).select("scanned").collect()
+    assert np.mean([r["scanned"] for r in given]) < 0.9 * 500
+
+
+def test_repeated_ids_are_rows_of_their_own(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(200)]
+    rows.append((20, rows[21][1]))
+    got = defaultdict(list)
+    for r in neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), parts=1).collect():
+        got[r["query_id"]].append((r["vec_id"], round(r["score"], 9)))
+    x = np.array([v for _, v in rows])
+    want = []
+    for i in (20, 200):
+        s = (x * x[i]).sum(axis=1)
+        s[i] = -np.inf
+        want += [(rows[j][0], round(s[j], 9)) for j in np.lexsort(([r[0] for r in rows], -s))[:20]]
+    assert sorted(got[20]) == sorted(want) and all(len(v) == 20 for q, v in got.items() if q != 20)
+
+
+def test_queries_of_small_partitions_reach_k_rows(spark):
+    """As many neighbours as there are, though the visited partitions are small."""
+    rng = np.random.default_rng(6)
+    rows = [(i, (8 * np.eye(8)[i % 8] + rng.normal(size=8)).tolist()) for i in range(100)]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), query_step=5).groupBy("query_id").count().collect()
+    assert len(got) == 20 and all(r["count"] == 20 for r in got)
+
+
 def test_copies_ties_and_bad_vectors(spark):
     rng = np.random.default_rng(7)
     good = [(i, (v := rng.normal(size=8)).astype("float32").tolist()) for i in range(300)]
