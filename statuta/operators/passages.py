@@ -101,7 +101,7 @@ def changed_articles(text: Column) -> Column:
 
 def operative_points(text: Column) -> Column:
     """X-09: points of a ruling's operative part: array of (article, verdict)."""
-    found = F.regexp_extract_all(text, F.lit(r"(?is)(art\.\s*\d+[a-z]*.{0,400}?(?:jest|są)\s+(?:niezgodn\w+|zgodn\w+))"), F.lit(1))
+    found = F.regexp_extract_all(text, F.lit(r"(?is)(art\.\s*\d+[a-z]*.*?(?:jest|są)\s+(?:niezgodn\w+|zgodn\w+))"), F.lit(1))
     return F.transform(found, lambda p: F.struct(F.regexp_extract(p, r"(?i)art\.\s*(\d+[a-z]*)", 1).alias("article"), F.when(F.lower(p).contains("niezgodn"), "void").otherwise("valid").alias("verdict")))
 
 

@@ -48,9 +48,14 @@ def page_status(total: Column, number: Column, size: Column, rows: Column, windo
 
 
 def resolve_prefix(asked: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """F-09: asked (q) against dictionary (name): 'one' with the name, 'none' or 'many'. An exact name wins."""
-    hit = asked.join(dictionary, F.lower("name").startswith(F.lower("q")), "left")
-    n = hit.groupBy("q").agg(F.count("name").alias("n"), F.max(F.when(F.lower("name") == F.lower("q"), F.col("name"))).alias("exact"), F.min("name").alias("first"))
+    """F-09: asked (q) against dictionary (name): 'one' with the name, 'none' or 'many'. An exact name wins.
+
+    Names are spelled out to their prefixes and counted by prefix, so the join is on equality.
+    """
+    low = F.lower("name")
+    prefixes = dictionary.select("name", F.explode(F.transform(F.sequence(F.lit(0), F.char_length(low)), lambda n: F.left(low, n))).alias("p"))
+    counted = prefixes.groupBy("p").agg(F.count("name").alias("n"), F.max(F.when(low == F.col("p"), F.col("name"))).alias("exact"), F.min("name").alias("first"))
+    n = asked.select("q").distinct().withColumn("p", F.lower("q")).join(counted, "p", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return n.select("q", F.when(F.col("exact").isNotNull() | (F.col("n") == 1), "one").when(F.col("n") == 0, "none").otherwise("many").alias("outcome"), F.coalesce("exact", F.when(F.col("n") == 1, F.col("first"))).alias("name"))
 
 
@@ -77,10 +82,23 @@ def zero_reasons(**filters: Column) -> Column:
     return F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in filters.items()])), ", ")
 
 
+def _shortened(word: Column, most: int) -> Column:
+    """The word and what is left of it without any one to `most` of its characters."""
+    every = last = F.array(word)
+    for _ in range(most):
+        without = lambda w: F.transform(F.filter(F.sequence(F.lit(0), F.char_length(w)), lambda i: i > 0), lambda i: F.concat(F.left(w, i - 1), F.substr(w, i + 1)))
+        last = F.array_distinct(F.flatten(F.transform(last, without)))
+        every = F.array_union(every, last)
+    return every
+
+
 def suggestions(words: DataFrame, dictionary: DataFrame, most: int = 2, k: int = 3) -> DataFrame:
-    """D-13: (word) to up to k dictionary entries (name) within an edit distance; candidates share their first letter, so the join has a key."""
-    left = words.select("word", F.lower(F.left("word", F.lit(1))).alias("c"))
-    right = dictionary.select("name", F.lower(F.left("name", F.lit(1))).alias("c"))
-    near = left.join(right, "c").withColumn("distance", F.levenshtein(F.lower("word"), F.lower("name"), most)).where("distance >= 0")
+    """D-13: (word) to up to k dictionary entries (name) within an edit distance.
+
+    Two words within the distance become equal when up to `most` characters are taken from each, so the join is on those forms.
+    """
+    left = words.select("word", F.explode(_shortened(F.lower("word"), most)).alias("form"))
+    right = dictionary.select("name", F.explode(_shortened(F.lower("name"), most)).alias("form"))
+    near = left.join(right, "form").select("word", "name").distinct().withColumn("distance", F.levenshtein(F.lower("word"), F.lower("name"), most)).where("distance >= 0")
     rank = F.row_number().over(Window.partitionBy("word").orderBy("distance", "name"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("word", "rank", "name", "distance")

@@ -34,7 +34,11 @@ def finality(marks: Column) -> Column:
     return F.when(F.size(marks) > 0, F.forall(marks, lambda m: m))
 
 
-def undermined(comments: Column, status: Column, neutral: str = r"(?i)potwierdzona prawomocnym wyrokiem|nie wygasł") -> Column:
+# Comments on a ruling that do not question it.
+NEUTRAL = ("potwierdzona prawomocnym wyrokiem", "nie wygasł")
+
+
+def undermined(comments: Column, status: Column, neutral: str = "(?i)" + "|".join(NEUTRAL)) -> Column:
     """V-07: whether any comment is not neutral or any status is not current."""
     return F.exists(comments, lambda c: ~c.rlike(neutral)) | F.exists(status, lambda s: (s != "") & (F.lower(s) != "aktualna"))
 

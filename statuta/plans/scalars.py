@@ -16,14 +16,14 @@ from ..functions import dates, identifiers, text, values
 CASES: dict[str, tuple[str, Callable[[], Column], list[tuple[tuple, str | None]]]] = {
     "act_signature": ("s string", lambda: identifiers.act_path(F.col("s")), [
         (("Dz.U. 2024 poz. 18",), "/acts/DU/2024/18"), (("WDU20240000018",), "/acts/WDU20240000018"), (("DU/2024/18",), "/acts/DU/2024/18"),
-        (("M.P. 2023 poz. 7",), "/acts/MP/2023/7"), (("DU 2024 018",), "/acts/DU/2024/18"), (("no number",), None)]),
+        (("M.P. 2023 poz. 7",), "/acts/MP/2023/7"), (("DU 2024 018",), "/acts/DU/2024/18"), (("no number",), None), (("poz. 55 z 2021",), "/acts/DU/2021/55")]),
     "celex_norm": ("s string", lambda: identifiers.celex(F.col("s")), [
         (("reg/2016/679",), "32016R0679"), (("CELEX:32016R0679",), "32016R0679"), (("02016R0679-20160504",), "02016R0679-20160504"),
         (("http://data.europa.eu/eli/dir/2019/790/oj",), "32019L0790"), (("12012P/TXT",), "12012P/TXT"), (("regulation",), None)]),
     "celex_base": ("s string", lambda: identifiers.base_of_consolidated(F.col("s")), [
         (("02016R0679-20160504",), "32016R0679"), (("32016R0679",), "32016R0679")]),
     "urn_of_signature": ("s string", lambda: identifiers.urn(F.col("s")), [
-        (("DKN.5131.9.2025",), "urn:ndoc:gov:pl:uodo:2025:dkn_5131_9"), (("II SA/Wa 1030/19",), "urn:ndoc:court:pl:sa:2019:ii_sa-wa_1030"),
+        (("DKN.5131.9.2025",), "urn:ndoc:gov:pl:uodo:2025:dkn_5131_9"), (("II SA/Wa 1030/19",), "urn:ndoc:court:pl:sa:2019:ii_sa-wa_1030"), (("I SAB/Kr 7/2020",), "urn:ndoc:court:pl:sa:2020:i_sab-kr_7"), (("V ACa 12/98",), "urn:ndoc:court:pl:sp:1998:v_aca_12"),
         (("III OSK 3945/21",), "urn:ndoc:court:pl:sa:2021:iii_osk_3945"), (("ZSOŚS.421.25.2019",), "urn:ndoc:gov:pl:uodo:2019:zsoss_421_25"), (("URN:X",), "urn:x"), (("DKN",), None)]),
     "signature_of_urn": ("s string", lambda: identifiers.signature_of_urn(F.col("s")), [
         (("urn:ndoc:court:pl:sa:2019:ii_sa-wa_1030",), "II SA/Wa 1030/19"), (("urn:ndoc:court:pl:sa:2021:iii_osk_3945",), "III OSK 3945/21"),
@@ -33,7 +33,7 @@ CASES: dict[str, tuple[str, Callable[[], Column], list[tuple[tuple, str | None]]
     "case_number": ("s string", lambda: F.concat_ws("|", identifiers.case_number(F.col("s")), identifiers.case_year(F.col("s")).cast("string")), [
         ((" ii  ca 5/16 ",), "II CA 5/16|2016"), (("I C 9/99",), "I C 9/99|1999"), (("I C 9/2021",), "I C 9/2021|2021"), (("x",), "X")]),
     "court_of_signature": ("s string", lambda: identifiers.court_of(F.col("s")), [
-        (("KIO 12/20",), "NATIONAL_APPEAL_CHAMBER"), (("K 35/15",), "CONSTITUTIONAL_TRIBUNAL"), (("III CZP 81/16",), "SUPREME"), (("I ACa 5/20",), "COMMON"), (("abc",), None)]),
+        (("KIO 12/20",), "NATIONAL_APPEAL_CHAMBER"), (("K 35/15",), "CONSTITUTIONAL_TRIBUNAL"), (("III CZP 81/16",), "SUPREME"), (("I ACa 5/20",), "COMMON"), (("II Xyz 5/20",), None), (("IV K 7/21",), "COMMON"), (("abc",), None)]),
     "organ_mark": ("s string", lambda: identifiers.organ_mark(F.col("s")), [(("decyzja DKN.5131.9.2025 z dnia",), "DKN.5131.9.2025"), (("bez znaku",), None)]),
     "judgment_signatures": ("s string", lambda: F.array_join(identifiers.judgment_signatures(F.col("s")), "; "), [
         (("por. II SA/Wa 1030/19, III OSK 377/23 i II SA/Wa 1030/19",), "II SA/Wa 1030/19; III OSK 377/23"), (("nic",), "")]),
@@ -47,7 +47,7 @@ CASES: dict[str, tuple[str, Callable[[], Column], list[tuple[tuple, str | None]]
         (("art. 4¹",), "4^1"), (("art. 4(1)",), "4^1"), (("Art. 4^1",), "4^1"), (("art. 130(1a)",), "130^1a"), (("art. 5b",), "5b"), (("§ 5",), "")]),
     "unit_key": ("s string", lambda: identifiers.unit_key(F.col("s")), [(("5b",), "5b"), (("4 1",), "4^1"), (("477 6 a",), "477^6a"), (("",), "")]),
     "article_list": ("s string", lambda: F.concat_ws("|", F.array_join(identifiers.unit_list(F.col("s"))["keys"], ","), F.array_join(identifiers.unit_list(F.col("s"))["ranges"], ",")), [
-        (("5, 6 i 8",), "5,6,8|"), (("art. 5–7",), "5,6,7|"), (("479 88a–479 88j",), "479^88a,479^88j|479^88a..479^88j"), (("4 1 i 4 2",), "4^1,4^2|")]),
+        (("5, 6 i 8",), "5,6,8|"), (("art. 5–7",), "5,6,7|"), (("479 88a–479 88j",), "479^88a,479^88j|479^88a..479^88j"), (("4 1 i 4 2",), "4^1,4^2|"), (("art. 7a oraz 9–2",), "2,7a,9|9..2")]),
     "range_membership": ("k string, a string, b string", lambda: identifiers.in_range(F.col("k"), F.col("a"), F.col("b")).cast("string"), [
         (("479^88c", "479^88a", "479^88j"), "true"), (("480", "479^88a", "479^88j"), "false"), (("x", "1", "2"), "false")]),
     "title_identity": ("a string, b string", lambda: identifiers.same_act(F.col("a"), F.col("b")).cast("string"), [
@@ -55,8 +55,8 @@ CASES: dict[str, tuple[str, Callable[[], Column], list[tuple[tuple, str | None]]
     "follow_up_query": ("n string, c string", lambda: identifiers.follow_up(F.col("n"), F.col("c")), [
         (("I C 5/20", "SO Warszawa"), 'signature "I C 5/20" --court "SO Warszawa"'), (("I C 5/20", None), 'signature "I C 5/20"')]),
     "voided_units": ("s string", lambda: F.array_join(identifiers.voided_units(F.col("s")), "; "), [
-        (("stwierdzające nieważność § 3 ust. 1 i ust. 2 oraz § 9 ust. 1 załącznika do uchwały",), "§ 3; § 9"),
-        (("nieważność uchwały w części dotyczącej § 5, z dnia",), "§ 5"), (("stwierdzające częściową nieważność uchwały",), "")]),
+        (("Sąd stwierdza nieważność § 4 ust. 2, § 11 i § 4 ust. 5 regulaminu do zarządzenia wójta",), "§ 4; § 11"),
+        (("nieważność zarządzenia w części obejmującej art. 6a i § 2, w pozostałej oddala § 9",), "art. 6a; § 2"), (("nieważność rozporządzenia w całości",), "")]),
     "polish_date": ("s string", lambda: dates.polish_date(F.col("s")).cast("string"), [
         (("9 listopada 2021",), "2021-11-09"), (("Warszawa, dnia 22 października 2021 r.",), "2021-10-22"), (("2021-02-03",), "2021-02-03"), (("31 lutego 2021",), None), (("x",), None)]),
     "date_in_words": ("s string", lambda: dates.in_words(F.col("s").cast("date")), [(("2021-11-09",), "9 listopada 2021 r.")]),
@@ -67,7 +67,7 @@ CASES: dict[str, tuple[str, Callable[[], Column], list[tuple[tuple, str | None]]
     "partial_date_range": ("s string", lambda: F.concat_ws("..", dates.widened(F.col("s"), False).cast("string"), dates.widened(F.col("s"), True).cast("string")), [
         (("2024",), "2024-01-01..2024-12-31"), (("2024-02",), "2024-02-01..2024-02-29"), (("2024-02-05",), "2024-02-05..2024-02-05"), (("2024-13",), "")]),
     "last_entry_date": ("s string", lambda: F.concat_ws("|", dates.entry_date(F.col("s")).cast("string"), dates.undated_entry(F.col("s"))), [
-        (("która wejdzie w życie z dniem 14 października 2026 r.; wejdzie w życie z dniem 1 listopada 2028 r.",), "2028-11-01|"),
+        (("rozdział drugi wejdzie w życie z dniem 3 maja 2027 r., pozostałe wejdzie w życie z dniem 9 czerwca 2029 r.",), "2029-06-09|"),
         (("wejdzie w życie z dniem określonym w komunikacie",), "announcement"), (("wejdzie w życie po upływie 7 dni",), "unknown"), (("zmieniony",), "")]),
     "swapped_dates": ("a string, b string", lambda: F.concat_ws("..", dates.ordered_dates(F.col("a"), F.col("b"))["made"], dates.ordered_dates(F.col("a"), F.col("b"))["published"]), [
         (("2024-03-01", "2024-02-01"), "2024-02-01..2024-03-01"), (("2024-01-01", "2024-02-01"), "2024-01-01..2024-02-01")]),

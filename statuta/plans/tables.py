@@ -386,9 +386,12 @@ def parties_stable_order(t):
 
 @query("""SELECT o_custkey, array_to_string(p[1:3], ', ') || CASE WHEN len(p) > 3 THEN ' (+' || (len(p) - 3) || ')' ELSE '' END AS newest FROM (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey DESC) AS p FROM orders GROUP BY 1)""")
 def topk_more(t):
-    """L-08."""
-    p = t.orders.groupBy("o_custkey").agg(F.transform(F.sort_array(F.collect_list("o_orderkey"), asc=False), lambda x: x.cast("string")).alias("p"))
-    return p.select("o_custkey", values.first_and_more(F.col("p"), 3).alias("newest"))
+    """L-08: ranked before anything is collected, so that a list never holds more than it shows."""
+    w = Window.partitionBy("o_custkey")
+    top = t.orders.select("o_custkey", "o_orderkey", F.row_number().over(w.orderBy(F.col("o_orderkey").desc())).alias("i")).where("i <= 3")
+    shown = top.groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "o_orderkey"))), lambda x: x["o_orderkey"].cast("string")), ", ").alias("p"))
+    more = t.orders.groupBy("o_custkey").agg((F.count("*") - 3).alias("more"))
+    return shown.join(more, "o_custkey").select("o_custkey", F.concat("p", F.when(F.col("more") > 0, F.format_string(" (+%d)", "more")).otherwise("")).alias("newest"))
 
 
 @query("""SELECT o_orderkey, buyer OR other AS any_role, buyer, other FROM (SELECT l_orderkey AS o_orderkey, bool_or(f = 1 AND l_suppkey % 7 = 0) AS buyer, bool_or(f > 1 AND l_suppkey % 7 = 0) AS other FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS f FROM lineitem) GROUP BY 1)""")
