@@ -102,3 +102,17 @@ def suggestions(words: DataFrame, dictionary: DataFrame, most: int = 2, k: int =
     near = left.join(right, "form").select("word", "name").distinct().withColumn("distance", F.levenshtein(F.lower("word"), F.lower("name"), most)).where("distance >= 0")
     rank = F.row_number().over(Window.partitionBy("word").orderBy("distance", "name"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("word", "rank", "name", "distance")
+
+
+def complete_paging(found: DataFrame, total: int, stall: int = 2) -> DataFrame:
+    """L-05: found (round, id), pages of a source whose order is not stable, fetched in rounds. (round, new, seen, state), up to the round that ends it.
+
+    state: COMPLETE when all `total` ids have been seen, STALLED after `stall` rounds without a new one, else MORE.
+    """
+    first = found.groupBy("id").agg(F.min("round").alias("round")).groupBy("round").agg(F.count("*").alias("new"))
+    rounds = found.select("round").distinct().join(first, "round", "left").select("round", F.coalesce("new", F.lit(0)).alias("new"))
+    w = Window.orderBy("round")  # one row a round
+    rounds = rounds.withColumn("seen", F.sum("new").over(w)).withColumn("late", F.sum("new").over(w.rowsBetween(-(stall - 1), 0))).withColumn("nth", F.row_number().over(w))
+    state = F.when(F.col("seen") >= total, "COMPLETE").when((F.col("late") == 0) & (F.col("nth") >= stall), "STALLED").otherwise("MORE")
+    ended = F.coalesce(F.max((F.col("state") != "MORE").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rounds.withColumn("state", state).withColumn("ended", ended).where("ended = 0").select("round", "new", "seen", "state")

@@ -73,3 +73,24 @@ def depth_tree(nodes: DataFrame, node: str, parent: str, levels: int) -> DataFra
         level = nodes.join(up, F.col(parent) == F.col("_p")).select(F.col(node), F.lit(d).alias("depth"), F.concat_ws("/", "_path", F.col(node).cast("string")).alias("path"))
         out = out.unionByName(level)
     return out
+
+
+def article_currency(asked: DataFrame, changes: DataFrame, contained: DataFrame, checked: DataFrame) -> DataFrame:
+    """V-02: asked (act, article) against changes (act, article or null for an unnamed one, amendment), less those contained (act, amendment) in the text.
+
+    (act, article, verdict, amendments): CHANGED by an amendment that names the article, UNSURE if one may concern it or the act is not
+    among the checked (act), else CURRENT; amendments: how many were not contained and name the article.
+    """
+    later = changes.join(contained, ["act", "amendment"], "left_anti")
+    named = later.where("article is not null").groupBy("act", "article").agg(F.count_distinct("amendment").alias("amendments"))
+    vague = later.where("article is null").select("act").distinct().withColumn("vague", F.lit(True))
+    known = checked.select("act").distinct().withColumn("known", F.lit(True))
+    out = asked.join(named, ["act", "article"], "left").join(vague, "act", "left").join(known, "act", "left")
+    verdict = F.when(F.col("amendments") > 0, "CHANGED").when(F.coalesce("vague", F.lit(False)) | F.col("known").isNull(), "UNSURE").otherwise("CURRENT")
+    return out.select("act", "article", verdict.alias("verdict"), F.coalesce("amendments", F.lit(0)).cast("long").alias("amendments"))
+
+
+def record_of_values(triples: DataFrame, key: str) -> DataFrame:
+    """S-28: (key, name, value) triples of records as one map a record; repeated values of a name are joined in order."""
+    per = triples.groupBy(key, "name").agg(F.array_join(F.array_sort(F.collect_set("value")), "; ").alias("value"))
+    return per.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("record"))

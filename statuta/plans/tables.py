@@ -657,3 +657,55 @@ def queries() -> dict:
 
 def oracle_sql() -> dict:
     return {name: sql for name, (_, sql) in QUERIES.items()}
+
+
+@query("""WITH t AS (SELECT o_custkey, o_orderstatus, o_orderpriority FROM orders) SELECT c.c_custkey, c.c_mktsegment AS segment, n.n_name AS nation, s.statuses, COALESCE(s.referred, 0) AS referred FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey LEFT JOIN (SELECT o_custkey, string_agg(DISTINCT o_orderstatus, '; ' ORDER BY o_orderstatus) AS statuses, count(*) AS referred FROM t GROUP BY 1) s ON s.o_custkey = c.c_custkey""")
+def eav_record(t):
+    """S-28: a record kept as (id, name, value) triples, read back as columns, with a label for an id and the number of reverse links."""
+    own = t.customer.select(F.col("c_custkey").alias("id"), F.expr("stack(2, 'segment', c_mktsegment, 'nation', cast(c_nationkey as string)) as (name, value)"))
+    said = t.orders.select(F.col("o_custkey").alias("id"), F.lit("status").alias("name"), F.col("o_orderstatus").alias("value"))
+    records = versions.record_of_values(own.unionByName(said.join(own.select("id").distinct(), "id", "left_semi")), "id")
+    links = t.orders.groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("referred"))
+    rows = records.join(links, "id", "left").withColumn("n_nationkey", F.col("record")["nation"].cast("int")).join(t.nation.select(F.col("n_nationkey").cast("int"), "n_name"), "n_nationkey", "left")
+    return rows.select(F.col("id").alias("c_custkey"), F.col("record")["segment"].alias("segment"), F.col("n_name").alias("nation"), F.col("record")["status"].alias("statuses"), F.coalesce("referred", F.lit(0)).alias("referred"))
+
+
+@query("""SELECT o_orderkey, o_custkey, CAST(row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_suppkey) - 1 AS INTEGER) AS place, l_suppkey AS party, CASE WHEN row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_suppkey) = 1 THEN 'buyer' ELSE 'other' END AS role FROM orders JOIN lineitem ON l_orderkey = o_orderkey""")
+def contract_record(t):
+    """S-30: a contract with its parties in one array, spelled out to a row for each party with its place and role."""
+    parties = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey"))).alias("parties"))
+    rows = t.orders.select("o_orderkey", "o_custkey").join(parties, "o_orderkey").select("o_orderkey", "o_custkey", F.posexplode("parties").alias("place", "p"))
+    return rows.select("o_orderkey", "o_custkey", "place", F.col("p.l_suppkey").alias("party"), F.when(F.col("place") == 0, "buyer").otherwise("other").alias("role"))
+
+
+@query("""WITH f AS (SELECT r AS round, c_custkey AS id FROM customer, range(1, 9) t(r) WHERE (c_custkey * 7 + r * 3) % 5 < 2 AND r <= 5 OR r > 5 AND c_custkey % 5 = 0), g AS (SELECT id, min(round) AS round FROM f GROUP BY 1), n AS (SELECT r.round, count(g.id) AS new FROM (SELECT DISTINCT round FROM f) r LEFT JOIN g USING (round) GROUP BY 1), s AS (SELECT round, new, CAST(sum(new) OVER (ORDER BY round) AS BIGINT) AS seen, sum(new) OVER (ORDER BY round ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS late, row_number() OVER (ORDER BY round) AS nth FROM n), v AS (SELECT *, CASE WHEN seen >= (SELECT count(*) FROM customer) THEN 'COMPLETE' WHEN late = 0 AND nth >= 2 THEN 'STALLED' ELSE 'MORE' END AS state FROM s) SELECT round, new, seen, state FROM v WHERE NOT EXISTS (SELECT 1 FROM v p WHERE p.round < v.round AND p.state <> 'MORE')""")
+def paging_rounds(t):
+    """L-05: rounds over a source that shows two fifths of its rows each time, united by id until they are complete."""
+    rounds = t.customer.select(F.col("c_custkey").alias("id"), F.explode(F.sequence(F.lit(1), F.lit(8))).alias("round"))
+    rounds = rounds.withColumn("round", F.col("round").cast("long"))
+    found = rounds.where("((id * 7 + round * 3) % 5 < 2 and round <= 5) or (round > 5 and id % 5 = 0)")
+    return search.complete_paging(found, t.customer.count())
+
+
+@query("""WITH c AS (SELECT l_orderkey AS act, CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_partkey % 10 END AS article, l_suppkey AS amendment, l_returnflag AS flag FROM lineitem), k AS (SELECT DISTINCT act, amendment FROM c WHERE flag = 'R'), l AS (SELECT c.* FROM c WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.act = c.act AND k.amendment = c.amendment)), q AS (SELECT o_orderkey AS act, a AS article FROM orders, range(0, 10) t(a) WHERE (o_orderkey + a) % 7 = 0), n AS (SELECT act, article, count(DISTINCT amendment) AS amendments FROM l WHERE article IS NOT NULL GROUP BY 1, 2) SELECT q.act, q.article, CASE WHEN n.amendments > 0 THEN 'CHANGED' WHEN EXISTS (SELECT 1 FROM l WHERE l.act = q.act AND l.article IS NULL) OR o.o_orderstatus = 'P' THEN 'UNSURE' ELSE 'CURRENT' END AS verdict, COALESCE(n.amendments, 0) AS amendments FROM q JOIN orders o ON o.o_orderkey = q.act LEFT JOIN n ON n.act = q.act AND n.article = q.article""")
+def article_currency(t):
+    """V-02: articles asked for, against changes that the text does not contain yet; an act that was not checked to the day is never called current."""
+    changes = t.lineitem.select(F.col("l_orderkey").cast("long").alias("act"), F.when(F.col("l_linenumber") % 4 != 0, F.col("l_partkey") % 10).cast("long").alias("article"), F.col("l_suppkey").alias("amendment"), "l_returnflag")
+    contained = changes.where("l_returnflag = 'R'").select("act", "amendment").distinct()
+    asked = t.orders.select(F.col("o_orderkey").cast("long").alias("act"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(9).cast("long"))).alias("article")).where("(act + article) % 7 = 0")
+    checked = t.orders.where("o_orderstatus != 'P'").select(F.col("o_orderkey").cast("long").alias("act"))
+    return versions.article_currency(asked, changes.drop("l_returnflag"), contained, checked)
+
+
+@query("""SELECT o_orderstatus AS status, CAST(year(o_orderdate) AS INTEGER) AS made, count(*) AS n FROM orders GROUP BY GROUPING SETS ((o_orderstatus, year(o_orderdate)), (o_orderstatus), ())""")
+def grouping_sets(t):
+    """§2.12: counts by status and year, by status, and over all, in one aggregation."""
+    t.orders.createOrReplaceTempView("statuta_orders")
+    return t.orders.sparkSession.sql("SELECT o_orderstatus AS status, CAST(year(o_orderdate) AS INT) AS made, count(*) AS n FROM statuta_orders GROUP BY GROUPING SETS ((o_orderstatus, year(o_orderdate)), (o_orderstatus), ())")
+
+
+@query("""SELECT c_mktsegment AS segment, count(*) FILTER (c_nationkey % 2 = 0) AS even, count(*) FILTER (c_nationkey % 2 = 1) AS odd FROM customer GROUP BY 1""")
+def pivoted_counts(t):
+    """§2.12: a pivot over a fixed list of values, which needs no extra pass to find them."""
+    side = F.when(F.col("c_nationkey") % 2 == 0, "even").otherwise("odd")
+    return t.customer.select(F.col("c_mktsegment").alias("segment"), side.alias("side")).groupBy("segment").pivot("side", ["even", "odd"]).count().na.fill(0)
