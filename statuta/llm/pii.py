@@ -6,7 +6,8 @@ the spans to redact. The base kinds (email, ip, card, phone) have exact definiti
 
 The model is fitted on all candidates: they are first counted by feature vector, a table bounded by the product of the feature
 cardinalities (see FEATURES), and the trees are compiled to a Column of CASE expressions. Weak labels come from checks that are no
-features (check digits, number plans, mixed alphabets).
+features (check digits, number plans, mixed alphabets). A kind whose held-out half is empty or never reaches the wished precision has
+the threshold of an even chance, and a number with right check digits (iban) is always selected.
 
 Edge cases: a null text counts as empty; a text without spans has counts 0, the digest of the empty string and spans ''; rows that
 repeat a doc_id each get a row; an empty table gives an empty result; other columns are ignored.
@@ -31,7 +32,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 NATIONAL = r"(?<![0-9+.-])(?<!\+[0-9]{1,3}[\x20.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}+(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-SECRET = r"(?<![A-Za-z0-9])(?:token|secret|password|passwd|api[_-]?key)\x20{0,3}[:=]\x20{0,3}\"?[A-Za-z0-9_/+=-]{8,256}"
+SECRET = r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)\x20{0,3}[:=]\x20{0,3}[\"']?[a-z0-9_/+=-]{8,}+"
 
 #: kind, pattern, a character that every match has (a cheap test before the pattern runs), base kind
 KINDS = (
@@ -48,6 +49,8 @@ ORDER = {k: i for i, (k, *_) in enumerate(KINDS)}
 #: Cardinalities of the features; their product bounds the table that reaches the driver (5184 rows for each label and half).
 FEATURES = {"kind": len(KINDS), "digits": 6, "length": 4, "cue": 3, "before": 3, "after": 3}
 ROUNDS, RATE, PRECISION = 12, 0.4, 0.9
+#: The log odds that select a span where calibration has nothing to go by.
+EVEN = 0.0
 
 
 def _digits(s: Column) -> Column:
@@ -91,7 +94,7 @@ def candidates(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]
         .when(F.col("kind") == "national_phone", ~F.substring(d, 1, 1).isin("0", "1") & (F.char_length(d) == 10))
         .when(F.col("kind") == "social_number", ~F.substring(d, 1, 3).isin("000", "666") & (F.substring(d, 1, 1) != "9") & (F.substring(d, 4, 2) != "00") & (F.substring(d, 6, 4) != "0000"))
         .when(F.col("kind") == "iban", _iban(F.col("hit")))
-        .otherwise(F.col("hit").rlike("[0-9]") & F.regexp_extract("hit", r"[:=]\x20{0,3}\"?(.*)$", 1).rlike("[A-Za-z]"))
+        .otherwise(F.col("hit").rlike("[0-9]") & F.regexp_extract("hit", r"[:=]\x20{0,3}[\"']?(.*)$", 1).rlike("[A-Za-z]"))
     )
     return lists.select("uid", "doc_id"), scratch.write(per.select("uid", "kind", "start", "end", "hit", "before", "after", ok.alias("ok")))
 
@@ -197,6 +200,7 @@ def select_spans(found: DataFrame) -> DataFrame:
     for kind, i in ORDER.items():
         held = sorted(((base + sum(_tree(t, x) for t in trees), r["p"], r["q"]) for r in counts if r["half"] == 1 and r["kind"] == i for x in [tuple(r[n] for n in feats)]), reverse=True)
         good = bad = 0
+        cuts[kind] = EVEN
         for s, p, q in held:
             good, bad = good + p, bad + q
             if good >= PRECISION * (good + bad):
@@ -204,14 +208,15 @@ def select_spans(found: DataFrame) -> DataFrame:
     score = _compiled(base, trees, list(feats.values()))
     own = F.lit(False)
     for kind, _, _, is_base in KINDS:
-        if not is_base and kind in cuts:
+        if not is_base:
             own = own | ((F.col("kind") == kind) & (score >= cuts[kind] - 1e-9))
+    own = own | ((F.col("kind") == "iban") & F.col("ok"))
     is_base = F.col("kind").isin([k for k, _, _, b in KINDS if b])
     return found.withColumn("keep", F.when(is_base, F.col("ok")).otherwise(own))
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
+    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans (how many)."""
     scratch = Scratch(docs.sparkSession)
     everyone, found = candidates(docs.select("doc_id", "text"), scratch)
     rank = F.coalesce(*[F.when(F.col("kind") == k, i) for k, i in ORDER.items()])
@@ -221,21 +226,27 @@ def detect(docs: DataFrame) -> DataFrame:
     base = [k for k, _, _, b in KINDS if b]
     per = kept.groupBy("uid").agg(
         *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in base],
-        join(F.collect_list(F.when(rank < len(base), item))).alias("base"), join(F.collect_list(item)).alias("spans"),
+        join(F.collect_list(F.when(rank < len(base), item))).alias("base"), join(F.collect_list(item)).alias("spans"), F.count("*").alias("n_spans"),
     )
     return everyone.join(per, "uid", "left").select(
         "doc_id", *[F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in base],
-        F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"),
+        F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"), F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
     )
 
 
 def redact(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """docs (unique doc_id) with each span of detect()'s spans replaced by [KIND]; overlapping spans become one."""
+    """docs with each span of detect()'s spans replaced by [KIND]; overlapping spans become one.
+
+    Rows are matched by doc_id, null to null. Rows that repeat a doc_id must have one text; if they have several, redact them apart.
+    """
     parts = F.transform(F.filter(F.split("spans", ","), lambda s: s != ""), lambda s: F.split(s, ":"))
     step = lambda acc, s: F.struct(
         F.when(s[1].cast("long") >= acc["at"], F.concat(acc["out"], F.substring(acc["text"], acc["at"].cast("int") + 1, (s[1].cast("long") - acc["at"]).cast("int")), F.lit("["), F.upper(s[0]), F.lit("]"))).otherwise(acc["out"]).alias("out"),
         F.greatest(acc["at"], s[2].cast("long")).alias("at"), acc["text"].alias("text"))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"), F.col("text"))
+    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"), F.col("row.text").alias("text"))
     done = F.aggregate(parts, start, step, lambda acc: F.concat(acc["out"], F.substring(acc["text"], acc["at"].cast("int") + 1, 2**31 - 1)))
-    both = docs.join(spans.select("doc_id", "spans"), "doc_id", "left")
-    return both.withColumn("text", F.when(F.coalesce("spans", F.lit("")) == "", F.col("text")).otherwise(done)).select(*docs.columns)
+    found = spans.where("spans != ''").groupBy(F.col("doc_id").alias("id")).agg(F.first("spans").alias("spans"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    both = packed.join(found, F.col("row.doc_id").eqNullSafe(F.col("id")), "left")
+    text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(done)
+    return both.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
