@@ -22,27 +22,31 @@ BLOCK = 4096
 def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
     """rows plus name: one integer for each distinct value of keys, which hold no nulls.
 
-    The minimum of a row number is taken for each distinct key, pre-aggregated before the shuffle, and joined back.
+    The minimum of the row number n is taken for each distinct key, pre-aggregated before the shuffle, and joined back.
     """
-    names = rows.select(*keys, F.monotonically_increasing_id().alias("_n")).groupBy(*keys).agg(F.min("_n").alias("name"))
-    return rows.join(names, keys)
+    return rows.join(rows.groupBy(*keys).agg(F.min("n").alias("name")), keys)
 
 
 def identities(docs: DataFrame, block: int, scratch: Scratch) -> DataFrame:
-    """(uid, doc_id, sha, blocks, name): one row per document; equal texts have equal (blocks, name)."""
+    """(uid, doc_id, sha, blocks, name): one row per document; equal texts have equal (blocks, name).
+
+    Block rows are numbered once, in the order of the scan, and their numbers are written with the names of the blocks. A pair takes the
+    number of its first block row, so names of later levels do not depend on the order in which a shuffle delivers rows, nor on reruns.
+    """
     text = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE_RUN, " ")
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("uid"), text.alias("text"))
     cut = F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % block), F.lit(0))
     rows = rows.select("uid", "doc_id", F.sha2("text", 256).alias("sha"), F.when(F.col("text") == "", F.array(F.lit(""))).otherwise(cut).alias("parts"))
     rows = rows.select("uid", "doc_id", "sha", F.size("parts").alias("blocks"), F.posexplode("parts").alias("pos", "block"))
-    rows = rows.select("uid", "pos", "blocks", "block", *[F.when(F.col("pos") == 0, F.col(c)).alias(c) for c in ("doc_id", "sha")])
+    rows = rows.select("uid", "pos", "blocks", "block", F.monotonically_increasing_id().alias("n"), *[F.when(F.col("pos") == 0, F.col(c)).alias(c) for c in ("doc_id", "sha")])
     first = scratch.write(_named(rows, ["block"]).drop("block"))
     done = first.where("blocks = 1").select("uid", "doc_id", "sha", "blocks", "name")
     head = first.where("blocks > 1 and pos = 0").select("uid", "doc_id", "sha")
     most = first.agg(F.max("blocks")).first()[0] or 0
-    left, level, ends = first.where("blocks > 1").select("uid", "pos", "blocks", "name"), 1, []
+    left, level, ends = first.where("blocks > 1").select("uid", "pos", "blocks", "name", "n"), 1, []
     while 2 ** (level - 1) < most:
-        pairs = left.groupBy("uid", F.shiftright("pos", 1).alias("pos"), "blocks").agg(F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("l"), F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("r"))
+        even, odd = (F.max(F.when(F.col("pos") % 2 == k, F.col("name"))) for k in (0, 1))
+        pairs = left.groupBy("uid", F.shiftright("pos", 1).alias("pos"), "blocks").agg(even.alias("l"), F.coalesce(odd, F.lit(-1)).alias("r"), F.min("n").alias("n"))
         table = scratch.write(_named(pairs, ["l", "r"]).drop("l", "r"))
         ends.append(table.where(F.col("blocks") <= 2**level).select("uid", "blocks", "name"))
         left, level = table.where(F.col("blocks") > 2**level), level + 1
@@ -66,6 +70,10 @@ def exact_dedup(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """docs without the later copies; doc_id must be unique for this form."""
-    stay = exact_dedup(docs, block).where("kept").select("doc_id")
-    return docs.join(stay, "doc_id", "left_semi")
+    """docs without the later copies; of rows that repeat a doc_id and a text one stays, and a null doc_id ranks last."""
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.write(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("uid")))
+    done = identities(rows.select(F.struct("row.doc_id", "uid").alias("doc_id"), "row.text"), block, scratch)
+    order = F.struct(F.col("doc_id.doc_id").isNull().alias("last"), F.col("doc_id.doc_id").alias("doc_id"), F.col("doc_id.uid").alias("uid"))
+    stay = done.groupBy("blocks", "name").agg(F.min(order)["uid"].alias("uid")).select("uid")
+    return rows.join(stay, "uid", "left_semi").select("row.*")
