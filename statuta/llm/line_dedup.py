@@ -52,26 +52,35 @@ def bands(low: Column) -> list[Column]:
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
     """(uid, doc_id, line_no, id, place, plain): every line of every document; id is null for lines that stay anyway: blank ones and spaced ones with fewer than min_words words.
 
-    place is a hash of doc_id and line_no, which tells copies of a line apart.
+    place is a hash of doc_id and text, by which the row of a line is found again.
     """
-    rows = docs.select("uid", "doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
-    rows = rows.select("uid", "doc_id", "line_no", plain(F.col("line")).alias("plain"))
+    rows = docs.select("uid", "doc_id", _place().alias("place"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    rows = rows.select("uid", "doc_id", "place", "line_no", plain(F.col("line")).alias("plain"))
     p = F.col("plain")
     taken = F.substring(p, 1, 1).between("!", "~") | p.rlike(r"[^\s\p{Z}]")
     if min_words:
         n = F.size(F.split(p, " "))
         taken = taken & ((n >= min_words) | (F.char_length(p) > 16 * n))
-    return rows.select("uid", "doc_id", "line_no", F.when(taken, F.xxhash64(p)).alias("id"), F.xxhash64("doc_id", "line_no").alias("place"), "plain")
+    return rows.select("uid", "doc_id", "line_no", F.when(taken, F.xxhash64(p)).alias("id"), "place", "plain")
 
 
-def _verifier(lines: DataFrame, distinct: DataFrame, scratch: Scratch):
-    """Verifier of pairs of line ids on whole lines; lines: (id, place, plain), distinct: (id, place). The lines are read once, for all that share a band."""
+def _place() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
+def _verifier(rows: DataFrame, seen: DataFrame, distinct: DataFrame, scratch: Scratch):
+    """Verifier of pairs of line ids on whole lines. rows: (doc_id, text), seen: (id, place, line_no), distinct: (id, place). Texts are read once, for all that share a band."""
 
     def verifier(nodes: DataFrame):
-        # one copy of each line that is wanted; copies differ in place, so no task gets all copies of a frequent line
+        # one copy of each line that is wanted, by the document that holds it, so texts travel as rows and only wanted lines are taken apart
         wanted = distinct.join(nodes.select(F.col("node").alias("id")), "id").select("id", "place")
-        sets = lines.join(wanted, ["id", "place"]).select("id", shingles(F.col("plain")).alias("s"))
-        sets = scratch.write(sets.dropDuplicates(["id"]))
+        at = seen.where("id is not null").select("id", "place", "line_no").join(wanted, ["id", "place"]).groupBy("id", "place").agg(F.min("line_no").alias("line_no"))
+        at = at.groupBy("place").agg(F.collect_list(F.struct("id", "line_no")).alias("wanted"))  # no more than the document has lines
+        held = rows.select(_place().alias("place"), "text").join(at, "place")
+        taken = let(F.split("text", "\n"), lambda lines: F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), F.get(lines, w["line_no"]).alias("line"))))
+        found = held.select(F.explode(taken).alias("w")).select("w.id", plain(F.col("w.line")).alias("plain")).where(F.xxhash64("plain") == F.col("id"))
+        # rows that repeat a document hold its lines too
+        sets = scratch.write(found.select("id", shingles(F.col("plain")).alias("s")).dropDuplicates(["id"]))
 
         def links(pairs: DataFrame) -> DataFrame:
             both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
@@ -100,7 +109,7 @@ def _decisions(rows: DataFrame, min_words: int, scratch: Scratch) -> DataFrame:
     # values of fixed width, so that equal lines are combined by hash before the shuffle
     distinct = scratch.write(seen.where("id is not null").groupBy("id").agg(F.min("place").alias("place"), F.count("*").alias("copies"), *[F.max(n).alias(n) for n in names]), hashes=True)
     keys = distinct.select(F.explode(F.array_compact(F.array(*names))).alias("key"), F.col("id").alias("node"), F.lit(0).alias("slack"))
-    found = linked_by_keys(keys, _verifier(lines.select("id", "place", "plain").where("id is not null"), distinct, scratch), scratch)
+    found = linked_by_keys(keys, _verifier(rows, seen, distinct, scratch), scratch)
 
     # only lines with copies or links go on to be grouped
     same = distinct.where("copies > 1").select("id").join(found.select(F.col("node").alias("id")), "id", "left_anti").select("id", F.col("id").alias("c"))
