@@ -238,8 +238,8 @@ def linked_components(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs with one row of each component, the first by doc_id (null last) and place; rows with an empty set link with nothing and stay."""
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.write(docs.withColumn("_uid", F.monotonically_increasing_id()))
-    own = _grouped(rows.select(F.col("_uid").alias("uid"), F.col("doc_id").cast("long"), "text"), Scratch(docs.sparkSession))
+    rows = scratch.write(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("uid")))
+    own = _grouped(rows.select("uid", F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.text").alias("text")), Scratch(docs.sparkSession))
     first = own.where("c is not null").groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("keep"))
-    stay = first.select(F.col("keep.uid").alias("_uid")).unionByName(own.where("c is null").select(F.col("uid").alias("_uid")))
-    return rows.join(stay, "_uid", "left_semi").select(*docs.columns)
+    stay = first.select(F.col("keep.uid").alias("uid")).unionByName(own.where("c is null").select("uid"))
+    return rows.join(stay, "uid", "left_semi").select("row.*")

@@ -559,3 +559,12 @@ def test_near_duplicates_of_rows_without_a_doc_id_of_their_own(spark):
     got = [tuple(r) for r in similar.linked_components(docs).select("doc_id", "component_id").collect()]
     key = lambda r: tuple((x is None, x or 0) for x in r)
     assert sorted(got, key=key) == sorted([*[(None, None)] * 4, (7, 7), (7, 7), (8, 8), (8, 7), (9, 8)], key=key)
+
+
+def test_near_duplicates_of_tables_with_odd_columns(spark):
+    """Columns named like the operator's own, and a name with a dot."""
+    a = " ".join(f"w{i}" for i in range(60))
+    names = ["doc_id", "text", "_uid", "uid", "row", "a.b", "c"]
+    docs = spark.createDataFrame([(1, a, *[5] * 5), (2, f"{a} more", *[6] * 5), (3, "another text", *[7] * 5)], names)
+    out = similar.keep_one(docs)
+    assert out.columns == names and sorted(tuple(r) for r in out.collect()) == [(1, a, *[5] * 5), (3, "another text", *[7] * 5)]
