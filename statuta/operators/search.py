@@ -116,3 +116,18 @@ def complete_paging(found: DataFrame, total: int, stall: int = 2) -> DataFrame:
     state = F.when(F.col("seen") >= total, "COMPLETE").when((F.col("late") == 0) & (F.col("nth") >= stall), "STALLED").otherwise("MORE")
     ended = F.coalesce(F.max((F.col("state") != "MORE").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return rounds.withColumn("state", state).withColumn("ended", ended).where("ended = 0").select("round", "new", "seen", "state")
+
+
+def keyword_scan(dictionary: DataFrame, name: str, asked: str, most: int = 12) -> DataFrame:
+    """S-18: entries (name) that begin with the stem of the asked keyword and contain the stems of its other words, the first `most` in order; exists: whether one is the keyword itself.
+
+    A stem is a word of lower-case letters without its last two where it has over five, as endings are inflected.
+    """
+    words = [w[:-2] if len(w) > 5 else w for w in asked.lower().split()]
+    if not words:
+        return dictionary.where(F.lit(False)).select(name, F.lit(False).alias("exists"))
+    low = F.lower(name)
+    hits = dictionary.where(meets(low.startswith(words[0]), *[low.contains(w) for w in words[1:]])).select(name).distinct()
+    # the keyword itself comes first, so it is among those shown wherever the dictionary has it
+    exact = (low == asked.lower()).alias("exists")
+    return hits.select(name, exact).orderBy(F.col("exists").desc(), name).limit(most)

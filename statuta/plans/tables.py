@@ -709,3 +709,18 @@ def pivoted_counts(t):
     """§2.12: a pivot over a fixed list of values, which needs no extra pass to find them."""
     side = F.when(F.col("c_nationkey") % 2 == 0, "even").otherwise("odd")
     return t.customer.select(F.col("c_mktsegment").alias("segment"), side.alias("side")).groupBy("segment").pivot("side", ["even", "odd"]).count().na.fill(0)
+
+
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n FROM documents),
+  p AS (SELECT *, last_value(CASE WHEN length(line) BETWEEN 1 AND 40 THEN length(line) % 4 END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS act FROM l)
+  SELECT doc_id, CAST(n AS INTEGER) AS line_no, line FROM p WHERE act = 2""")
+def act_of_issue(t):
+    """X-20: the lines of one act of an issue; a short line opens an act and its length gives the position."""
+    position = F.when(F.char_length("line").between(1, 40), F.char_length("line") % 4)
+    return passages.act_of_issue(passages.lines(t.documents, "doc_id", F.col("text")), "doc_id", position, 2).select("doc_id", "line_no", "line")
+
+
+@query("""SELECT DISTINCT p_name, lower(p_name) = 'small g' AS exists FROM part WHERE starts_with(lower(p_name), 'small') AND contains(lower(p_name), 'g') ORDER BY exists DESC, p_name LIMIT 12""")
+def keyword_scan(t):
+    """S-18: dictionary entries that begin like a keyword and hold its other words."""
+    return search.keyword_scan(t.part, "p_name", "small g")

@@ -107,3 +107,14 @@ def test_criteria():
 @pytest.mark.parametrize(("given", "want"), [("a.c", ("a.c", "as written")), ("a++", ("a+", "superset")), (r"\mx", (r"\bx", "superset")), ("a(", (r"a\(", "literal"))])
 def test_regex_dialect(given, want):
     assert text.regex_or_literal(given) == want
+
+
+def test_keyword_scan(spark):
+    """Stems, the keyword itself first, the limit, and nothing asked."""
+    from statuta.operators import search
+
+    names = spark.createDataFrame([(n,) for n in ("tax relief", "Taxation of income", "taxation", "income taxation", "taxation") + tuple(f"taxatio {i:02}" for i in range(20)) + (None,)], "name string")
+    found = lambda asked, most=12: [tuple(r) for r in search.keyword_scan(names, "name", asked, most).collect()]
+    assert found("taxation", 3) == [("taxation", True), ("Taxation of income", False), ("taxatio 00", False)]
+    assert found("taxations income") == [("Taxation of income", False)]
+    assert len(found("taxation")) == 12 and found(" ") == [] and found("duty") == []
