@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, licenses, line_dedup, mixing, neighbours, packing, pii, quality, similar
+from . import chat, exact_dedup, fill_middle, licenses, line_dedup, mixing, neighbours, packing, pii, quality, similar, toxicity, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,16 +58,29 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(_table(spark, sf_dir, "documents"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     every = (
         op1_line_dedup, op2_ngram_jaccard, op3_mix_sources, op4_license_scan, op5_pack,
         op6_pii, op7_chat_format, op8_exact_dedup, op9_nearest, op10_quality,
+        op11_fill_middle, op12_toxicity, op13_whiten,
     )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict:
-    return {"op2_ngram_jaccard": OP2, "op3_mix_sources": OP3, "op4_license_scan": OP4, "op7_chat_format": OP7, "op8_exact_dedup": OP8}
+    return {"op2_ngram_jaccard": OP2, "op3_mix_sources": OP3, "op4_license_scan": OP4, "op7_chat_format": OP7, "op8_exact_dedup": OP8, "op11_fill_middle": OP11}
 
 
 OP3 = r"""
@@ -92,6 +105,18 @@ k AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) AS
 SELECT doc_id, keep_id, group_size, i = 1 AS kept, sha256(t) AS text_sha256 FROM k
 """
 
+OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l,
+  sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+s AS (SELECT *, CAST(len(l) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS i, greatest(h1 % (n + 1), h2 % (n + 1)) AS j,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM s),
+p AS (SELECT *, array_to_string(l[1:i], '') AS prefix, array_to_string(l[i + 1:j], '') AS middle, array_to_string(l[j + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM p
+"""
+
 OP7 = r"""
 WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST) - 1 AS place FROM conversations),
 r AS (SELECT conv_id, place, role, text, string_agg(coalesce('r' || len(role) || ':' || role, 'n') || coalesce('t' || len(text) || ':' || text, 'n'), '') OVER (PARTITION BY conv_id ORDER BY place) AS said,
