@@ -86,8 +86,8 @@ def test_edges(spark):
 def test_sample_goes_by_row(spark):
     """One id for every row does not take all rows or none into the sample."""
     rows, _ = _corpus(400)
-    docs = spark.createDataFrame([(5, t) for _, t, *_ in rows], "doc_id long, text string").repartition(4)
-    labelled = toxicity.labelled(docs, spark.createDataFrame([(5, 1)], "doc_id long, toxic int"))
+    docs = spark.createDataFrame([(7, t) for _, t, *_ in rows], "doc_id long, text string").repartition(4)
+    labelled = toxicity.labelled(docs, spark.createDataFrame([(7, 1)], "doc_id long, toxic int"))
     drawn = toxicity._seen(labelled, [0.0, 0.25]).where("held is not null").count()
     assert 60 <= drawn <= 140
 
