@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import scalars, tables
+from . import pages, scalars, tables
+
+#: Modules that add queries to those of `tables`.
+MORE = (pages,)
 
 
 def queries() -> dict:
