@@ -217,12 +217,13 @@ def follow_up(number: Column, court: Column) -> Column:
 def voided_units(title: Column) -> Column:
     """I-16: main units that a ruling's title declares void, in order; empty if it names none.
 
-    They stand between the word for invalidity and the act, or else behind the words for the part concerned, up to a comma or a date.
+    They stand between the word for invalidity and the act, or else behind the words "in the part concerning", up to a comma or a date; what an
+    act is about is not its part.
     """
     t = F.regexp_replace(F.coalesce(title, F.lit("")), r"\s+", " ")
     behind = lambda word: F.coalesce(F.get(F.split(t, f"(?iu){word}", 2), F.lit(1)), F.lit(""))
     until = lambda x, stop: F.split(x, f"(?iu){stop}", 2)[0]
     named = lambda x: F.zip_with(*[F.regexp_extract_all(x, F.lit(r"(?i)(§|art\.)\s*(\d+[a-z]?)"), F.lit(i)) for i in (1, 2)], lambda a, b: F.concat_ws(" ", a, b))
     first = named(until(behind("nieważno"), "uchwał|zarządze|rozporządze"))
-    second = named(until(behind("dotycząc|obejmując|w zakresie"), r"[,;]|\x20z dnia"))
+    second = named(until(behind(r"w\s+częś\w+\s+(?:dotycząc|obejmując|w\s+zakresie)"), r"[,;]|\x20z dnia"))
     return F.array_distinct(F.when(F.size(first) > 0, first).otherwise(second))

@@ -87,24 +87,6 @@ def act_of_issue(line_rows: DataFrame, key: str, position: Column, wanted: int)
     return line_rows.withColumn("_act", F.last(position, ignorenulls=True).over(w)).where(F.col("_act") == wanted).drop("_act")
 
 
-def unquoted(text: Column) -> Column:
-    """X-07: text with what stands in quotation marks as blanks, character for character; quotations of over 30,000 characters stay."""
-    parts = F.regexp_extract_all(text, F.lit(r"(?s)([„“][^”\"]{0,30000}[”\"]|[„“]|[^„“]+)"))
-    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"(?s)^[„“].*[”\"]$"), F.regexp_replace(p, r"(?s)[^\n]", " ")).otherwise(p)), "")
-
-
-def changed_articles(text: Column) -> Column:
-    """X-08: keys of the articles that an amending act changes, repeals or adds, outside quotations."""
-    found = F.regexp_extract_all(unquoted(text), F.lit(r"(?i)(?:w|po|uchyla się|dodaje się)\s+art\.\s*(\d+[a-z]*)"), F.lit(1))
-    return F.array_distinct(found)
-
-
-def operative_points(text: Column) -> Column:
-    """X-09: points of a ruling's operative part: array of (article, verdict)."""
-    found = F.regexp_extract_all(text, F.lit(r"(?is)(art\.\s*\d+[a-z]*.*?(?:jest|są)\s+(?:niezgodn\w+|zgodn\w+))"), F.lit(1))
-    return F.transform(found, lambda p: F.struct(F.regexp_extract(p, r"(?i)art\.\s*(\d+[a-z]*)", 1).alias("article"), F.when(F.lower(p).contains("niezgodn"), "void").otherwise("valid").alias("verdict")))
-
-
 def footnotes(line_rows: DataFrame, key: str) -> DataFrame:
     """X-06: (key, note, text, refers): footnote lines 'N) text', the first of a number counts, with the notes they refer to."""
     note = F.regexp_extract("line", r"^\s*(?:\[przypis )?(\d{1,3})\)\]?\s+\S", 1)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import pages, scalars, tables
+from . import pages, provisions, scalars, tables
 
 #: Modules that add queries to those of `tables`.
-MORE = (pages,)
+MORE = (pages, provisions)
 
 
 def queries() -> dict:

@@ -56,7 +56,7 @@ CASES: dict[str, tuple[str, Callable[[], Column], list[tuple[tuple, str | None]]
         (("I C 5/20", "SO Warszawa"), 'signature "I C 5/20" --court "SO Warszawa"'), (("I C 5/20", None), 'signature "I C 5/20"')]),
     "voided_units": ("s string", lambda: F.array_join(identifiers.voided_units(F.col("s")), "; "), [
         (("Sąd stwierdza nieważność § 4 ust. 2, § 11 i § 4 ust. 5 regulaminu do zarządzenia wójta",), "§ 4; § 11"),
-        (("nieważność zarządzenia w części obejmującej art. 6a i § 2, w pozostałej oddala § 9",), "art. 6a; § 2"), (("nieważność rozporządzenia w całości",), "")]),
+        (("nieważność zarządzenia w części obejmującej art. 6a i § 2, w pozostałej oddala § 9",), "art. 6a; § 2"), (("nieważność rozporządzenia w całości",), ""), (("nieważność uchwały dotyczącej zmiany § 7 statutu",), "")]),
     "polish_date": ("s string", lambda: dates.polish_date(F.col("s")).cast("string"), [
         (("9 listopada 2021",), "2021-11-09"), (("Warszawa, dnia 22 października 2021 r.",), "2021-10-22"), (("2021-02-03",), "2021-02-03"), (("31 lutego 2021",), None), (("x",), None)]),
     "date_in_words": ("s string", lambda: dates.in_words(F.col("s").cast("date")), [(("2021-11-09",), "9 listopada 2021 r.")]),

@@ -172,7 +172,7 @@ def union_of_rounds(t):
 
 
 @query("""SELECT q AS word, CAST(rank AS INTEGER) AS rank, name, CAST(d AS INTEGER) AS distance FROM (SELECT q, n_name AS name, levenshtein(lower(q), lower(n_name)) AS d, row_number() OVER (PARTITION BY q ORDER BY levenshtein(lower(q), lower(n_name)), n_name) AS rank
-  FROM (VALUES ('NATION_77'), ('NASION_4')) t(q) JOIN nation ON levenshtein(lower(q), lower(n_name)) <= 2 AND lower(left(q, 1)) = lower(left(n_name, 1))) WHERE rank <= 3""")
+  FROM (VALUES ('NATION_77'), ('NASION_4')) t(q) JOIN nation ON levenshtein(lower(q), lower(n_name)) <= 2) WHERE rank <= 3""")
 def suggestions(t):
     """D-13."""
     return search.suggestions(t.rows("word string", ("NATION_77",), ("NASION_4",)), t.nation.select(F.col("n_name").alias("name")))
@@ -633,14 +633,6 @@ def footnote_closure(t):
     return said.join(reached.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_set("note")), lambda n: n.cast("string")), ",").alias("reached")), "doc")
 
 
-@query("""SELECT * FROM (VALUES (1, '5,7a', '3:void,4:valid', 'po art. 1 ' || repeat(' ', 15) || ' ok')) t(i, changed, points, masked)""")
-def amending_acts(t):
-    """X-07, X-08, X-09."""
-    rows = t.rows("i int, a string, r string, q string", (1, "w art. 5 otrzymuje brzmienie: „art. 9”; po art. 7a dodaje się", "art. 3 jest niezgodny z Konstytucją; art. 4 jest zgodny", "po art. 1 „w art. 2 ust.” ok"))
-    points = F.transform(passages.operative_points(F.col("r")), lambda p: F.concat_ws(":", p["article"], p["verdict"]))
-    return rows.select("i", F.array_join(passages.changed_articles(F.col("a")), ",").alias("changed"), F.array_join(points, ",").alias("points"), passages.unquoted(F.col("q")).alias("masked"))
-
-
 @query("""SELECT * FROM (VALUES (1, 7, 28)) t(i, s, e)""")
 def snapped_edges(t):
     """X-03."""
