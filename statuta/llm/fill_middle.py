@@ -92,9 +92,9 @@ def _cut(lists: pa.Array, i: pa.Array, j: pa.Array) -> pa.Array:
 
 def distinct_texts(rows: DataFrame) -> DataFrame:
     """rows: (key, share, text), key being a digest of text. One row for each key and share, whose texts are seen to be equal."""
-    # both extremes of a group, so that equality is seen of the texts themselves; in one row of a shuffle the second costs little
-    met = rows.groupBy("key", "share").agg(F.min("text").alias("text"), F.max("text").alias("other"))
-    same = F.when(F.col("text") == F.col("other"), F.col("text")).otherwise(F.raise_error(F.lit("two texts of one digest")))
+    # a set compares the texts themselves and keeps one of equal ones
+    met = rows.groupBy("key", "share").agg(F.collect_set("text").alias("texts"))
+    same = F.when(F.size("texts") == 1, F.col("texts")[0]).otherwise(F.raise_error(F.lit("two texts of one digest")))
     return met.select("key", "share", same.alias("text"))
 
 
