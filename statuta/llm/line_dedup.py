@@ -1,10 +1,12 @@
 """Operator 1: fuzzy deduplication of lines. DataFrame functions only.
 
 A line is taken in lower case, without spaces around it. Its shingles are the nine characters from each start; a start is the first
-character of a word (a run of U+0021 to U+0DFF), every eighth one further inside a long word, and each other character, as in scripts
-without spaces. So every character of a word lies in a shingle, and any change of one changes the set. The MinHash signature is the twelve
-smallest hashes of the shingle set, and each three neighbours in it are a band: two lines at the threshold share a band with a
-probability of about 0.98, and more similar lines nearly always. Lines that share a band are verified by exact Jaccard similarity
+character of a word (a run of U+0021 to U+0DFF), the ninth of one with nine to sixteen, every character of a longer one up to its last eight, and
+each other character, as in scripts without spaces. So every character of a word lies in a shingle, any change of one changes the set, and one
+that moves the rest of a long word changes the shingles around it alone. The MinHash signature is the twelve smallest hashes of the shingle set,
+and each three neighbours in it are a band: two lines at the threshold share a band with a probability of about 0.98, and more similar lines
+nearly always. Of four and five shingles the one that differs may break every band, so sets of five also have the hash of each subset that lacks
+one shingle as keys, and those of four the hash of the set. Lines that share a key are verified by exact Jaccard similarity
 (0.8) on their whole shingle sets, links are joined by distributed union-find, and of each component the first line (by doc_id, then
 line number) stays.
 
@@ -30,8 +32,11 @@ SIGNATURE = 12
 BAND = 3
 #: min_words that takes every line that is not blank.
 ALL = 0
-#: At each start the shingle is captured and the word, up to eight characters of it, or the other character is passed.
-STARTS = r"(?s)(?=(.{1,%d}))(?:[!-\x{DFF}]{1,%d}+|.)\x20?+" % (SHINGLE, SHINGLE - 1)
+#: At each start the shingle is captured; then a word's last eight characters or fewer are passed, or the first eight of nine to sixteen, or one.
+_W, _SHORT = r"[!-\x{DFF}]", SHINGLE - 1
+STARTS = rf"(?s)(?=(.{{1,{SHINGLE}}}))(?:{_W}{{1,{_SHORT}}}+(?!{_W})|(?<!{_W}){_W}{{{_SHORT}}}(?={_W}{{1,{_SHORT}}}+(?!{_W}))|.)\x20?+"
+#: Sets of this size and of one shingle less have keys of subsets too: linked ones differ in one shingle, which may lie in every band.
+SPARSE = 5
 
 
 def plain(line: Column) -> Column:
@@ -44,9 +49,16 @@ def shingles(line: Column) -> Column:
 
 
 def bands(low: Column) -> list[Column]:
-    """Keys of each BAND neighbours among the sorted smallest hashes, null where there are none; fewer hashes make one key."""
+    """Keys of each BAND neighbours among the sorted smallest hashes, null where there are none; fewer hashes make one key. Columns that a small set
+    leaves free hold its keys of subsets."""
     several = [F.when(F.size(low) >= i + BAND, F.xxhash64(*[F.get(low, F.lit(i + j)) for j in range(BAND)])) for i in range(SIGNATURE - BAND + 1)]
-    return [F.coalesce(several[0], F.xxhash64(low)), *several[1:]]
+    several[0] = F.coalesce(several[0], F.xxhash64(low))
+    subset = lambda size, without: F.xxhash64(F.lit("subset"), *[F.get(low, F.lit(i)) for i in range(size) if i != without])
+    free = SPARSE - BAND + 1
+    for j in range(SPARSE):
+        own = F.when(F.size(low) == SPARSE, subset(SPARSE, j))
+        several[free + j] = F.coalesce(several[free + j], own.when(F.size(low) == SPARSE - 1, subset(SPARSE - 1, None)) if j == 0 else own)
+    return several
 
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:

@@ -306,14 +306,17 @@ def test_redaction_of_rows_without_a_doc_id(spark):
 
 
 def _shingles(line):
-    """Nine characters from each word start, each eighth character inside a word, and each character above U+0DFF."""
-    out, at = set(), 0
+    """Nine characters from each start: a word's first, its ninth where it has nine to sixteen, every one of a longer word up to the last eight, and each other character."""
+    out, at, word = set(), 0, lambda c: "!" <= c <= "\u0dff"
     while at < len(line):
         out.add(line[at : at + 9])
         end = at
-        while end < len(line) and end < at + 8 and "!" <= line[end] <= "\u0dff":
+        while end < len(line) and word(line[end]):
             end += 1
-        at = max(end, at + 1)
+        left = end - at
+        if left > 8:
+            left = 8 if left <= 16 and (at == 0 or not word(line[at - 1])) else 1
+        at += max(1, left)
         at += line[at : at + 1] == " "
     return out
 
