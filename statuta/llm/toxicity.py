@@ -8,7 +8,7 @@ labelled rows, half of each class where there are as many. Margins become probab
 model had not seen. Every document is scored from its whole text, in pieces of WINDOW characters that overlap.
 
 What reaches the driver: FEATURES counts and the sample's rows over these features. Counts are added in tasks first, then by feature. Labels
-meet texts by an equi-join, whose smaller side Spark broadcasts only under its size limit.
+meet texts by a merge join at every size, so the texts of the fold are shuffled once.
 
 Edge cases: a null or empty text has no feature and gets the score of the intercept; a null doc_id has no label and is not held out; a doc_id
 whose labels contradict each other is not trained on, nor are null labels and labels without a document; of rows that repeat a doc_id each is
@@ -82,7 +82,8 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
     known = labels.where(F.col("toxic").isin(0, 1) & fold).groupBy(F.col("doc_id").alias("of")).agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
     rows = docs.select("doc_id", "text", F.xxhash64(F.monotonically_increasing_id()).alias("u"))
-    return rows.join(known.where("toxic = most"), F.col("doc_id") == F.col("of")).select("toxic", "text", "u")
+    # labels grow with the documents, so they are not broadcast at any size
+    return rows.join(known.where("toxic = most").hint("merge"), F.col("doc_id") == F.col("of")).select("toxic", "text", "u")
 
 
 def _seen(rows: DataFrame, shares: list[float]) -> DataFrame:
