@@ -4,8 +4,8 @@ Tokens are aggregated for each source, targets follow by filling up to caps, and
 plus one hash-seeded Bernoulli copy with probability equal to the fraction of its source's rate (target / size).
 
 Edge cases: a null source is a source of its own (last); a null or empty text has size 0 and is taken 0 words; a source of size 0 has
-rate 0; rows that repeat a doc_id share one draw; an empty table gives an empty result; other columns are ignored by plan() and
-kept by mix().
+rate 0; rows that repeat a doc_id, and those without one, draw each by its place in the scan, which agrees between reruns over the same files; an
+empty table gives an empty result; other columns are ignored by plan() and kept by mix(). The table of sources is read in one task.
 """
 
 from __future__ import annotations
@@ -51,15 +51,31 @@ def draw(key: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null")))), 1, 13), 16, 10).cast("double") / float(2**52)
 
 
+def _with_uid(docs: DataFrame) -> DataFrame:
+    """docs plus _uid: the place in the scan of rows that share a doc_id or have none, null for all others."""
+    place = F.monotonically_increasing_id()
+    often = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_often")).agg(F.count("*").alias("_n")).where("_n > 1").select("_often")
+    if often.isEmpty():
+        return docs.withColumn("_uid", F.when(F.col("doc_id").isNull(), place))
+    # Spark broadcasts the repeated ids only under its size limit
+    return docs.withColumn("_place", place).join(often, F.col("doc_id") == F.col("_often"), "left").withColumn("_uid", F.when(F.col("doc_id").isNull() | F.col("_often").isNotNull(), F.col("_place"))).drop("_often", "_place")
+
+
+def _drawn(rows: DataFrame, seed: str) -> Column:
+    """The draw of each row: by its doc_id, and by its place too where it is not the only one."""
+    own = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    return draw(F.when(F.col("_uid").isNull(), own).otherwise(F.concat_ws(":", own, F.col("_uid").cast("string"))), seed)
+
+
 def _copies(docs: DataFrame, seed: str, **options) -> DataFrame:
     """docs with the columns size, source_size, target and copies added in the struct _mix."""
     sizes = docs.select("source", word_count(F.col("text")).alias("size"))
     goal = targets(sizes, **options).select(F.col("source").alias("_s"), "source_size", "target", "rate")
     # Spark broadcasts this side only if its measured size is under the session's threshold; else a sort-merge join, whose hot sources AQE splits
-    both = docs.withColumn("_size", word_count(F.col("text"))).join(goal, F.col("source").eqNullSafe(F.col("_s")))
+    both = _with_uid(docs).withColumn("_size", word_count(F.col("text"))).join(goal, F.col("source").eqNullSafe(F.col("_s")))
     whole = F.floor("rate")
-    copies = whole + (draw(F.col("doc_id"), seed) < F.col("rate") - whole).cast("long")
-    return both.withColumn("_mix", F.struct(F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"))).drop("_size", "_s", "source_size", "target", "rate")
+    copies = whole + (_drawn(both, seed) < F.col("rate") - whole).cast("long")
+    return both.withColumn("_mix", F.struct(F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"))).drop("_size", "_s", "_uid", "source_size", "target", "rate")
 
 
 def plan(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
