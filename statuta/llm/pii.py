@@ -31,19 +31,25 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 NATIONAL = r"(?<![0-9+.-])(?<!\+[0-9]{1,3}[\x20.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}+(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+# Characters of an international account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
 SECRET = r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)\x20{0,3}[:=]\x20{0,3}[\"']?[a-z0-9_/+=-]{8,}+"
 
-#: kind, pattern, a character that every match has (a cheap test before the pattern runs), base kind
+#: kind, pattern, what every match has (a cheap test before the pattern runs: a character, or a pattern of one), base kind
 KINDS = (
     ("email", EMAIL, "@", True),
     ("ip", IP, ".", True),
-    ("card", CARD, None, True),
+    ("card", CARD, "[0-9]", True),
     ("phone", PHONE, "+", True),
-    ("national_phone", NATIONAL, None, False),
+    ("national_phone", NATIONAL, "[0-9]", False),
     ("social_number", SOCIAL, "-", False),
-    ("iban", IBAN, None, False),
-    ("secret", SECRET, None, False),
+    ("iban", IBAN, "[0-9]", False),
+    ("secret", SECRET, "[:=]", False),
 )
 ORDER = {k: i for i, (k, *_) in enumerate(KINDS)}
 #: Cardinalities of the features; their product bounds the table that reaches the driver (5184 rows for each label and half).
@@ -63,13 +69,13 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(F.filter(number, lambda x: x.isNotNull()), F.lit(0), lambda a, x: a + x) % 10 == 0
 
 
-def _found(text: Column, pattern: str, char: str | None) -> Column:
+def _found(text: Column, pattern: str, char: str) -> Column:
     """Matches in order: array of (gap, hit, before, after); gap is the number of code points since the last match."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     out = let(F.split(text, pattern, -1), lambda gaps: F.transform(hits, lambda h, i: F.struct(
         F.char_length(gaps[i]).cast("long").alias("gap"), h.alias("hit"),
         F.right(gaps[i], F.lit(24)).alias("before"), F.left(gaps[i + 1], F.lit(8)).alias("after"))))
-    test = F.contains(text, F.lit(char)) if char else text.rlike("[0-9]")
+    test = F.contains(text, F.lit(char)) if len(char) == 1 else text.rlike(char)
     return F.when(test, out).otherwise(F.array().cast("array<struct<gap:bigint,hit:string,before:string,after:string>>"))
 
 
@@ -84,6 +90,8 @@ def candidates(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]
     so_far = Window.partitionBy("uid", "kind").orderBy("i")
     n = F.char_length("hit").cast("long")
     per = per.withColumn("end", F.sum(F.col("gap") + n).over(so_far)).withColumn("start", F.col("end") - n)
+    # what follows an account number and looks like a part of it is not
+    per = per.withColumn("hit", F.when(F.col("kind") == "iban", _cut_iban(F.col("hit"))).otherwise(F.col("hit"))).withColumn("end", F.col("start") + n)
     d = _digits(F.col("hit"))
     groups = F.split("hit", r"\.")
     ok = (
@@ -94,11 +102,24 @@ def candidates(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]
         .when(F.col("kind") == "national_phone", ~F.substring(d, 1, 1).isin("0", "1") & (F.char_length(d) == 10))
         .when(F.col("kind") == "social_number", ~F.substring(d, 1, 3).isin("000", "666") & (F.substring(d, 1, 1) != "9") & (F.substring(d, 4, 2) != "00") & (F.substring(d, 6, 4) != "0000"))
         .when(F.col("kind") == "iban", _iban(F.col("hit")))
-        .otherwise(F.col("hit").rlike("[0-9]") & F.regexp_extract("hit", r"[:=]\x20{0,3}[\"']?(.*)$", 1).rlike("[A-Za-z]"))
+        .otherwise(_random(F.regexp_extract("hit", r"[:=]\x20{0,3}[\"']?(.*)$", 1)))
     )
     return lists.select("uid", "doc_id"), scratch.write(per.select("uid", "kind", "start", "end", "hit", "before", "after", ok.alias("ok")))
 
 
+def _random(value: Column) -> Column:
+    """Weak label of a secret: letters and digits mixed, capitals inside, or many different characters for a word."""
+    kinds = sum((value.rlike(p).cast("int") for p in ("[a-z]", "[A-Z]", "[0-9]", "[_/+=-]")), F.lit(0))
+    return value.rlike("[A-Za-z]") & ((kinds > 1) | (F.size(F.array_distinct(F.split(value, ""))) >= 7))
+
+
+def _cut_iban(hit: Column) -> Column:
+    """The first characters of hit, as many as its country's numbers have; all of it for an unknown country or if it has fewer."""
+    length = {n: F.substring(hit, 1, 2).isin(*countries.split()) for n, countries in IBAN_LENGTHS.items()}
+    cut = F.coalesce(*[F.when(c, F.regexp_extract(hit, rf"^[A-Z0-9](?:\x20?[A-Z0-9]){{{n - 1}}}", 0)) for n, c in length.items()], F.lit(""))
+    return F.when(cut == "", hit).otherwise(cut)
+
+
 def _iban(hit: Column) -> Column:
     """ISO 13616 check: the rearranged number is 1 modulo 97."""
     s = F.regexp_replace(hit, " ", "")
@@ -237,7 +258,7 @@ def detect(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """docs with each span of detect()'s spans replaced by [KIND]; overlapping spans become one.
 
-    Rows are matched by doc_id, null to null. Rows that repeat a doc_id must have one text; if they have several, redact them apart.
+    Rows are matched by doc_id, null to null. Of rows that repeat a doc_id each must have the same text; if they have several, redact them apart.
     """
     parts = F.transform(F.filter(F.split("spans", ","), lambda s: s != ""), lambda s: F.split(s, ":"))
     step = lambda acc, s: F.struct(
