@@ -9,8 +9,10 @@ How many rows a query was compared with is a column of the result. Isotropic vec
 Large partitions are split into index blocks and their queries into query blocks, so that no task holds an unbounded group however
 many rows or queries fall into one partition (copies of one vector all do).
 
-Edge cases: vectors that are null, zero, hold null or non-finite components, or differ in length from the sample's most frequent
-length take no part; a null vec_id takes no part; ties go to the smaller vec_id; rows that repeat a vec_id are queries of their own with
+Vectors of different lengths have no product, so each length is searched on its own: those with LEARNT vectors or more in the sample have a learned
+partitioning each, any other length is one partition, in blocks like the rest.
+
+Edge cases: vectors that are null, zero, or hold null or non-finite components take no part; a null vec_id takes no part; ties go to the smaller vec_id; rows that repeat a vec_id are queries of their own with
 a list each, and candidates of each other; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -33,6 +35,8 @@ GRAPH_K = 20
 RECALL = 0.94
 #: Rows of an index block and queries of a query block, at most (about; rows are dealt by a hash).
 BLOCK = 8192
+#: Sample vectors of a length from which its partitions are learnt.
+LEARNT = 256
 
 
 @dataclass
@@ -147,38 +151,53 @@ def search(table: DataFrame, query_step: int = 20, k: int = 20, sample: int = SA
     empty = "query_id long, rank int, vec_id long, score double, scanned long"
     if not drawn:
         return spark.createDataFrame([], empty)
-    lengths = pd.Series([len(v) for v in drawn])
-    width = int(lengths.mode()[0])
+    lengths = pd.Series([len(v) for v in drawn]).value_counts()
     n = valid.count()
-    router = fit(np.array([v for v in drawn if len(v) == width]), parts or int(np.clip(round(n**0.5 / 8), 16, 1024)), recall)
+    # (router, number of its first partition) of each learnt length, at most SAMPLE / LEARNT of them; other lengths have the partition -length
+    routers: dict[int, tuple[Router, int]] = {}
+    first = 0
+    for i, (width, share) in enumerate(sorted(lengths.items(), key=lambda x: (-x[1], x[0]))):
+        if i == 0 or share >= LEARNT:
+            router = fit(np.array([v for v in drawn if len(v) == width]), parts or int(np.clip(round((n * share / len(drawn)) ** 0.5 / 8), 16, 1024)), recall)
+            routers[int(width)] = router, first
+            first += len(router.bias)
+
+    def by_length(f: pd.DataFrame, column: str) -> Iterator[tuple[int, pd.DataFrame]]:
+        return ((int(width), g.copy()) for width, g in f.groupby(f[column].map(len), sort=True))
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            if len(f):
-                f["part"] = router.probabilities(_matrix(f["v"])).argmax(axis=1).astype("int32")
-                yield f
+            for width, g in by_length(f, "v"):
+                router, at = routers.get(width, (None, 0))
+                g["part"] = (router.probabilities(_matrix(g["v"])).argmax(axis=1) + at).astype("int32") if router else np.int32(-width)
+                yield g
 
-    numbered = valid.where(F.size("v") == width).select(F.monotonically_increasing_id().alias("uid"), "vec_id", "v")
+    numbered = valid.select(F.monotonically_increasing_id().alias("uid"), "vec_id", "v")
     rows = scratch.write(numbered.mapInPandas(assign, "uid long, vec_id long, v array<double>, part int"))
-    # one row for each partition, at most 1024
-    sizes = np.zeros(len(router.bias), np.int64)
-    for r in rows.groupBy("part").agg(F.count("*").alias("n")).collect():
-        sizes[r["part"]] = r["n"]
+    # one row for each partition
+    held = {r["part"]: r["n"] for r in rows.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    sizes = np.array([held.get(p, 0) for p in range(first)], np.int64)
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            if len(f):
-                order, visits, seen = router.visits(_matrix(f["vector"]), sizes, k + 1)
-                f["part"] = [o[:m].astype("int32") for o, m in zip(order, visits, strict=True)]
-                f["scanned"] = seen - 1
-                yield f
+            for width, g in by_length(f, "vector"):
+                if width in routers:
+                    router, at = routers[width]
+                    own = sizes[at : at + len(router.bias)]
+                    order, visits, seen = router.visits(_matrix(g["vector"]), own, k + 1)
+                    g["part"] = [(o[:m][own[o[:m]] > 0] + at).astype("int32") for o, m in zip(order, visits, strict=True)]
+                    g["scanned"] = seen - 1
+                else:
+                    g["part"] = [np.array([-width], "int32")] * len(g)
+                    g["scanned"] = held[-width] - 1
+                yield g
 
     asks = rows.where(F.col("vec_id") % query_step == 0).select(F.col("uid").alias("asking"), F.col("vec_id").alias("query_id"), F.col("v").alias("vector"))
     asks = scratch.write(asks.mapInPandas(route, "asking long, query_id long, vector array<double>, part array<int>, scanned long"))
-    asked = asks.select("asking", "query_id", "vector", "scanned", F.explode("part").alias("part")).where(F.element_at(F.lit(sizes.tolist()), F.col("part") + 1) > 0)
+    asked = asks.select("asking", "query_id", "vector", "scanned", F.explode("part").alias("part"))
     # how many blocks the index rows and the queries of a partition make
     blocks = asked.groupBy("part").agg(F.ceil(F.count("*") / block).alias("qb")).collect()
-    blocks = F.broadcast(spark.createDataFrame([(r["part"], int(-(-sizes[r["part"]] // block)), r["qb"]) for r in blocks], "part int, ib long, qb long"))
+    blocks = F.broadcast(spark.createDataFrame([(r["part"], -(-held[r["part"]] // block), r["qb"]) for r in blocks], "part int, ib long, qb long"))
     some = lambda key, n: F.pmod(F.xxhash64(key), F.col(n))
     index = rows.join(blocks, "part").select("part", "uid", "vec_id", "v", some("uid", "ib").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("qb") - 1)).alias("q"))
     asked = asked.join(blocks, "part").select("part", "asking", "query_id", "vector", "scanned", some("asking", "qb").alias("q"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("ib") - 1)).alias("i"))

@@ -104,7 +104,7 @@ def test_copies_ties_and_bad_vectors(spark):
     rng = np.random.default_rng(7)
     good = [(i, (v := rng.normal(size=8)).astype("float32").tolist()) for i in range(300)]
     good += [(1000 + i, [1.0] + [0.0] * 7) for i in range(400)]
-    bad = [(2000, None), (2020, [0.0] * 8), (2040, [None] + [1.0] * 7), (2060, [float("nan")] + [1.0] * 7), (2080, [float("inf")] + [1.0] * 7), (None, [1.0] * 8), (2100, []), (2120, [1.0])]
+    bad = [(2000, None), (2020, [0.0] * 8), (2040, [None] + [1.0] * 7), (2060, [float("nan")] + [1.0] * 7), (2080, [float("inf")] + [1.0] * 7), (None, [1.0] * 8), (2100, []), (2121, [1.0])]
     table = spark.createDataFrame([(i, v, 0, 1) for i, v in good + bad], "vec_id long, embedding array<float>, rank int, part int")
     want = _brute(good, 20, 20)
     got = defaultdict(list)
@@ -117,6 +117,21 @@ def test_copies_ties_and_bad_vectors(spark):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_each_length_is_searched(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=(8, 5, 3)[0 if i % 2 else 1 if i % 40 else 2]).tolist()) for i in range(1200)]
+    got = defaultdict(list)
+    for r in neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=100).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    hits = total = 0
+    for size in (8, 5, 3):
+        want = _brute([r for r in rows if len(r[1]) == size], 20, 20)
+        assert set(want) <= set(got) and all(len(got[q]) == len(want[q]) for q in want)
+        hits += sum(len({v for v, _ in want[q]} & set(got[q])) for q in want)
+        total += sum(map(len, want.values()))
+    assert len(got) == 60 and hits >= 0.9 * total
+
+
 @pytest.mark.parametrize("n", [0, 1, 2])
 def test_tiny_tables(spark, n):
     table = spark.createDataFrame([(20 * i, [1.0, 2.0 + i]) for i in range(n)], "vec_id long, embedding array<float>")
