@@ -11,7 +11,7 @@ vote pattern, at most 3 ** 8, and the sample's features as index and value pairs
 Characters are classed by byte: A-Z are capitals, a-z and everything outside ASCII count as small letters.
 
 Edge cases: a null or empty text, or one of white space only, has score 0.0 and is rejected; rows that repeat a doc_id each get a row,
-rows without one too (the sample then goes by the text); an empty table gives an empty result; other columns, whatever their names,
+rows without one too, and the sample goes by rows; an empty table gives an empty result; other columns, whatever their names,
 are ignored by classify() and kept by keep_good().
 """
 
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     """Weights of the scorer for docs (doc_id, text): votes of all documents, features of about `sample` of them."""
     importable(docs.sparkSession)
     share = min(1.0, sample / max(1, docs.count()))
-    chosen = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.col("text"))), F.lit(1 << 30)) < int(share * (1 << 30))
+    chosen = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)) < int(share * (1 << 30))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,8 +193,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     scratch = Scratch(docs.sparkSession)
     seen = scratch.write(docs.select("text", chosen.alias("chosen")).mapInArrow(look, "code int, i binary, x binary"))
     counts = seen.groupBy("code").agg(F.count("*").alias("n")).collect()  # at most 3 ** 8 patterns
-    # at most twice the sample, a few kB a document; sorted, so that a rerun trains on the same rows in the same order
-    rows = sorted(tuple(r) for r in seen.where("i is not null").limit(2 * sample).collect())
+    # at most twice the sample, a few kB a document; in a fixed order, so that a rerun trains on the same rows
+    rows = sorted(tuple(r) for r in seen.where("i is not null").orderBy(F.xxhash64("i", "x"), "code").limit(2 * sample).collect())
     scratch.drop(seen)
     if not rows:
         return np.zeros(WIDTH)
