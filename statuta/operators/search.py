@@ -131,3 +131,24 @@ def keyword_scan(dictionary: DataFrame, name: str, asked: str, most: int = 12) -
     # the keyword itself comes first, so it is among those shown wherever the dictionary has it
     exact = (low == asked.lower()).alias("exists")
     return hits.select(name, exact).orderBy(F.col("exists").desc(), name).limit(most)
+
+
+def newest_first(table: DataFrame, part: str, order: list[Column], number: int, size: int) -> DataFrame:
+    """U-04: page `number` of table by falling `part` (a year), then by order, reading only the parts that the page needs.
+
+    The totals of the parts, one row each, say where the page begins and ends; the rest is pruned by a filter on part, which a table that is
+    partitioned by it does not even list. Equal to the page of the full sort, nulls of part last.
+    """
+    totals = sorted(((r[part], r["n"]) for r in table.groupBy(part).agg(F.count("*").alias("n")).collect()), key=lambda x: (x[0] is not None, x[0]), reverse=True)
+    skip, first, needed, before = (number - 1) * size, None, [], 0
+    for value, n in totals:
+        if before + n > skip and before < skip + size:
+            first = before if first is None else first
+            needed.append(value)
+        before += n
+    if not needed:
+        return table.where(F.lit(False))
+    wanted = F.col(part).isin([v for v in needed if v is not None])
+    if None in needed:
+        wanted = wanted | F.col(part).isNull()
+    return table.where(wanted).orderBy(F.col(part).desc_nulls_last(), *order).offset(skip - first).limit(size)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import pages, provisions, scalars, structures, tables
+from . import layouts, pages, provisions, scalars, structures, tables
 
 #: Modules that add queries to those of `tables`.
-MORE = (pages, provisions, structures)
+MORE = (layouts, pages, provisions, structures)
 
 
 def queries() -> dict:
