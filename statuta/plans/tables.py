@@ -475,26 +475,33 @@ def version_states(t):
     return t.orders.join(newest, "o_custkey", "left").select("o_custkey", "o_orderkey", verdicts.version_state(F.col("o_orderdate"), F.col("n"), F.col("o_orderstatus") == "P", day).alias("state"))
 
 
-@query("""SELECT * FROM (VALUES (1, 'JUDGMENT', 'NOT_YET'), (2, 'BOTH', 'PARTLY'), (3, 'REASONS', 'IN_FORCE'), (4, 'UNCLEAR', 'IN_FORCE'), (5, 'UNKNOWN', 'IN_FORCE')) t(i, date_is, force)""")
+@query("""SELECT o_orderkey, ['JUDGMENT', 'BOTH', 'REASONS', 'UNCLEAR', 'UNKNOWN'][1 + o_orderkey % 5] AS date_is,
+  CASE WHEN o_orderdate > TIMESTAMP '1996-01-01' THEN 'NOT_YET' WHEN o_orderdate + INTERVAL 400 DAY > TIMESTAMP '1996-01-01' THEN 'PARTLY' ELSE 'IN_FORCE' END AS force FROM orders""")
 def date_verdicts(t):
-    """V-03, V-09."""
-    day = F.lit("2024-01-15")
-    rows = t.rows("i int, j string, p string, h string, e string, l array<string>", (1, "2021-10-01", "2021-11-01", None, "2024-02-01", []), (2, "2021-10-01", "2021-10-01", "2021-10-01", "2020-01-01", ["2025-01-01"]), (3, "2021-10-01", "2021-10-01", None, "2020-01-01", []), (4, "2021-10-01", "2021-09-01", None, "2020-01-01", ["2021-01-01"]), (5, "2021-10-01", None, None, "2020-01-01", []))
-    return rows.select("i", verdicts.reasons_date(F.col("j"), F.col("p"), F.col("h")).alias("date_is"), verdicts.in_force(F.col("e"), F.col("l"), day).alias("force"))
+    """V-03, V-09: what a date of reasons is, against the portal's and the heading's, and whether an act with a staged entry is in force."""
+    d, kind = F.col("o_orderdate"), F.col("o_orderkey") % 5
+    portal = F.when(kind == 0, F.date_add(d, 31)).when(kind < 3, F.to_date(d)).when(kind == 3, F.date_add(d, -30))
+    rows = t.orders.select("o_orderkey", F.to_date(d).alias("j"), portal.alias("p"), F.when(kind == 1, F.to_date(d)).alias("h"), F.array(F.to_date(d), F.date_add(d, 400)).alias("l"))
+    day = F.lit("1996-01-01").cast("date")
+    return rows.select("o_orderkey", verdicts.reasons_date(F.col("j"), F.col("p"), F.col("h")).alias("date_is"), verdicts.in_force(F.col("j"), F.col("l"), day).alias("force"))
 
 
-@query("""SELECT * FROM (VALUES (1, 'proxy', 'UNKNOWN'), (2, 'timeout', 'OK'), (3, 'no network', 'UNKNOWN'), (4, 'server', 'UNKNOWN'), (5, 'other', 'UNKNOWN')) t(i, class, shape)""")
+@query("""SELECT event_id, ['proxy', 'timeout', 'no network', 'server', 'other'][1 + event_id % 5] AS class, CASE event_id % 4 WHEN 0 THEN 'OK' ELSE 'UNKNOWN' END AS shape FROM events""")
 def failure_classes(t):
     """S-01, S-04: classes of transport failures, and shapes of list responses."""
-    rows = t.rows("i int, e string, r string", (1, "Proxy answered 407", "[]"), (2, "read timed out", '{"items":[{"a":1}],"totalResults":1}'), (3, "Name or service not known", '{"items":{},"totalResults":1}'), (4, "HTTP 503", '{"items":[]}'), (5, "odd", "not json"))
-    listed = F.when(tables.list_shape(F.col("r"), "items", "totalResults") == "OK", "OK").otherwise("UNKNOWN")
-    return rows.select("i", verdicts.failure_class(F.col("e")).alias("class"), listed.alias("shape"))
+    pick = lambda n, *said: F.element_at(F.array(*said), (F.col("event_id") % n + 1).cast("int"))
+    error = F.concat(pick(5, *map(F.lit, ("Proxy answered 407", "read timed out", "Name or service not known", "HTTP 503", "odd"))), F.lit(" on "), "event_type")
+    total = F.concat(F.lit('"totalResults":'), F.col("user_id").cast("string"), F.lit("}"))
+    response = pick(4, F.concat(F.lit('{"items":[{"a":1}],'), total), F.concat(F.lit('{"items":{},'), total), F.lit('{"items":[]}'), F.lit("not json"))
+    listed = F.when(tables.list_shape(response, "items", "totalResults") == "OK", "OK").otherwise("UNKNOWN")
+    return t.events.select("event_id", verdicts.failure_class(error).alias("class"), listed.alias("shape"))
 
 
-@query("""SELECT * FROM (VALUES (1, 'a', 'xhtml'), (2, 'c', 'pdf')) t(work, file, kind)""")
+@query("""SELECT l_orderkey AS work, CASE min(CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 3 END) WHEN 1 THEN 'xhtml' ELSE 'pdf' END AS kind FROM lineitem WHERE l_returnflag <> 'N' GROUP BY l_orderkey""")
 def preferred_manifestation(t):
-    """S-14, S-15, S-34: the file by order of preference."""
-    return tables.preferred(t.rows("work int, file string, kind string", (1, "a", "xhtml"), (1, "b", "pdf"), (2, "c", "pdf"), (2, "d", "doc"), (3, "e", "doc")), "work", "kind", ["xhtml", "html", "pdf"])
+    """S-14, S-15, S-34: the file by order of preference; kinds that are not in it never."""
+    files = t.lineitem.select(F.col("l_orderkey").alias("work"), F.when(F.col("l_returnflag") == "R", "xhtml").when(F.col("l_returnflag") == "A", "pdf").otherwise("doc").alias("kind"))
+    return tables.preferred(files, "work", "kind", ["xhtml", "html", "pdf"])
 
 
 # --- texts -----------------------------------------------------------------------------------------------------------------------
@@ -579,65 +586,90 @@ def raw_json(t):
     return sinks.raw_json(t.nation.select("n_nationkey", "n_name", "n_regionkey"))
 
 
-@query("""SELECT * FROM (VALUES (1, 'court: SO; judge: A; B', 'first,second'), (2, '', NULL)) t(i, labels, titles)""")
+@query("""SELECT c_custkey, CASE c_custkey % 3 WHEN 2 THEN '' ELSE 'court: ' || c_mktsegment || '; judge: ' || c_name || '; B' END AS labels, CASE c_custkey % 3 WHEN 2 THEN NULL ELSE c_name || ',second ' || c_nationkey END AS titles FROM customer""")
 def labels_and_feed(t):
     """S-20, S-22: label and value cells, and the items of a feed (none where it declares entities)."""
-    rows = t.rows("i int, h string, x string", (1, "<dl><dt>court</dt><dd>SO</dd><dt>judge</dt><dd>A</dd><dt>judge</dt> <dd><b>B</b></dd></dl>", "<rss><item><title>first</title></item><item><title><![CDATA[second]]></title></item></rss>"), (2, "<p>x</p>", "<!DOCTYPE x><rss><item><title>a</title></item></rss>"))
+    said = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    name, odd = F.col("c_name"), F.col("c_custkey") % 3 == 2
+    page = F.when(odd, said("<p>", name, "</p>")).otherwise(said("<dl><dt>court</dt><dd>", F.col("c_mktsegment"), "</dd><dt>judge</dt><dd>", name, "</dd><dt>judge</dt> <dd><b>B</b></dd></dl>"))
+    items = said("<rss><item><title>", name, "</title></item><item><title><![CDATA[second ", F.col("c_nationkey").cast("string"), "]]></title></item></rss>")
+    rows = t.customer.select("c_custkey", page.alias("h"), F.when(odd, said("<!DOCTYPE x>", items)).otherwise(items).alias("x"))
     entries = F.transform(F.map_entries(html.labelled(F.col("h"))), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
-    return rows.select("i", F.array_join(entries, "; ").alias("labels"), F.array_join(F.transform(html.feed_items(F.col("x")), lambda i: i["title"]), ",").alias("titles"))
+    return rows.select("c_custkey", F.array_join(entries, "; ").alias("labels"), F.array_join(F.transform(html.feed_items(F.col("x")), lambda i: i["title"]), ",").alias("titles"))
 
 
-@query("""SELECT * FROM (VALUES (1, 0, 'Art. 21 text'), (1, 1, 'of 7^1 a'), (2, 0, 'alone')) t(page, line_no, line)""")
+@query("""WITH w AS (SELECT l_orderkey AS doc, CAST(l_linenumber % 2 AS INTEGER) AS page, l_linenumber * 1000000 + l_partkey AS seq, l_partkey % 100 AS x, l_suppkey % 4 AS y, l_returnflag || l_linestatus AS word FROM lineitem),
+  l AS (SELECT doc, page, y, string_agg(word, ' ' ORDER BY x, seq) AS line FROM w GROUP BY 1, 2, 3) SELECT doc, page, CAST(row_number() OVER (PARTITION BY doc, page ORDER BY y) - 1 AS INTEGER) AS line_no, line FROM l""")
 def words_to_lines(t):
-    """X-15."""
-    word = "doc long, page int, seq int, x0 double, y0 double, x1 double, y1 double, word string"
-    rows = t.rows(word, (1, 1, 0, 0.0, 10.0, 5.0, 20.0, "Art."), (1, 1, 1, 6.0, 11.0, 9.0, 21.0, "21"), (1, 1, 2, 11.0, 9.5, 20.0, 20.0, "text"), (1, 1, 3, 0.0, 30.0, 5.0, 40.0, "of"), (1, 1, 4, 6.0, 30.0, 8.0, 40.0, "7"), (1, 1, 5, 8.2, 29.0, 9.0, 35.0, "1"), (1, 1, 6, 11.0, 30.0, 12.0, 40.0, "a"), (1, 2, 0, 0.0, 0.0, 1.0, 1.0, "alone"))
-    return layout.words_to_lines(rows).select("page", "line_no", "line")
+    """X-15: words of a page, here lines of orders in four rows, as lines of text."""
+    x, y = (F.col("l_partkey") % 100).cast("double"), (F.col("l_suppkey") % 4 * 10).cast("double")
+    words = t.lineitem.select(F.col("l_orderkey").cast("long").alias("doc"), (F.col("l_linenumber") % 2).cast("int").alias("page"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("seq"), x.alias("x0"), y.alias("y0"), (x + 5).alias("x1"), (y + 8).alias("y1"), F.concat("l_returnflag", "l_linestatus").alias("word"))
+    return layout.words_to_lines(words).select("doc", "page", "line_no", "line")
 
 
-@query("""SELECT * FROM (VALUES (0, 'TITLE OF THE WHOLE PAGE ACROSS BOTH'), (1, 'left 1'), (2, 'left 2'), (3, 'left 3'), (4, 'left 4'), (5, 'left 5'), (6, 'left 6'), (7, 'left 7'), (8, 'left 8'), (9, 'right 1'), (10, 'right 2'), (11, 'right 3'), (12, 'right 4'), (13, 'right 5'), (14, 'right 6'), (15, 'right 7'), (16, 'right 8')) t(line_no, line)""")
+@query("""SELECT o_orderkey AS doc, CAST(i AS INTEGER) AS line_no, CASE WHEN i = 0 THEN 'A_TITLE_THAT_RUNS_ACROSS_BOTH_OF_THE_COLUMNS_OF_PAGE_' || o_orderkey WHEN i <= 8 THEN 'left ' || o_orderkey || ' ' || i ELSE 'right ' || o_custkey || ' ' || (i - 8) END AS line FROM orders, range(0, 17) t(i)""")
 def column_order(t):
-    """X-14, X-21."""
-    rows = [(1, 1, 0, "TITLE OF THE WHOLE PAGE ACROSS BOTH")] + [(1, 1, i, f"left {i}".ljust(20) + f"right {i}".ljust(16)) for i in range(1, 9)]
-    return layout.column_order(t.rows("doc long, page int, line_no int, line string", *rows)).select("line_no", "line")
+    """X-14, X-21: pages of two columns, one an order, in reading order."""
+    i = F.col("line_no")
+    left = F.rpad(F.concat(F.lit("left "), F.col("doc").cast("string"), F.lit(" "), i.cast("string")), 28, " ")
+    text = F.when(i == 0, F.concat(F.lit("A_TITLE_THAT_RUNS_ACROSS_BOTH_OF_THE_COLUMNS_OF_PAGE_"), F.col("doc").cast("string"))).otherwise(F.concat(left, F.lit("right "), F.col("o_custkey").cast("string"), F.lit(" "), i.cast("string")))
+    lines = t.orders.select(F.col("o_orderkey").cast("long").alias("doc"), "o_custkey", F.lit(1).alias("page"), F.explode(F.sequence(F.lit(0), F.lit(8))).alias("line_no"))
+    return layout.column_order(lines.select("doc", "page", "line_no", text.alias("line"))).select("doc", "line_no", "line")
 
 
-@query("""SELECT * FROM (VALUES (2, 1, 'note')) t(line_no, beside, line)""")
+@query("""SELECT o_orderkey AS doc, 12 AS line_no, CAST(o_orderkey % 10 AS INTEGER) AS beside, 'note ' || o_custkey AS line FROM orders""")
 def margin_notes(t):
-    """X-16, A-07."""
-    rows = [(1, 1, i, 0.0, 10.0 * i, 50.0, f"body {i}") for i in range(2)] + [(1, 1, 2, 60.0, 12.0, 70.0, "note")] + [(1, 1, i, 0.0, 10.0 * i, 50.0, f"body {i}") for i in range(3, 12)]
-    return layout.notes_to_body(layout.margin_notes(t.rows(layout.LINES, *rows))).select("line_no", "beside", "line")
-
-
-@query("""SELECT * FROM (VALUES ('2)', 1)) t(word, seq)""")
+    """X-16, A-07: notes in the margin, one on each order's page, with the line that they stand beside."""
+    i = F.col("line_no")
+    rows = t.orders.select(F.col("o_orderkey").cast("long").alias("doc"), "o_custkey", F.explode(F.sequence(F.lit(0), F.lit(12))).alias("line_no"))
+    pick = lambda note, body: F.when(i == 12, note).otherwise(body)
+    lines = rows.select(
+        "doc", F.lit(1).alias("page"), "line_no", pick(F.lit(60.0), F.lit(0.0)).alias("x0"), pick(F.col("doc") % 10 * 10 + 2, i * 10).cast("double").alias("y0"), pick(F.lit(70.0), F.lit(50.0)).alias("x1"),
+        pick(F.concat(F.lit("note "), F.col("o_custkey").cast("string")), F.concat(F.lit("body "), i.cast("string"))).alias("line"),
+    )
+    return layout.notes_to_body(layout.margin_notes(lines)).select("doc", "line_no", "beside", "line")
+
+
+@query("""SELECT o_orderkey AS doc, (o_orderkey % 99 + 1) || ')' AS word, 1 AS seq FROM orders""")
 def footnote_marks(t):
-    """X-18."""
-    word = "doc long, page int, seq int, x0 double, y0 double, x1 double, y1 double, word string"
-    return layout.footnote_marks(t.rows(word, (1, 1, 0, 0.0, 10.0, 9.0, 20.0, "ustawy"), (1, 1, 1, 9.0, 9.0, 11.0, 15.0, "2)"), (1, 1, 2, 12.0, 10.0, 14.0, 20.0, "3)"))).select("word", "seq")
+    """X-18: raised marks of notes, and none of the same size as the text."""
+    word = lambda seq, x0, y0, x1, y1, said: F.struct(F.lit(seq).alias("seq"), *[F.lit(v).alias(n) for n, v in (("x0", x0), ("y0", y0), ("x1", x1), ("y1", y1))], said.alias("word"))
+    mark = F.concat((F.col("o_orderkey") % 99 + 1).cast("string"), F.lit(")"))
+    every = F.array(word(0, 0.0, 10.0, 9.0, 20.0, F.lit("ustawy")), word(1, 9.0, 9.0, 11.0, 15.0, mark), word(2, 12.0, 10.0, 14.0, 20.0, mark))
+    words = t.orders.select(F.col("o_orderkey").alias("doc"), F.lit(1).alias("page"), F.explode(every).alias("w")).select("doc", "page", "w.*")
+    return layout.footnote_marks(words).select("doc", "word", "seq")
 
 
-@query("""SELECT * FROM (VALUES (0, 3, FALSE)) t(first_line, last_line, uncertain)""")
+@query("""SELECT o_orderkey AS doc, 0 AS first_line, CAST(3 + o_orderkey % 2 AS INTEGER) AS last_line, o_orderkey % 2 = 1 AS uncertain FROM orders""")
 def uncertain_tables(t):
-    """X-19, J-11."""
-    rows = [(1, 1, i, x) for i, x in enumerate(["name     from     to", "a        1        2", "b        3        4", "c        5        6", "", "", "", "text goes on"])]
-    return layout.uncertain_tables(t.rows("doc long, page int, line_no int, line string", *rows)).select("first_line", "last_line", "uncertain")
+    """X-19, J-11: tables on the orders' pages; one whose row goes on left of a cell above it is uncertain."""
+    cell = lambda *said: F.concat(*[F.rpad(x if not isinstance(x, str) else F.lit(x), 9, " ") for x in said])
+    small = F.col("o_custkey").cast("string")
+    plain = [cell("name", "from", "to"), cell("a", small, "2"), cell("b", "3", small), cell("c", "5", "6")]
+    after = [F.lit(""), F.lit(""), F.lit(""), F.lit("text goes on")]
+    lines = F.when(F.col("o_orderkey") % 2 == 1, F.array(*plain[:2], F.lit("       x        y"), *plain[2:], *after)).otherwise(F.array(*plain, *after))
+    rows = t.orders.select(F.col("o_orderkey").cast("long").alias("doc"), F.lit(1).alias("page"), F.posexplode(lines).alias("line_no", "line"))
+    return layout.uncertain_tables(rows).select("doc", "first_line", "last_line", "uncertain")
 
 
-@query("""SELECT * FROM (VALUES (1, '1:see|2:odnośnik 3|3:end', '2,3')) t(doc, notes, reached)""")
+@query("""SELECT o_orderkey AS doc, '1:see ' || o_custkey || '|2:odnośnik 3|3:end' AS notes, CASE WHEN o_orderkey % 2 = 0 THEN '2,3' ELSE '1' END AS reached FROM orders""")
 def footnote_closure(t):
-    """X-06."""
-    rows = passages.lines(t.rows("doc int, text string", (1, "1) see\n2) odnośnik 3\n3) end\n2) again")), "doc", F.col("text"))
-    notes = passages.footnotes(rows, "doc")
-    reached = passages.note_closure(notes, "doc", t.rows("doc int, note int", (1, 2)))
-    said = notes.groupBy("doc").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "note", "text"))), "|").alias("notes"))
-    return said.join(reached.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_set("note")), lambda n: n.cast("string")), ",").alias("reached")), "doc")
+    """X-06: the notes of each order's text, and those reached from one by its references."""
+    said = F.concat(F.lit("1) see "), F.col("o_custkey").cast("string"), F.lit("\n2) odnośnik 3\n3) end\n2) again"))
+    texts = t.orders.select(F.col("o_orderkey").alias("doc"), said.alias("text"))
+    notes = passages.footnotes(passages.lines(texts, "doc", F.col("text")), "doc")
+    reached = passages.note_closure(notes, "doc", texts.select("doc", F.when(F.col("doc") % 2 == 0, 2).otherwise(1).alias("note")))
+    every = notes.groupBy("doc").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "note", "text"))), "|").alias("notes"))
+    return every.join(reached.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_set("note")), lambda n: n.cast("string")), ",").alias("reached")), "doc")
 
 
-@query("""SELECT * FROM (VALUES (1, 7, 28)) t(i, s, e)""")
+@query("""SELECT o_orderkey, CAST(8 + length(o_custkey::VARCHAR) AS INTEGER) AS s, CAST(29 + length(o_custkey::VARCHAR) AS INTEGER) AS e FROM orders""")
 def snapped_edges(t):
-    """X-03."""
-    s = passages.snapped(F.col("t"), F.lit(14), F.lit(20))
-    return t.rows("i int, t string", (1, "First. Second sentence here. Third.")).select("i", s["s"].cast("int").alias("s"), s["e"].cast("int").alias("e"))
+    """X-03: a span inside a sentence of each order's text, moved out to the sentence."""
+    shift = F.char_length(F.col("o_custkey").cast("string")) + 1
+    rows = t.orders.select("o_orderkey", F.concat(F.lit("First "), F.col("o_custkey").cast("string"), F.lit(". Second sentence here. Third.")).alias("t"), (shift + 14).alias("a"), (shift + 20).alias("b"))
+    s = passages.snapped(F.col("t"), F.col("a"), F.col("b"))
+    return rows.select("o_orderkey", s["s"].cast("int").alias("s"), s["e"].cast("int").alias("e"))
 
 
 def queries() -> dict:
@@ -692,8 +724,7 @@ def article_currency(t):
 @query("""SELECT o_orderstatus AS status, CAST(year(o_orderdate) AS INTEGER) AS made, count(*) AS n FROM orders GROUP BY GROUPING SETS ((o_orderstatus, year(o_orderdate)), (o_orderstatus), ())""")
 def grouping_sets(t):
     """§2.12: counts by status and year, by status, and over all, in one aggregation."""
-    t.orders.createOrReplaceTempView("statuta_orders")
-    return t.orders.sparkSession.sql("SELECT o_orderstatus AS status, CAST(year(o_orderdate) AS INT) AS made, count(*) AS n FROM statuta_orders GROUP BY GROUPING SETS ((o_orderstatus, year(o_orderdate)), (o_orderstatus), ())")
+    return t.spark.sql("SELECT o_orderstatus AS status, CAST(year(o_orderdate) AS INT) AS made, count(*) AS n FROM {o} GROUP BY GROUPING SETS ((o_orderstatus, year(o_orderdate)), (o_orderstatus), ())", o=t.orders)
 
 
 @query("""SELECT c_mktsegment AS segment, count(*) FILTER (c_nationkey % 2 = 0) AS even, count(*) FILTER (c_nationkey % 2 = 1) AS odd FROM customer GROUP BY 1""")
