@@ -180,6 +180,16 @@ def article_key(phrase: Column) -> Column:
     return F.when(s.rlike(pattern), F.lower(F.concat(F.regexp_extract(s, pattern, 1), F.when(index != "", F.concat(F.lit("^"), index)).otherwise(""), F.regexp_extract(s, pattern, 5)))).otherwise("")
 
 
+UNIT = r"\d+[a-z]*(?:\x20\d+[a-z]*)*"
+UNIT_LIST = rf"{UNIT}(?:(?:\s*,\s*|\s+i\s+|\s+oraz\s+|\s*[–—-]\s*)(?:art\.\s*)?{UNIT})*"
+
+
+def plain_numbers(text: Column) -> Column:
+    """Indices written above the line or in brackets, as further numbers after a space: art. 4¹, art. 4^1 and art. 4(1) are 'art. 4 1'."""
+    raised = F.regexp_replace(text, rf"(?<=\d|[a-z])([{SUPERSCRIPTS}]+)", " $1")
+    return F.regexp_replace(F.translate(raised, SUPERSCRIPTS, DIGITS), r"(?i)(?<=art\. ?)(\d+[a-z]*)(?:\((\d+[a-z]*)\)|\^(\d+[a-z]*))", "$1 $2$3")
+
+
 def unit_list(s: Column) -> Column:
     """I-13: struct(keys, ranges) of '5, 6 i 8' or '459–478'; ranges that cannot be spelled out are 'from..to'.
 

@@ -105,3 +105,14 @@ def correction_scope(s: Column) -> Column:
     units = F.array_distinct(F.regexp_extract_all(s, F.lit(r"(?i)(?:article|artykuł|art\.)\s+(\d+[a-z]?)"), F.lit(1)))
     keyed = F.transform(units, lambda u: F.struct(F.regexp_extract(u, r"^(\d+)", 1).cast("int").alias("n"), u.alias("u")))
     return F.transform(F.array_sort(keyed), lambda x: x["u"])
+
+
+def text_verdict(s: Column, page_break: str = "\f") -> Column:
+    """X-05: struct(notes, blocked): quality_notes(), and whether only the first of several pages has text and whether no unit is marked; blocked says that
+    nothing may be concluded: no text, or more than one character in a hundred lost."""
+    pages = F.split(F.coalesce(s, F.lit("")), page_break)
+    rest = F.slice(pages, 2, F.greatest(F.size(pages) - 1, F.lit(0)))
+    first_only = (F.size(pages) > 1) & (word_chars(pages[0]) >= 20) & F.forall(rest, lambda p: word_chars(p) < 20)
+    more = F.array_compact(F.array(F.when(first_only, "only the first page has text"), F.when(~F.coalesce(s, F.lit("")).rlike(r"(?m)^\s*(?:Art\.|§)"), "no unit")))
+    blocked = (word_chars(s) == 0) | (100 * F.coalesce(replacement_chars(s), F.lit(0)) > F.coalesce(F.char_length(s), F.lit(0)))
+    return F.struct(F.concat(quality_notes(s), more).alias("notes"), blocked.alias("blocked"))

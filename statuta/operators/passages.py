@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.identifiers import UNIT_LIST, article_key, plain_numbers, unit_key, unit_list
 from ..functions.text import regex_literal
 from .sequences import merged_intervals
 
@@ -58,17 +59,74 @@ def units(line_rows: DataFrame, key: str, heading: Column) -> DataFrame:
     return marked.select(key, "s", F.coalesce(nxt - 1, F.col("_end")).alias("e"), F.col("line").alias("heading"))
 
 
-def unit_of(unit_rows: DataFrame, key_of_heading: Column, wanted: str) -> DataFrame:
-    """X-04: the units whose heading names the wanted article; the number is compared as text, so 5 is not 5a."""
-    return unit_rows.where(key_of_heading == wanted)
+def unit_texts(texts: DataFrame, key: str, asked: DataFrame) -> DataFrame:
+    """X-04: texts (key, text) and asked (key, phrase): (key, article, s, e, text) of the units that the phrases name, from a heading to the next one.
 
-
-def paragraphs(line_rows: DataFrame, key: str) -> DataFrame:
-    """X-13: lines joined to paragraphs: a new one after a blank line, at deep indentation, at a table row or at a unit's mark."""
+    A heading begins a line outside quotations: 'Art. 5a.' or '§ 4.', with a footnote mark or an opening bracket or without; its number is compared
+    as a key, so 5 is neither 5a nor 5 with a raised 1. A unit that stands in several places has a row for each.
+    """
+    from .provisions import quotations
+
+    read = texts.select(key, F.col("text").alias("_text"), quotations(F.col("text"))["masked"].alias("_masked"))
+    heading = r"^[\s\[<]*(?:Art\.|§)\s*(\d+[a-z]*(?:\x20\d+[a-z]*)*?)(?:\.|\x20?\d+\))"
+    rows = lines(read, key, F.col("_masked"))
+    found = units(rows, key, plain_numbers(F.col("line")).rlike(heading))
+    number = unit_key(F.regexp_extract(plain_numbers(F.col("heading")), heading, 1))
+    named = found.select(key, F.concat(F.when(F.col("heading").contains("§"), "§").otherwise(""), number).alias("article"), "s", "e")
+    paragraph = F.concat(F.lit("§"), unit_key(F.regexp_extract("phrase", r"^\s*§\s*(\d+[a-z]*(?:\x20\d+[a-z]*)*)", 1)))
+    wanted = asked.select(key, F.when(F.col("phrase").rlike(r"^\s*§"), paragraph).otherwise(article_key(F.col("phrase"))).alias("article")).where("article not in ('', '§')").distinct()
+    hit = named.join(wanted, [key, "article"])
+    return hit.join(read.select(key, "_text"), key).select(key, "article", "s", "e", F.substring("_text", (F.col("s") + 1).cast("int"), (F.col("e") - F.col("s")).cast("int")).alias("text"))
+
+
+def cited_provisions(text: Column, most: int = 40) -> Column:
+    """S-17, S-21: array of (act, article): the first provisions that a judgment cites. Articles belong to the journal position that follows them; act is
+    'year/position', null for articles that none follows."""
+    token = rf"(?i)\bart\.\s*{UNIT_LIST}|Dz\.\s*U\.[^()]*?poz\.\s*\d+"
+    found = F.regexp_extract_all(plain_numbers(F.coalesce(text, F.lit(""))), F.lit(token), F.lit(0))
+    act = lambda x: F.concat_ws("/", F.nullif(F.regexp_extract(x, r"(\d{4})", 1), F.lit("")), F.regexp_extract(x, r"poz\.\s*(\d+)", 1))
+    keys = lambda x: unit_list(F.regexp_replace(x, r"(?i)art\.\s*", ""))["keys"]
+    pairs = lambda of, articles: F.transform(articles, lambda a: F.struct(of.alias("act"), a.alias("article")))
+    step = lambda acc, x: F.when(
+        x.startswith("Dz"), F.struct(F.array().cast("array<string>").alias("open"), F.concat(acc["out"], pairs(act(x), acc["open"])).alias("out"))
+    ).otherwise(F.struct(F.concat(acc["open"], keys(x)).alias("open"), acc["out"].alias("out")))
+    start = F.struct(F.array().cast("array<string>").alias("open"), F.array().cast("array<struct<act:string,article:string>>").alias("out"))
+    every = F.aggregate(found, start, step, lambda acc: F.concat(acc["out"], pairs(F.lit(None).cast("string"), acc["open"])))
+    return F.slice(F.array_distinct(every), 1, most)
+
+
+def page_noise(page_lines: DataFrame, share: float = 0.6) -> DataFrame:
+    """X-12: lines (doc, page, line_no, line) that are not text, with kind: watermark (one shape at one place on most pages), contents (dots and a page at
+    the end), number (a bare page number)."""
+    shape = F.regexp_replace(F.trim("line"), r"\d+", "#")
+    rows = page_lines.withColumn("_shape", shape)
+    pages = page_lines.groupBy("doc").agg(F.count_distinct("page").alias("_pages"))
+    often = rows.where("_shape != ''").groupBy("doc", "line_no", "_shape").agg(F.count_distinct("page").alias("_n")).join(pages, "doc").where((F.col("_pages") > 1) & (F.col("_n") >= share * F.col("_pages")))
+    both = rows.join(often.select("doc", "line_no", "_shape", F.lit(True).alias("_often")), ["doc", "line_no", "_shape"], "left")
+    kind = F.when(F.trim("line").rlike(r"(?i)^[-–— ]*(?:strona |str\. |s\. )?\d+[-–— ]*$"), "number").when(F.col("line").rlike(r"\.{5,}\s*\d+\s*$"), "contents").when(F.col("_often"), "watermark")
+    return both.select("doc", "page", "line_no", kind.alias("kind")).where("kind is not null")
+
+
+def amounts_at_end(line_rows: DataFrame, key: str) -> DataFrame:
+    """X-13: paragraphs() of lines whose amounts stand in a column of their own, from the fortieth character on: amounts go to the end of their paragraph."""
+    column = r"^(.{37,}?\S) {3,}(\d[\d  ]*,\d{2})\s*$"
+    apart = line_rows.withColumn("_amount", F.nullif(F.regexp_extract("line", column, 2), F.lit(""))).withColumn("line", F.regexp_replace("line", column, "$1"))
+    bodies = paragraphs(apart, key)
     w = Window.partitionBy(key).orderBy("line_no")
+    places = numbered_paragraphs(apart, key, w).where("_amount is not null").groupBy(key, "para").agg(F.array_sort(F.collect_list(F.struct("line_no", "_amount"))).alias("a"))
+    return bodies.join(places, [key, "para"], "left").select(key, "para", "n_lines", F.concat_ws(" ", "text", F.array_join(F.transform("a", lambda x: x["_amount"]), " ")).alias("text"))
+
+
+def numbered_paragraphs(line_rows: DataFrame, key: str, w) -> DataFrame:
+    """line_rows plus para, the number of the paragraph that a line is in."""
     mark = r"^\s*(?:Art\.|§|Rozdział|\d+[.)]|[a-z]\))"
     new = (F.coalesce(F.lag(F.trim("line")).over(w), F.lit("")) == "") | F.col("line").rlike(r"^ {16}") | F.trim("line").rlike(r"\S {3,}\S") | F.col("line").rlike(mark)
-    marked = line_rows.withColumn("_n", F.when(new, 1).otherwise(0)).withColumn("para", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return line_rows.withColumn("_n", F.when(new, 1).otherwise(0)).withColumn("para", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+
+def paragraphs(line_rows: DataFrame, key: str) -> DataFrame:
+    """X-13: lines joined to paragraphs: a new one after a blank line, at deep indentation, at a table row or at a unit's mark."""
+    marked = numbered_paragraphs(line_rows, key, Window.partitionBy(key).orderBy("line_no"))
     parts = marked.where(F.trim("line") != "").groupBy(key, "para").agg(F.array_sort(F.collect_list(F.struct("line_no", F.trim("line").alias("t")))).alias("p"))
     return parts.select(key, "para", F.size("p").alias("n_lines"), F.array_join(F.transform("p", lambda x: x["t"]), " ").alias("text"))
 

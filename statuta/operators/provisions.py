@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.identifiers import DIGITS, SUPERSCRIPTS, unit_list
+from ..functions.identifiers import UNIT, UNIT_LIST, plain_numbers, unit_list
 
 OPENING, CLOSING = "„", "”“"
 #: A quotation of more characters has lost its closing mark.
@@ -68,16 +68,6 @@ def quotations(text: Column, longest: int = LONGEST) -> Column:
     return F.arrow_udf(fold, "masked string, quoted string, unsure array<struct<s: long, e: long>>, depth int")(text)
 
 
-_UNIT = r"\d+[a-z]*(?:\x20\d+[a-z]*)*"
-_LIST = rf"{_UNIT}(?:(?:\s*,\s*|\s+i\s+|\s+oraz\s+|\s*[–—-]\s*)(?:art\.\s*)?{_UNIT})*"
-
-
-def plain_numbers(text: Column) -> Column:
-    """Indices written above the line or in brackets, as further numbers after a space: art. 4¹, art. 4^1 and art. 4(1) are 'art. 4 1'."""
-    raised = F.regexp_replace(text, rf"(?<=\d|[a-z])([{SUPERSCRIPTS}]+)", " $1")
-    return F.regexp_replace(F.translate(raised, SUPERSCRIPTS, DIGITS), r"(?i)(?<=art\. ?)(\d+[a-z]*)(?:\((\d+[a-z]*)\)|\^(\d+[a-z]*))", "$1 $2$3")
-
-
 def changed_units(text: Column) -> Column:
     """X-08: struct(keys, ranges, whole, unsure) of the articles that an amending act's text changes, repeals or adds.
 
@@ -88,10 +78,10 @@ def changed_units(text: Column) -> Column:
     parts = quotations(text)
     outside, inside = plain_numbers(parts["masked"]), plain_numbers(parts["quoted"])
     # the grammar of a list, with the word before it; a list behind 'po' is dropped with its own articles only
-    named = F.regexp_extract_all(outside, F.lit(rf"(?i)(?:\bpo\s+)?\bart\.\s*{_LIST}"), F.lit(0))
+    named = F.regexp_extract_all(outside, F.lit(rf"(?i)(?:\bpo\s+)?\bart\.\s*{UNIT_LIST}"), F.lit(0))
     named = F.filter(named, lambda x: ~x.rlike(r"(?i)^po\s"))
     lists = F.transform(named, lambda x: unit_list(F.regexp_replace(x, r"(?i)art\.\s*", "")))
-    headings = F.regexp_extract_all(inside, F.lit(rf"(?m)^[ \t{OPENING}]*Art\.\s*({_UNIT})\."), F.lit(1))
+    headings = F.regexp_extract_all(inside, F.lit(rf"(?m)^[ \t{OPENING}]*Art\.\s*({UNIT})\."), F.lit(1))
     from_headings = F.transform(headings, lambda x: unit_list(x))
     both = F.concat(lists, from_headings)
     whole = outside.rlike(r"(?iu)w\s+całej\s+ustawie|uchyla\s+się\s+(?:rozdział|dział|oddział|tytuł|księg|część)|(?:rozdział|dział|oddział|tytuł)\s+\w+\s+otrzymuje\s+brzmienie")
@@ -105,7 +95,7 @@ def changed_units(text: Column) -> Column:
 _NUMBER = r"(?:[IVX]+\.?|\d+[.)]|[a-z]\))"
 #: What a ruling's operative part is made of, as kinds of tokens. A subject begins with a capital or a section mark at the start of a clause.
 _TOKENS = re.compile(
-    rf"""(?P<subject>(?:(?:^|(?<=[:;.])\s*)(?:{_NUMBER}\s+)?|(?<=\s){_NUMBER}\s+)(?P<mark>Art\.|§)\s*(?P<units>{_LIST}))
+    rf"""(?P<subject>(?:(?:^|(?<=[:;.])\s*)(?:{_NUMBER}\s+)?|(?<=\s){_NUMBER}\s+)(?P<mark>Art\.|§)\s*(?P<units>{UNIT_LIST}))
     |(?P<order>(?<!\S)(?:[IVX]+\.?|\d+[.)])\s+(?=Przepis))
     |(?P<back>(?i:(?:ustawy|rozporządzenia|kodeksu|przepis\w*)\s+(?:powołan\w+|wymienion\w+|wskazan\w+)\s+w\s+(?:pkt|punkcie|części)\s+(?P<point>[IVX]+|\d+)|te(?:j|jże|go)\s+(?:ustawy|rozporządzenia|kodeksu)))
     |(?P<act>(?:ustawy|rozporządzenia|kodeksu|Kodeksu|dekretu|uchwały)\s+(?:(?!\s(?:jest|są|nie|w\s+zakresie|w\s+części|w\s+brzmieniu|rozumian)\b).)*?)(?=\s*(?:\(|,|:|\s(?:jest|są|nie|traci|w\s+zakresie|w\s+części|w\s+brzmieniu|rozumian)\b|$))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import provisions
+from ..functions import text as texts_
+from ..operators import passages, provisions
 from .tables import query
 
 DAY = "1998-01-01"
@@ -86,3 +87,56 @@ def provision_currency(t):
     asked = t.orders.select(F.col("o_orderkey").alias("act"), F.explode(F.concat(plain, F.array(F.concat((1 + F.col("o_orderkey") % 50).cast("string"), F.lit("^5"))))).alias("article"))
     checked = t.orders.where("o_orderstatus != 'P'").select(F.col("o_orderkey").alias("act"))
     return provisions.currency(asked, changes, contained, checked, F.lit(DAY).cast("timestamp"))
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i FROM lineitem)
+  SELECT l_orderkey, (2 * i)::VARCHAR AS article, 'Art. ' || 2 * i || '. Przepis o części ' || l_partkey || ' mówi:' || chr(10) || '„Art. 4. Nie ten.”' AS text FROM l WHERE i = 2
+  UNION ALL SELECT l_orderkey, '§' || (2 * i + 1) AS article, '§ ' || (2 * i + 1) || '. Ustęp ' || l_partkey AS text FROM l WHERE i = 3""")
+def unit_of_article(t):
+    """X-04, I-12: the text of the article and of the paragraph that are asked for, from their headings to the next; what a quotation brings is no heading."""
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    rows = t.lineitem.select("l_orderkey", "l_partkey", number.alias("i"))
+    unit = F.when(F.col("i") % 2 == 0, F.format_string("Art. %d. Przepis o części %d mówi:\n„Art. 4. Nie ten.”", 2 * F.col("i"), F.col("l_partkey"))).otherwise(F.format_string("§ %d. Ustęp %d", 2 * F.col("i") + 1, F.col("l_partkey")))
+    texts = _joined(rows, "l_orderkey", ["i"], unit, "\n")
+    asked = texts.select("l_orderkey", F.explode(F.array(F.lit("art. 4"), F.lit("§ 7"), F.lit("art. 40"))).alias("phrase"))
+    return passages.unit_texts(texts, "l_orderkey", asked).select("l_orderkey", "article", "text")
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_partkey % 90 + 1 AS a, CAST(year(l_shipdate) AS VARCHAR) || '/' || l_suppkey AS act FROM lineitem)
+  SELECT act, article, count(DISTINCT l_orderkey) AS judgments FROM (SELECT l_orderkey, act, unnest([a::VARCHAR, a || '^2']) AS article FROM l) GROUP BY 1, 2""")
+def cited_in_judgments(t):
+    """S-17, S-21, I-09: how many judgments cite a provision: articles with the journal position of their act, from the texts."""
+    clause = F.format_string("na podstawie art. %d i art. %d² ustawy o drogach (Dz. U. z %d r. poz. %d)", F.col("l_partkey") % 90 + 1, F.col("l_partkey") % 90 + 1, F.year("l_shipdate"), F.col("l_suppkey"))
+    texts = _joined(t.lineitem, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], clause, ", ")
+    cited = texts.select("l_orderkey", F.explode(passages.cited_provisions(F.col("text"))).alias("c")).select("l_orderkey", "c.*")
+    return cited.groupBy("act", "article").agg(F.count_distinct("l_orderkey").alias("judgments"))
+
+
+@query("""WITH p AS (SELECT l_orderkey AS doc, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INTEGER) AS page, l_returnflag, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem)
+  SELECT doc, page, 0 AS line_no, 'watermark' AS kind FROM p WHERE n > 1 UNION ALL SELECT doc, page, 2, 'contents' FROM p WHERE l_returnflag = 'R' UNION ALL SELECT doc, page, 3, 'number' FROM p""")
+def page_noise(t):
+    """X-12: watermarks, tables of contents and page numbers of the pages of orders."""
+    rows = t.lineitem.select(F.col("l_orderkey").alias("doc"), F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")).alias("page"), "l_partkey", "l_suppkey", "l_returnflag")
+    word = F.concat(F.lit("treść "), F.translate(F.md5(F.concat_ws("-", "doc", "page", "l_partkey")), "0123456789", "ghijklmnop"))
+    lines = F.array(F.lit("KOPIA URZĘDOWA 1/2"), word, F.when(F.col("l_returnflag") == "R", F.format_string("Rozdział %d ......... %d", F.col("l_partkey"), F.col("l_suppkey"))).otherwise(F.concat(word, F.lit(" dalej"))), F.format_string("– %d –", F.col("page")))
+    return passages.page_noise(rows.select("doc", "page", F.posexplode(lines).alias("line_no", "line")))
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i FROM lineitem)
+  SELECT l_orderkey, CAST(1 AS BIGINT) AS para, CAST(count(*) AS INTEGER) AS n_lines, string_agg(rpad('pozycja ' || l_partkey || ' ', 42, '.'), ' ' ORDER BY i) || ' ' || string_agg(l_suppkey || ',50', ' ' ORDER BY i) AS text FROM l GROUP BY 1""")
+def amounts_at_end(t):
+    """X-13: amounts in a column of their own go to the end of their paragraph."""
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    line = F.concat(F.rpad(F.format_string("pozycja %d ", F.col("l_partkey")), 42, "."), F.lit("    "), F.col("l_suppkey").cast("string"), F.lit(",50"))
+    return passages.amounts_at_end(t.lineitem.select("l_orderkey", number.alias("line_no"), line.alias("line")), "l_orderkey")
+
+
+@query(r"""WITH p AS (SELECT conv_id, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i, length(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}_]', '', 'g')) AS w FROM conversations),
+  c AS (SELECT conv_id, count(*) AS n, sum(w) AS w, max(CASE WHEN i = 1 THEN w END) AS first, max(CASE WHEN i > 1 THEN w ELSE 0 END) AS rest, string_agg(text, chr(12) ORDER BY i) AS text FROM p GROUP BY 1)
+  SELECT conv_id, array_to_string(list_filter([CASE WHEN trim(text) = '' THEN 'empty' END, CASE WHEN contains(text, chr(65533)) THEN 'undecodable characters' END, CASE WHEN w < 20 THEN 'almost no text' END, CASE WHEN NOT contains(text, '.') THEN 'no sentence' END,
+    CASE WHEN n > 1 AND first >= 20 AND rest < 20 THEN 'only the first page has text' END, 'no unit'], lambda x: x IS NOT NULL), ', ') AS notes, w = 0 OR 100 * (length(text) - length(replace(text, chr(65533), ''))) > length(text) AS blocked FROM c""")
+def text_verdicts(t):
+    """X-05, A-08, A-10: what speaks against a text of several pages (the turns of a conversation), and whether it may be relied on at all."""
+    texts = _joined(t.conversations, "conv_id", ["turn", "role", "text"], F.coalesce("text", F.lit("")), "\f")
+    found = texts.select("conv_id", texts_.text_verdict(F.col("text")).alias("v"))
+    return found.select("conv_id", F.array_join("v.notes", ", ").alias("notes"), "v.blocked")

@@ -147,12 +147,17 @@ def freshness_bound(t):
     return bound.withColumn("reach", verdicts.beyond_collection(F.lit("2024-01-14").cast("timestamp"), F.col("bound")))
 
 
-@query("""SELECT k.s_suppkey, k.n, k.number, k.size, CASE WHEN k.n > 0 THEN 'OK' WHEN k.total = 0 THEN 'VERIFIED_ABSENT' WHEN k.number * k.size >= 10000 AND k.total > 10000 THEN 'WINDOW_EXHAUSTED' WHEN (k.number - 1) * k.size >= k.total THEN 'BEYOND_END' ELSE 'SERVER_FAULT' END AS status
-  FROM (SELECT s_suppkey, s_suppkey % 3 = 0 AS e, CAST(CASE WHEN s_suppkey % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS n, CAST(s_suppkey % 1200 AS INTEGER) AS number, 10 AS size, s_suppkey * 211 % 20000 AS total FROM supplier) k""")
+@query("""WITH c AS (SELECT c_nationkey, count(*) AS total FROM customer GROUP BY 1), a AS (SELECT s_suppkey, CAST(s_suppkey % 12 + 1 AS INTEGER) AS number, coalesce(total, 0) AS total FROM supplier LEFT JOIN c ON c_nationkey = s_nationkey),
+  n AS (SELECT *, greatest(0, least(10, total - (number - 1) * 10)) AS rows FROM a)
+  SELECT s_suppkey, number, total, rows, CASE WHEN rows > 0 THEN 'OK' WHEN total = 0 THEN 'VERIFIED_ABSENT' WHEN number * 10 >= 60 AND total > 60 THEN 'WINDOW_EXHAUSTED' ELSE 'BEYOND_END' END AS status FROM n""")
 def empty_page_reason(t):
-    """L-06."""
-    k = t.supplier.select("s_suppkey", F.when(F.col("s_suppkey") % 3 == 0, 1).otherwise(0).alias("n"), (F.col("s_suppkey") % 1200).cast("int").alias("number"), F.lit(10).alias("size"), (F.col("s_suppkey") * 211 % 20000).alias("total"))
-    return k.select("s_suppkey", "n", "number", "size", search.page_status(F.col("total"), F.col("number"), F.col("size"), F.col("n")).alias("status"))
+    """L-06: why a page of ten customers of a supplier's nation is empty: the pages are those that the list has."""
+    listed = t.customer.select("c_nationkey", F.ceil(F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")) / 10).cast("int").alias("number"))
+    pages = listed.groupBy("c_nationkey", "number").agg(F.count("*").alias("rows"))
+    totals = t.customer.groupBy("c_nationkey").agg(F.count("*").alias("total"))
+    asked = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("c_nationkey"), (F.col("s_suppkey") % 12 + 1).cast("int").alias("number"))
+    both = asked.join(pages, ["c_nationkey", "number"], "left").join(totals, "c_nationkey", "left").select("s_suppkey", "number", F.coalesce("total", F.lit(0).cast("long")).alias("total"), F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
+    return both.withColumn("status", search.page_status(F.col("total"), F.col("number"), F.lit(10), F.col("rows"), window=60))
 
 
 @query("""SELECT p_brand, p_partkey, rank FROM (SELECT p_brand, p_partkey, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS INTEGER) AS rank FROM part) WHERE rank = 1""")
@@ -424,11 +429,15 @@ def finality_cautious(t):
     return both.select("doc_id", verdicts.finality(F.array(F.col("quality") == 1, F.col("toxic") == 0)).alias("final"))
 
 
-@query("""SELECT user_id, bool_or(c NOT IN ('view', 'click')) AS undermined FROM (SELECT user_id, event_type AS c FROM events) GROUP BY 1""")
+@query("""SELECT c.c_custkey, coalesce(bool_or(o_orderstatus = 'P' OR o_orderpriority = '1-URGENT' OR l.o_orderkey IS NOT NULL), FALSE) AS undermined FROM customer c LEFT JOIN orders o ON o_custkey = c_custkey
+  LEFT JOIN (SELECT DISTINCT l_orderkey AS o_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45) l ON l.o_orderkey = o.o_orderkey GROUP BY 1""")
 def undermined(t):
-    """V-07, U-02."""
-    per = t.events.groupBy("user_id").agg(F.collect_set("event_type").alias("c"))
-    return per.select("user_id", verdicts.undermined(F.col("c"), F.array(F.lit("Aktualna")), "^(view|click)$").alias("undermined"))
+    """V-07, U-02: by a comment that is not neutral, a status that is not current, or a link from what changes it."""
+    changing = t.lineitem.where("l_returnflag = 'R' and l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("link", F.lit(True))
+    rulings = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", F.when(F.col("o_orderstatus") == "P", "zmieniona").otherwise("Aktualna").alias("status")).join(changing, "o_orderkey", "left")
+    per = rulings.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.collect_set("o_orderpriority").alias("comments"), F.collect_set("status").alias("statuses"), F.coalesce(F.bool_or("link"), F.lit(False)).alias("linked"))
+    found = verdicts.undermined(F.col("comments"), F.col("statuses"), "^[2-9]") | F.col("linked")
+    return t.customer.select("c_custkey").join(per, "c_custkey", "left").select("c_custkey", F.coalesce(found, F.lit(False)).alias("undermined"))
 
 
 KINDS = {"signup": "void_whole", "purchase": "repealed", "error": "void_part", "view": "corrected", "click": "amended"}
