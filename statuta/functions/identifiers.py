@@ -81,15 +81,25 @@ def urn(s: Column) -> Column:
 
 
 def signature_of_urn(s: Column) -> Column:
-    """I-03: signature of a court file from its URN; others unchanged."""
-    low, court = F.lower(F.trim(s)), r"^urn:ndoc:court:pl:(?:sa|sp):(\d{4}):([^:_]+)_([^:_]+)_(?:[^:_]+_)*?(\d+)(?:_p(?:_\d{8})?)?$"
-    base = F.element_at(F.split(F.regexp_extract(low, court, 3), "-"), 1)
-    city = F.regexp_extract(F.regexp_extract(low, court, 3), r"-(.+)$", 1)
-    mixed = F.when(base.isin("aca", "pa", "ca"), F.concat(F.regexp_replace(F.upper(base), "A$", ""), F.lit("a"))).otherwise(F.upper(base))
-    town = F.when(city != "", F.concat(F.lit("/"), F.upper(F.substring(city, 1, 1)), F.regexp_replace(city, "^.", ""))).otherwise("")
-    pl = F.concat(F.upper(F.regexp_extract(low, court, 2)), F.lit(" "), mixed, town, F.lit(" "), F.regexp_extract(low, court, 4), F.lit("/"), F.substring(F.regexp_extract(low, court, 1), 3, 2))
-    eu = r"^urn:ndoc:court:eu:tsue:(\d{4}):c_(\d+)$"
-    return F.when(low.rlike(court), pl).when(low.rlike(eu), F.concat(F.lit("C-"), F.regexp_extract(low, eu, 2), F.lit("/"), F.substring(F.regexp_extract(low, eu, 1), 3, 2))).otherwise(F.trim(s))
+    """I-03: signature of a court file from its URN; others unchanged.
+
+    The parts of a URN are split, not matched: country, court, year and name; a name is division, register with an optional town, and the number.
+    Registers of the common courts have their own capitals, all others only capitals.
+    """
+    parts = F.split(F.lower(F.trim(s)), ":")
+    court, year = F.get(parts, F.lit(3)), F.get(parts, F.lit(5))
+    name = F.split(F.get(parts, F.lit(6)), "_")
+    register = F.split(F.get(name, F.lit(1)), "-")
+    number = F.get(F.filter(F.slice(name, 2, 99), lambda x: x.rlike(r"^\d+$")), F.lit(0))
+    spelled = F.create_map(*[F.lit(x) for r in COMMON for x in (r.lower(), r)])
+    town = F.get(register, F.lit(1))
+    file = F.concat(number, F.lit("/"), F.right(year, F.lit(2)))
+    national = F.concat_ws(" ", F.upper(name[0]), F.concat(F.coalesce(F.try_element_at(spelled, register[0]), F.upper(register[0])), F.coalesce(F.concat(F.lit("/"), F.initcap(town)), F.lit(""))), file)
+    is_file = (F.size(parts) == 7) & F.array_join(F.slice(parts, 1, 3), ":").eqNullSafe("urn:ndoc:court") & year.rlike(r"^\d{4}$") & number.isNotNull()
+    return (
+        F.when(is_file & (court == "pl") & F.get(parts, F.lit(4)).isin("sa", "sp") & (F.size(name) > 2), national)
+        .when(is_file & (court == "eu") & (name[0] == "c"), F.concat(F.lit("C-"), file)).otherwise(F.trim(s))
+    )
 
 
 def document_id(s: Column) -> Column:

@@ -60,7 +60,7 @@ def search_phrase_page(t):
 @query("""SELECT o_orderkey, o_custkey, o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey
   WHERE o_orderstatus = 'O' AND o_totalprice BETWEEN 100000 AND 200000 AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-01-01' AND c_mktsegment = 'BUILDING'""")
 def search_multi_criteria(t):
-    """F-01, F-05, F-06, S-05, S-16, S-27, S-29: criteria that are not given are ignored."""
+    """F-01, F-05, F-06: criteria that are not given are ignored."""
     when = F.col("o_orderdate")
     rows = t.orders.where(search.meets(F.col("o_orderstatus") == "O", search.between(F.col("o_totalprice"), 100000, 200000), search.between(when), (when >= F.lit("1996-01-01").cast("timestamp")) & (when < F.lit("1998-01-01").cast("timestamp"))))
     return rows.join(t.customer.where("c_mktsegment = 'BUILDING'"), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("o_orderkey", "o_custkey", "o_orderpriority")
@@ -111,7 +111,7 @@ def category_alias_filter(t):
   SELECT s_suppkey, s_name, CASE WHEN e THEN 'exact' ELSE 'partial' END AS match FROM h WHERE e OR NOT (SELECT bool_or(e) FROM h)""")
 def exact_after_fuzzy(t):
     """F-13: exact rows where there are any, else those with a fragment."""
-    name = t.supplier.agg(F.min("s_name")).first()[0]
+    name = t.supplier.agg(F.min("s_name")).first()[0]  # what a user would ask for
     return search.exact_else_fragment(t.supplier.select("s_suppkey", "s_name"), "s_name", name)
 
 
@@ -215,7 +215,7 @@ def corrections_semi(t):
 
 @query("""SELECT c_custkey, n_name, n_name IS NOT NULL AS known FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
 def label_enrich(t):
-    """J-06, S-06, S-17, S-28, S-30."""
+    """J-06, S-06: labels for ids, and whether the id is known."""
     return t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select("c_custkey", "n_name", F.col("n_name").isNotNull().alias("known"))
 
 
@@ -527,7 +527,7 @@ def html_strip(t):
 
 @query("""SELECT page_id, CAST(len(l) AS INTEGER) AS n, coalesce(l[1], '') AS first FROM (SELECT page_id, regexp_extract_all(html, '(?i)href="([^"]*)"', 1) AS l FROM pages)""")
 def html_link_list(t):
-    """S-19, S-23, S-24."""
+    """S-19: how many links a page has, and the first."""
     return t.pages.select("page_id", F.size(html.links(F.col("html"))).alias("n"), F.coalesce(F.get(html.links(F.col("html")), F.lit(0)), F.lit("")).alias("first"))
 
 

@@ -20,7 +20,7 @@ CASES = {
         (("III OSK 3945/21",), "urn:ndoc:court:pl:sa:2021:iii_osk_3945"), (("ZSOŚS.421.25.2019",), "urn:ndoc:gov:pl:uodo:2019:zsoss_421_25"), (("URN:X",), "urn:x"), (("DKN",), None)]),
     "signature_of_urn": ("s string", lambda: identifiers.signature_of_urn(F.col("s")), [
         (("urn:ndoc:court:pl:sa:2019:ii_sa-wa_1030",), "II SA/Wa 1030/19"), (("urn:ndoc:court:pl:sa:2021:iii_osk_3945",), "III OSK 3945/21"),
-        (("urn:ndoc:court:eu:tsue:2022:c_621",), "C-621/22"), (("urn:other",), "urn:other")]),
+        (("urn:ndoc:court:eu:tsue:2022:c_621",), "C-621/22"), (("urn:other",), "urn:other"), (("urn:ndoc:court:pl:sp:1998:v_aca_12",), "V ACa 12/98"), (("URN:ndoc:court:pl:sp:2020:iii_agco_7_p",), "III AGCO 7/20"), (("urn:ndoc:court:pl:sp:2020:i_nsm_3_p_20200101",), "I Nsm 3/20"), (("urn:ndoc:court:pl:sa:2020:i_sab",), "urn:ndoc:court:pl:sa:2020:i_sab")]),
     "document_id": ("s string", lambda: identifiers.document_id(F.col("s")), [
         (("https://x.pl/s?id=150505_1&n=2",), "150505_1"), (("123456",), "123456"), (("https://x.pl/doc/A1B2C3",), "A1B2C3"), (("abc",), None)]),
     "case_number": ("s string", lambda: F.concat_ws("|", identifiers.case_number(F.col("s")), identifiers.case_year(F.col("s")).cast("string")), [

@@ -118,3 +118,20 @@ def test_keyword_scan(spark):
     assert found("taxation", 3) == [("taxation", True), ("Taxation of income", False), ("taxatio 00", False)]
     assert found("taxations income") == [("Taxation of income", False)]
     assert len(found("taxation")) == 12 and found(" ") == [] and found("duty") == []
+
+
+def test_sessions_of_a_stream(spark, tmp_path):
+    """Bursts of a case end after a pause; a late event that joins two bursts makes them one."""
+    import datetime as dt
+
+    from statuta.streaming import feed
+
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    rows = [("a", at(0)), ("a", at(20)), ("a", at(100)), ("b", at(5)), ("a", at(110))]
+    schema = "c string, at timestamp"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = feed.sessions(feed.read_feed(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema), "at", "c")
+    query = stream.writeStream.format("memory").queryName("bursts").outputMode("complete").option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start()
+    assert query.awaitTermination(120)
+    got = sorted((r["c"], r["session_window"]["start"], r["n"]) for r in spark.table("bursts").collect())
+    assert got == [("a", at(0), 2), ("a", at(100), 2), ("b", at(5), 1)]
