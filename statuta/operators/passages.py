@@ -2,35 +2,44 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import UNIT_LIST, article_key, plain_numbers, unit_key, unit_list
-from ..functions.text import regex_literal
-from .sequences import merged_intervals
 
 
-def phrase_hits(docs: DataFrame, key: str, text: Column, phrase: str) -> DataFrame:
-    """X-02: (key, hit) of non-overlapping, case-insensitive occurrences from left to right, and n, the text's length.
+def keyword_windows(docs: DataFrame, key: str, text: Column, phrase: str, width: int = 600, most: int = 6) -> DataFrame:
+    """X-02, W-05: (key, i, s, e, hits): merged windows around the hits of a phrase: a third of the width before, the width behind; the first `most` of each text.
 
-    Only documents with the phrase are split, and only lengths of the pieces travel.
+    Hits are case-insensitive and do not overlap. A text with the phrase is read once, in its row, up to the end of its last window; nothing is shuffled.
     """
-    low, p = F.lower(text), phrase.lower()
-    if not p.strip():
-        return docs.where(F.lit(False)).select(key, F.lit(0).cast("long").alias("hit"), F.lit(0).alias("n"))
-    pieces = docs.where(F.contains(low, F.lit(p))).select(key, F.char_length(text).alias("n"), F.posexplode(F.transform(F.split(low, regex_literal(p), -1), lambda x: F.char_length(x))).alias("i", "len"))
-    w = Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.max("i").over(Window.partitionBy(key))
-    at = pieces.withColumn("hit", (F.sum("len").over(w) + F.col("i") * len(p)).cast("long")).withColumn("_last", last)
-    return at.where("i < _last").select(key, "hit", "n")
-
-
-def keyword_windows(docs: DataFrame, key: str, text: Column, phrase: str, width: int = 600, most: int = 6) -> DataFrame:
-    """X-02: merged windows around the hits: a third of the width before, the width behind; the first `most` of each document."""
-    hits = phrase_hits(docs, key, text, phrase)
-    spans = hits.select(key, F.greatest(F.lit(0), F.col("hit") - width // 3).alias("s"), F.least(F.col("n").cast("long"), F.col("hit") + len(phrase) + width).alias("e"))
-    rank = F.row_number().over(Window.partitionBy(key).orderBy("s"))
-    return merged_intervals(spans, key, "s", "e").withColumn("i", rank).where(F.col("i") <= most).select(key, "i", "s", "e", F.col("merged").alias("hits"))
+    p = phrase.lower()
+
+    def windows(texts: pa.Array, lengths: pa.Array) -> pa.Array:
+        out = []
+        for said, n in zip(texts, lengths.to_pylist(), strict=True):
+            low, found = said.as_py(), []
+            at = low.find(p)
+            while at >= 0:
+                s, e = max(0, at - width // 3), min(n, at + len(p) + width)
+                if found and s <= found[-1]["e"]:
+                    found[-1]["e"] = max(found[-1]["e"], e)
+                    found[-1]["hits"] += 1
+                elif len(found) == most:
+                    break
+                else:
+                    found.append({"s": s, "e": e, "hits": 1})
+                at = low.find(p, at + len(p))
+            out.append(found)
+        return pa.array(out, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("hits", pa.int64())])))
+
+    windows.__annotations__ = {"texts": pa.Array, "lengths": pa.Array, "return": pa.Array}
+    low = F.lower(text)
+    hit = docs.where(F.contains(low, F.lit(p))) if p.strip() else docs.where(F.lit(False))
+    found = F.arrow_udf(windows, "array<struct<s: long, e: long, hits: long>>")(low, F.char_length(text).cast("long"))
+    return hit.select(key, F.posexplode(found).alias("i", "w")).select(key, (F.col("i") + 1).alias("i"), "w.*")
 
 
 def snapped(text: Column, start: Column, end: Column, reach: int = 120) -> Column:
@@ -43,20 +52,28 @@ def snapped(text: Column, start: Column, end: Column, reach: int = 120) -> Colum
     return F.struct((start - F.coalesce(F.when(tail > 0, tail), F.when(start <= reach, whole()), F.lit(0))).cast("long").alias("s"), (end + head).cast("long").alias("e"))
 
 
+def _starts(lengths: pa.Array) -> pa.Array:
+    """Running sums of each list, without the last."""
+    at = lengths.offsets.to_numpy()
+    flat = lengths.values.to_numpy()[at[0] : at[-1]]
+    sums = np.concatenate([[0], np.cumsum(flat, dtype=np.int64)])
+    starts = sums[:-1] - np.repeat(sums[at[:-1] - at[0]], np.diff(at))
+    return pa.ListArray.from_arrays(pa.array(at - at[0], pa.int32()), pa.array(starts), mask=lengths.is_null() if lengths.null_count else None)
+
+
 def lines(docs: DataFrame, key: str, text: Column) -> DataFrame:
-    """(key, line_no, s, line): each line with its offset."""
-    rows = docs.select(key, F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    w = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("s", F.coalesce(F.sum(F.char_length("line") + 1).over(w), F.lit(0)).cast("long"))
+    """(key, line_no, s, line, n): each line with its offset and the length of its text, all made in the text's own row."""
+    parts = F.split(text, "\n")
+    rows = docs.select(key, parts.alias("_lines"), F.char_length(text).cast("long").alias("n"))
+    starts = F.arrow_udf(_starts, "array<long>")(F.transform("_lines", lambda x: F.char_length(x) + 1))
+    rows = rows.withColumn("_starts", starts).select(key, "n", F.posexplode(F.arrays_zip("_lines", "_starts")).alias("line_no", "x"))
+    return rows.select(key, "line_no", F.col("x._starts").alias("s"), F.col("x._lines").alias("line"), "n")
 
 
 def units(line_rows: DataFrame, key: str, heading: Column) -> DataFrame:
-    """X-04: from each heading line to the next one: (key, s, e, heading); e of the last unit is the end of the text."""
-    w = Window.partitionBy(key)
-    end = F.max(F.col("s") + F.char_length("line")).over(w)
-    marked = line_rows.withColumn("_end", end).where(heading)
-    nxt = F.lead("s").over(w.orderBy("line_no"))
-    return marked.select(key, "s", F.coalesce(nxt - 1, F.col("_end")).alias("e"), F.col("line").alias("heading"))
+    """X-04: from each heading line to the next one: (key, s, e, heading); e of the last unit is the end of the text. Only headings are shuffled."""
+    following = F.lead("s").over(Window.partitionBy(key).orderBy("line_no"))
+    return line_rows.where(heading).select(key, "s", F.coalesce(following - 1, F.col("n")).alias("e"), F.col("line").alias("heading"))
 
 
 def unit_texts(texts: DataFrame, key: str, asked: DataFrame) -> DataFrame:
