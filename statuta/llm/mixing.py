@@ -4,7 +4,7 @@ Tokens are aggregated for each source, targets follow by filling up to caps, and
 plus one hash-seeded Bernoulli copy with probability equal to the fraction of its source's rate (target / size).
 
 Edge cases: a null source is a source of its own (last); a null or empty text has size 0 and is taken 0 words; a source of size 0 has
-rate 0; rows that repeat a doc_id, and those without one, draw each by its place in the scan, which agrees between reruns over the same files; an
+rate 0; rows that repeat a doc_id, and those without one, draw each by its text and its rank among equal ones; an
 empty table gives an empty result; other columns are ignored by plan() and kept by mix(). The table of sources is read in one task.
 """
 
@@ -18,6 +18,8 @@ from .shared import word_count
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2
+#: Shares that equal rows of one doc_id are ranked in.
+SHARES = 64
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
@@ -51,20 +53,34 @@ def draw(key: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null")))), 1, 13), 16, 10).cast("double") / float(2**52)
 
 
-def _with_uid(docs: DataFrame) -> DataFrame:
-    """docs plus _uid: the place in the scan of rows that share a doc_id or have none, null for all others."""
-    place = F.monotonically_increasing_id()
-    often = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_often")).agg(F.count("*").alias("_n")).where("_n > 1").select("_often")
+def _with_own(docs: DataFrame) -> DataFrame:
+    """docs plus _own: for rows that share a doc_id (or have none) the hash of the text and the row's rank among equal ones, null for all others.
+
+    Ranks of equal rows are a count before their share plus a rank in it, so that no task ranks them all; whichever row has which, the mix is the same.
+    """
+    often = docs.groupBy(F.col("doc_id").alias("_often")).agg(F.count("*").alias("_n")).where("_n > 1").select("_often", F.lit(True).alias("_shared"))
     if often.isEmpty():
-        return docs.withColumn("_uid", F.when(F.col("doc_id").isNull(), place))
-    # Spark broadcasts the repeated ids only under its size limit
-    return docs.withColumn("_place", place).join(often, F.col("doc_id") == F.col("_often"), "left").withColumn("_uid", F.when(F.col("doc_id").isNull() | F.col("_often").isNotNull(), F.col("_place"))).drop("_often", "_place")
+        return docs.withColumn("_own", F.lit(None).cast("string"))
+    place = F.monotonically_increasing_id()
+    # Spark broadcasts the ids, and the counts below, only under its size limit
+    rows = docs.withColumn("_place", place).join(often, F.col("doc_id").eqNullSafe(F.col("_often")), "left").drop("_often")
+    rows = rows.withColumn("_hash", F.xxhash64("text")).withColumn("_share", F.when(F.col("_shared"), F.pmod(F.xxhash64("_place"), F.lit(SHARES))).otherwise(F.col("_place")))
+    equal = ["doc_id", "source", "_hash"]
+    share = Window.partitionBy(*equal, "_share").orderBy("_place")
+    before = Window.partitionBy(*equal).orderBy("_share").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.where("_shared").groupBy(*equal, "_share").agg(F.count("*").alias("_n"))
+    counts = counts.select(*[F.col(c).alias(f"{c}_b") for c in (*equal, "_share")], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    same = F.lit(True)
+    for c in (*equal, "_share"):
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_b"))
+    rows = rows.withColumn("_rank", F.row_number().over(share)).join(counts, same, "left")
+    own = F.when(F.col("_shared"), F.concat_ws(":", "_hash", F.col("_before") + F.col("_rank")))
+    return rows.withColumn("_own", own).drop("_place", "_shared", "_hash", "_share", "_rank", "_before", *[f"{c}_b" for c in (*equal, "_share")])
 
 
 def _drawn(rows: DataFrame, seed: str) -> Column:
-    """The draw of each row: by its doc_id, and by its place too where it is not the only one."""
-    own = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    return draw(F.when(F.col("_uid").isNull(), own).otherwise(F.concat_ws(":", own, F.col("_uid").cast("string"))), seed)
+    """The draw of each row: by its doc_id, and by its text and rank too where it is not the only one."""
+    return draw(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "_own"), seed)
 
 
 def _copies(docs: DataFrame, seed: str, **options) -> DataFrame:
@@ -72,10 +88,10 @@ def _copies(docs: DataFrame, seed: str, **options) -> DataFrame:
     sizes = docs.select("source", word_count(F.col("text")).alias("size"))
     goal = targets(sizes, **options).select(F.col("source").alias("_s"), "source_size", "target", "rate")
     # Spark broadcasts this side only if its measured size is under the session's threshold; else a sort-merge join, whose hot sources AQE splits
-    both = _with_uid(docs).withColumn("_size", word_count(F.col("text"))).join(goal, F.col("source").eqNullSafe(F.col("_s")))
+    both = _with_own(docs).withColumn("_size", word_count(F.col("text"))).join(goal, F.col("source").eqNullSafe(F.col("_s")))
     whole = F.floor("rate")
     copies = whole + (_drawn(both, seed) < F.col("rate") - whole).cast("long")
-    return both.withColumn("_mix", F.struct(F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"))).drop("_size", "_s", "_uid", "source_size", "target", "rate")
+    return both.withColumn("_mix", F.struct(F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"))).drop("_size", "_s", "_own", "source_size", "target", "rate")
 
 
 def plan(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
