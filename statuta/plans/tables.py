@@ -412,16 +412,34 @@ def party_roles(t):
 USES = {"purchase": "validation", "signup": "defended", "error": "trial", "view": "repealed"}
 
 
-@query("""WITH h AS (SELECT user_id, ts AS tm, CASE event_type WHEN 'purchase' THEN 'validation' WHEN 'signup' THEN 'defended' WHEN 'error' THEN 'trial' WHEN 'view' THEN 'repealed' END AS kind, event_id % 3 = 0 AS part FROM events),
+LEGAL_STATE = """WITH h AS (SELECT user_id, ts AS tm, CASE event_type WHEN 'purchase' THEN 'validation' WHEN 'signup' THEN 'defended' WHEN 'error' THEN 'trial' WHEN 'view' THEN 'repealed' END AS kind, event_id % 3 = 0 AS part FROM events),
   p AS (SELECT user_id, max(tm) FILTER (kind = 'repealed') AS r, max(tm) FILTER (kind = 'validation') AS v, max(tm) FILTER (kind = 'validation' AND NOT part) AS f, max(tm) FILTER (kind = 'trial') AS t, max(tm) FILTER (kind IN ('defended', 'repealed', 'validation')) AS d,
     arg_max(NOT part, (tm, NOT part)) FILTER (kind = 'validation') AS l FROM h GROUP BY 1)
-  SELECT user_id, CASE WHEN coalesce(t > d, t IS NOT NULL) THEN 'undetermined' WHEN r IS NOT NULL AND NOT coalesce(f > r, FALSE) THEN 'repealed' WHEN v IS NOT NULL AND NOT l THEN 'partial' WHEN v IS NOT NULL THEN 'final' ELSE 'active' END AS state FROM p""")
+  SELECT user_id, CASE WHEN coalesce(t > d, t IS NOT NULL) THEN 'undetermined' WHEN r IS NOT NULL AND NOT coalesce(f > r, FALSE) THEN 'repealed' WHEN v IS NOT NULL AND NOT l THEN 'partial' WHEN v IS NOT NULL THEN 'final' ELSE 'active' END AS state FROM p"""
+
+
+@query(LEGAL_STATE)
 def legal_state(t):
     """V-05."""
     use = F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in USES.items()])
     return verdicts.legal_state(t.events.select("user_id", use.alias("use"), F.col("ts").alias("at"), F.when(F.col("event_id") % 3 == 0, "§ 1").alias("scope")), "user_id")
 
 
+@query(LEGAL_STATE.replace("SELECT user_id, CASE", "SELECT 'D.' || user_id AS refid, count_in AS entries, CASE").replace("arg_max(NOT part", "count(kind) AS count_in, arg_max(NOT part"))
+def decision_history(t):
+    """S-25, S-26, V-05: decisions as raw JSON records, their control history read from the record, and the legal state that follows from it; the status
+    that a record claims is not asked."""
+    use = F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in USES.items()])
+    entry = F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("date"), use.alias("use"), F.lit("done").alias("status"), F.col("event_id").cast("string").alias("refid"), F.when(F.col("event_id") % 3 == 0, "§ 1").alias("scope"))
+    per = t.events.groupBy("user_id").agg(F.collect_list(entry).alias("dates"))
+    record = F.struct(F.concat(F.lit("D."), "user_id").alias("refid"), F.lit("decision").alias("kind"), F.struct(F.lit("final").alias("status"), F.lit(True).alias("inforce")).alias("publication"), F.lit(0).alias("parts"), "dates")
+    found = tables.decisions(per.select(F.to_json(record).alias("json")), "json")
+    history = tables.control_history(found)
+    entries = history.groupBy("refid").agg(F.count("*").alias("entries"))
+    states = verdicts.legal_state(history.unionByName(found.select("refid", F.lit(None).cast("timestamp").alias("at"), F.lit(None).cast("string").alias("use"), F.lit(None).cast("string").alias("by"), F.lit(None).cast("string").alias("scope"))), "refid")
+    return states.join(entries, "refid", "left").select("refid", F.coalesce("entries", F.lit(0)).alias("entries"), "state")
+
+
 @query("""SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN NULL ELSE l.quality = 1 AND l.toxic = 0 END AS final FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def finality_cautious(t):
     """V-06: null stays unknown, a contradiction is not final."""

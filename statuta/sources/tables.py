@@ -37,3 +37,18 @@ def preferred(rows: DataFrame, key: str, kind: str, order: list[str]) -> DataFra
     place = F.array_position(F.array(*map(F.lit, order)), F.col(kind))
     best = rows.where(place > 0).groupBy(key).agg(F.min_by(F.struct(*rows.columns), place).alias("_r"))
     return best.select("_r.*")
+
+
+DECISION = "struct<refid: string, kind: string, publication: struct<status: string, inforce: boolean>, parts: int, dates: array<struct<date: string, use: string, status: string, refid: string, scope: string>>>"
+
+
+def decisions(records: DataFrame, record: str) -> DataFrame:
+    """S-25, S-26: raw JSON decisions as (refid, kind, status, in_force, has_body, dates); a record that is no such object, or has no refid, is left out."""
+    parsed = records.select(F.from_json(record, DECISION).alias("r")).where("r.refid is not null")
+    return parsed.select("r.refid", "r.kind", F.col("r.publication.status").alias("status"), F.col("r.publication.inforce").alias("in_force"), (F.coalesce("r.parts", F.lit(0)) > 0).alias("has_body"), "r.dates")
+
+
+def control_history(decided: DataFrame) -> DataFrame:
+    """S-26: (refid, at, use, by, scope) of what happened to each decision; entries without a date or a use say nothing and are left out."""
+    rows = decided.select("refid", F.explode("dates").alias("d"))
+    return rows.select("refid", F.try_to_timestamp("d.date").alias("at"), "d.use", F.col("d.refid").alias("by"), "d.scope").where("at is not null and use is not null")

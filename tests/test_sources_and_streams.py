@@ -135,3 +135,16 @@ def test_sessions_of_a_stream(spark, tmp_path):
     assert query.awaitTermination(120)
     got = sorted((r["c"], r["session_window"]["start"], r["n"]) for r in spark.table("bursts").collect())
     assert got == [("a", at(0), 2), ("a", at(100), 2), ("b", at(5), 1)]
+
+
+def test_decisions_of_raw_records(spark):
+    """Shapes that are no decision are left out; entries without a date or a use say nothing."""
+    from statuta.operators import verdicts
+
+    good = '{"refid":"D.1","kind":"x","publication":{"status":"final","inforce":true},"parts":2,"dates":[{"date":"2022-04-19","use":"repealed"},{"date":"2025-12-11","use":"validation","scope":"*"},{"date":"soon","use":"trial"},{"date":"2026-01-01"}]}'
+    rows = spark.createDataFrame([(x,) for x in (good, '{"refid":"D.2","dates":[]}', '{"kind":"x"}', "[1]", "no json", None)], "j string")
+    found = tables.decisions(rows, "j")
+    assert sorted((r["refid"], r["has_body"], r["in_force"]) for r in found.collect()) == [("D.1", True, True), ("D.2", False, None)]
+    history = tables.control_history(found)
+    assert sorted((r["refid"], r["use"]) for r in history.collect()) == [("D.1", "repealed"), ("D.1", "validation")]
+    assert [tuple(r) for r in verdicts.legal_state(history, "refid").collect()] == [("D.1", "final")]
