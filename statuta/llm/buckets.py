@@ -18,6 +18,9 @@ from .shared import Scratch
 
 #: A key that more nodes share is hot.
 HOT = 8
+#: Members, about, that are asked what most of a family have, and which differences are frequent. Any set serves to take differences from and any order
+#: to sort them by, so this bounds only how well both are chosen: a near set makes fewer differences, and rare ones first make fewer meetings.
+ASKED, SORTED = 8, 24
 
 
 def linked_by_keys(keys: DataFrame, verifier: Callable, scratch: Scratch, near: Callable = lambda pairs: pairs) -> DataFrame:
@@ -86,7 +89,8 @@ def _recentred(done: DataFrame, scratch: Scratch) -> DataFrame:
     none = F.array().cast("array<bigint>")
     first = open_.select("a", F.col("a").alias("b"), F.col("na").alias("nb"), none.alias("delta"), "members")
     rows = scratch.write(done.join(open_.select("a", "members"), "a").select("a", "b", "nb", "delta", "members").unionByName(first), hashes=True)
-    usual = rows.select("a", "members", F.explode("delta").alias("e")).groupBy("a", "e").agg(F.count("*").alias("n"), F.max("members").alias("members")).where("2 * n > members + 1")
+    asked = rows.where(F.pmod(F.xxhash64("b"), F.col("members")) < ASKED)
+    usual = asked.select("a", F.explode("delta").alias("e")).groupBy("a", "e").agg(F.count("*").alias("n")).join(asked.groupBy("a").agg(F.count("*").alias("asked")), "a").where("2 * n > asked + 1")
     usual = scratch.write(usual.groupBy("a").agg(F.collect_list("e").alias("usual")))  # at most twice as many as a member has
     apart = lambda x, y: F.concat(F.array_except(x, y), F.array_except(y, x))
     rows = scratch.write(rows.join(usual, "a", "left").select("a", "b", "nb", apart("delta", F.coalesce("usual", none)).alias("delta")), hashes=True)
@@ -100,22 +104,24 @@ def _families(done: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
 
     done: members b of family a with their differences delta, n in number, from one set. Let D(x) be the differences of x, and d(x) the
     most that x and a set it links with differ in. Linked x and y have (n(x) + n(y) - |x and y differ in|) / 2 differences in common,
-    and as n(y) is no less than those, at least n(x) - d(x). Of sets with so much in common, ordered by how many members have a
-    difference, the first n - common + 1 have one in common.
+    and as n(y) is no less than those, at least n(x) - d(x). Of sets with so much in common the first n - common + 1 differences, in any
+    order that is one for the family, have one in common; only those become rows. The order puts differences last that some asked members
+    share, the most frequent at the very end, so that few members meet on one.
     """
     rows = done.join(found.select(F.col("node").alias("b"), "component"), "b", "left").select("a", "b", "nb", "n", "delta", F.coalesce("component", "b").alias("c"))
-    mixed = rows.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("a")
+    mixed = rows.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("members")).where("lo != hi").select("a", "members")
+    rows = scratch.write(rows.join(mixed, "a"), hashes=True)
+    asked = rows.where(F.pmod(F.xxhash64("b"), F.col("members")) < SORTED).select("a", F.explode("delta").alias("e"))
+    often = asked.groupBy("a", "e").agg(F.count("*").alias("times")).where("times > 1")
+    often = scratch.write(often.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("times", "e"))).alias("o")).select("a", F.transform("o", lambda x: x["e"]).alias("often")))  # no more than SORTED members have
     common = F.greatest(F.lit(1), F.col("n") - F.floor((F.col("nb") + F.floor(5 * F.col("nb") / 4)) / 9))
-    rows = rows.join(mixed, "a", "left_semi").select("a", "b", "c", "nb", "n", (F.col("n") - common + 1).alias("most"), F.explode("delta").alias("e"))
-    rows = scratch.write(rows, hashes=True)
-    # differences of a single member are among those from any other, so a member with more than d of them links with none
-    own = rows.groupBy("a", "e").agg(F.min("b").alias("b"), F.max("b").alias("top")).where("b = top").groupBy("a", "b").agg(F.count("*").alias("own"))
-    lonely = rows.select("a", "b", "nb").distinct().join(own, ["a", "b"]).where("own > floor((nb + floor(5 * nb / 4)) / 9)").select("a", "b")
-    rows = scratch.write(rows.join(lonely, ["a", "b"], "left_anti"), hashes=True)
-    usual = rows.groupBy("a", "e").agg(F.count("*").alias("members")).where("members > 1")
-    # differences of a single member come first and match nothing, so only their number counts
-    place = F.col("n") - F.count("*").over(Window.partitionBy("a", "b")) + F.row_number().over(Window.partitionBy("a", "b").orderBy("members", "e"))
-    prefix = scratch.write(rows.join(usual, ["a", "e"]).withColumn("at", place).where("at <= most").select("a", "e", "b", "c", "nb", "n", "at"))
+    last = F.coalesce("often", F.array().cast("array<bigint>"))
+    order = F.concat(F.array_sort(F.array_except("delta", last)), F.array_intersect(last, F.col("delta")))
+    first = F.slice(order, F.lit(1), (F.col("n") - common + 1).cast("int"))
+    prefix = rows.join(often, "a", "left").select("a", "b", "c", "nb", "n", F.posexplode(first).alias("at", "e")).withColumn("at", F.col("at") + 1)
+    prefix = scratch.write(prefix, hashes=True)
+    shared = prefix.groupBy("a", "e").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).where("lo != hi").select("a", "e")
+    prefix = scratch.write(prefix.join(shared, ["a", "e"]), hashes=True)
     other = prefix.select("a", "e", *[F.col(c).alias(f"{c}2") for c in ("b", "c", "nb", "n", "at")])
     # the first difference in common leaves at most the rest of the shorter one for the others
     enough = "2 * (1 + least(n - at, n2 - at2)) >= n + n2 - floor((nb + nb2) / 9)"
