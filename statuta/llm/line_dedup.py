@@ -115,11 +115,11 @@ def _decisions(rows: DataFrame, min_words: int, scratch: Scratch) -> DataFrame:
     """decisions() for rows (uid, doc_id, text); of the scratch tables only those that the result reads are left."""
     lines = lines_of(rows, min_words)
     low = F.when(F.col("id").isNotNull(), F.slice(F.sort_array(shingles(F.col("plain"))), 1, SIGNATURE))
-    signed = lines.select("uid", "doc_id", "line_no", "id", "place", low.alias("low"))
     names = [f"k{i}" for i in range(SIGNATURE - BAND + 1)]
-    seen = scratch.write(signed.select("uid", "doc_id", "line_no", "id", "place", *[k.alias(n) for n, k in zip(names, bands(F.col("low")), strict=True)]), hashes=True)
-    # values of fixed width, so that equal lines are combined by hash before the shuffle
-    distinct = scratch.write(seen.where("id is not null").groupBy("id").agg(F.min("place").alias("place"), F.count("*").alias("copies"), *[F.max(n).alias(n) for n in names]), hashes=True)
+    signed = lines.select("id", "place", low.alias("low")).select("id", "place", *[k.alias(n) for n, k in zip(names, bands(F.col("low")), strict=True)])
+    # values of fixed width, so that equal lines are combined by hash before the shuffle; only distinct lines carry keys
+    distinct = scratch.write(signed.where("id is not null").groupBy("id").agg(F.min("place").alias("place"), F.count("*").alias("copies"), *[F.max(n).alias(n) for n in names]), hashes=True)
+    seen = scratch.write(lines.select("uid", "doc_id", "line_no", "id", "place"), hashes=True)
     keys = distinct.select(F.explode(F.array_compact(F.array(*names))).alias("key"), F.col("id").alias("node"), F.lit(0).alias("slack"))
     found = linked_by_keys(keys, _verifier(rows, seen, distinct, scratch), scratch)
 
