@@ -32,3 +32,10 @@ def test_columns_of_pages_that_batches_cut(spark, batch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     want = {(d, p, i): f"l{d}.{p}.{i}" if i < 8 else f"r{i - 8}" for d in range(7) for p in (1, 2) for i in range(16)} | {(9, 1, 0): "", (9, 1, 1): " one line"}
     assert got == want and _streams(found)
+
+
+def test_uncertain_tables_stream(spark):
+    table = lambda doc, *lines: [(doc, 1, i, x) for i, x in enumerate(lines)]
+    rows = table(1, "a    b", "1    2", "3    4") + table(2, "a    b    c", "1    2    3", "   x    y", "4    5    6") + table(3, "text", "a    b", "1    2")
+    found = layout.uncertain_tables(spark.createDataFrame(rows, LINES))
+    assert {tuple(r) for r in found.collect()} == {(1, 1, 0, 2, False), (2, 1, 0, 3, True)} and _streams(found)
