@@ -39,3 +39,11 @@ def test_uncertain_tables_stream(spark):
     rows = table(1, "a    b", "1    2", "3    4") + table(2, "a    b    c", "1    2    3", "   x    y", "4    5    6") + table(3, "text", "a    b", "1    2")
     found = layout.uncertain_tables(spark.createDataFrame(rows, LINES))
     assert {tuple(r) for r in found.collect()} == {(1, 1, 0, 2, False), (2, 1, 0, 3, True)} and _streams(found)
+
+
+def test_words_with_one_place_have_an_order(spark):
+    rows = [(1, 0, 1, 5.0, 0.0, 9.0, 8.0, w) for w in ("b", "a", "c")] + [(1, 0, 2, 0.0, 1.0, 4.0, 9.0, "12"), (1, 0, 3, 4.2, 1.0, 5.0, 4.0, "2")] + [(2, 0, 1, 0.0, 30.0, 1.0, 31.0, "z")]
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        found = layout.words_to_lines(spark.createDataFrame(rows, WORDS).repartition(3))
+        assert {tuple(r) for r in found.collect()} == {(1, 0, 0, 0.0, 0.0, 9.0, "12^2 a b c"), (2, 0, 0, 0.0, 30.0, 1.0, "z")} and _streams(found)
