@@ -47,3 +47,10 @@ def test_words_with_one_place_have_an_order(spark):
         random.Random(seed).shuffle(rows)
         found = layout.words_to_lines(spark.createDataFrame(rows, WORDS).repartition(3))
         assert {tuple(r) for r in found.collect()} == {(1, 0, 0, 0.0, 0.0, 9.0, "12^2 a b c"), (2, 0, 0, 0.0, 30.0, 1.0, "z")} and _streams(found)
+
+
+def test_margins_need_no_join(spark):
+    lines = spark.range(50).select(F.col("id").alias("doc"), F.lit(1).alias("page"), F.explode(F.sequence(F.lit(0), F.lit(10))).alias("line_no"))
+    lines = lines.withColumn("x0", F.when(F.col("line_no") == 10, 60.0).otherwise(0.0)).withColumn("x1", F.col("x0") + 50).withColumn("y0", F.col("line_no") % 10 * 1.0).withColumn("line", F.lit("x"))
+    found = layout.margin_notes(lines)
+    assert found.where("margin").count() == 50 and found.select("edge").distinct().collect()[0][0] == 50.0 and _streams(found)
