@@ -50,20 +50,19 @@ def nested_intervals(nodes: DataFrame, node: str, parent: str, order: Column | N
     return nodes.join(numbered, node)
 
 
-def _whole(root: str) -> Window:
-    return Window.partitionBy(root).orderBy("left")
+def _until(order: Column) -> Window:
+    """The nodes of a root from the first in an order to the node itself. Frames that only grow are read once; one that begins at each row is not."""
+    return Window.partitionBy("root").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def under(tree: DataFrame, hit: Column) -> Column:
     """Whether a node is a hit or below one: intervals nest, so some hit before it in document order reaches it."""
-    reach = F.max(F.when(hit, F.col("right"))).over(_whole("root").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return F.coalesce(reach >= F.col("left"), F.lit(False))
+    return F.coalesce(F.max(F.when(hit, F.col("right"))).over(_until(F.col("left"))) >= F.col("left"), F.lit(False))
 
 
 def above(tree: DataFrame, hit: Column) -> Column:
-    """Whether a node is a hit or above one: the next hit in document order lies in its interval."""
-    following = F.min(F.when(hit, F.col("left"))).over(_whole("root").rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    return F.coalesce(following <= F.col("right"), F.lit(False))
+    """Whether a node is a hit or above one: the next hit in document order, which is the smallest on the way from the end, lies in its interval."""
+    return F.coalesce(F.min(F.when(hit, F.col("left"))).over(_until(F.col("left").desc())) <= F.col("right"), F.lit(False))
 
 
 def filtered(tree: DataFrame, hit: Column, below: bool = False, depth: int | None = None) -> DataFrame:

@@ -54,3 +54,10 @@ def test_margins_need_no_join(spark):
     lines = lines.withColumn("x0", F.when(F.col("line_no") == 10, 60.0).otherwise(0.0)).withColumn("x1", F.col("x0") + 50).withColumn("y0", F.col("line_no") % 10 * 1.0).withColumn("line", F.lit("x"))
     found = layout.margin_notes(lines)
     assert found.where("margin").count() == 50 and found.select("edge").distinct().collect()[0][0] == 50.0 and _streams(found)
+
+
+def test_running_extremes_of_trees_only_grow(spark):
+    tree = spark.createDataFrame([(1, 1, 0, 1, 3, "a"), (2, 1, 1, 2, 2, "b"), (3, 1, 1, 3, 3, "c")], "id int, root int, depth int, left long, right long, text string")
+    found = trees.filtered(tree, F.col("text") == "b")
+    assert {r["id"] for r in found.collect()} == {1, 2}
+    assert "unboundedfollowing" not in _plan(found).lower()
