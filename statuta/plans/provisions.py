@@ -98,7 +98,7 @@ def unit_of_article(t):
     rows = t.lineitem.select("l_orderkey", "l_partkey", number.alias("i"))
     unit = F.when(F.col("i") % 2 == 0, F.format_string("Art. %d. Przepis o części %d mówi:\n„Art. 4. Nie ten.”", 2 * F.col("i"), F.col("l_partkey"))).otherwise(F.format_string("§ %d. Ustęp %d", 2 * F.col("i") + 1, F.col("l_partkey")))
     texts = _joined(rows, "l_orderkey", ["i"], unit, "\n")
-    asked = texts.select("l_orderkey", F.explode(F.array(F.lit("art. 4"), F.lit("§ 7"), F.lit("art. 40"))).alias("phrase"))
+    asked = texts.select("l_orderkey", F.explode(F.array(F.lit("art. 4"), F.lit("§ 7"), F.lit("art. 41"))).alias("phrase"))
     return passages.unit_texts(texts, "l_orderkey", asked).select("l_orderkey", "article", "text")
 
 

@@ -60,3 +60,17 @@ def test_files_are_never_overwritten(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)already exists"):
         sinks.save_new(spark.range(5), path)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_long_orders_have_no_third_unit(spark, tmp_path):
+    """An order of twenty lines and more has an article 40; the query asks for one that no order has, as its SQL says."""
+    import duckdb
+
+    from statuta.plans import catalogue
+
+    lines = spark.range(48).selectExpr("id % 2 as l_orderkey", "id as l_partkey", "id % 5 as l_suppkey", "cast(id as int) as l_linenumber")
+    lines.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    got = catalogue.queries()["unit_of_article"](spark, str(tmp_path)).select("l_orderkey", "article", "text").collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(catalogue.oracle_sql()["unit_of_article"]).fetchall())
