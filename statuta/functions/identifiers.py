@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -217,6 +219,42 @@ def unit_list(s: Column) -> Column:
     return F.struct(F.array_sort(F.array_distinct(F.flatten(keys))).alias("keys"), ranges.alias("ranges"))
 
 
+# The same grammar for folds over texts. Java's patterns know white space, digits and case of ASCII only, but word edges of all letters.
+SPACE = r"[ \t\n\x0b\f\r]"
+TEXT_UNIT = r"[0-9]+[A-Za-z]*(?:\x20[0-9]+[A-Za-z]*)*"
+TEXT_UNIT_LIST = rf"{TEXT_UNIT}(?:(?:{SPACE}*,{SPACE}*|{SPACE}+[iI]{SPACE}+|{SPACE}+[oO][rR][aA][zZ]{SPACE}+|{SPACE}*[–—-]{SPACE}*)(?:[aA][rR][tT]\.{SPACE}*)?{TEXT_UNIT})*"
+_ART = re.compile(rf"[aA][rR][tT]\.{SPACE}*")
+_PAIR = re.compile(rf"({TEXT_UNIT})(?:{SPACE}*[–—-]{SPACE}*({TEXT_UNIT}))?")
+_RAISED = re.compile(rf"(?<=[0-9a-z])(?=[{SUPERSCRIPTS}])")
+_TO_DIGITS = str.maketrans(SUPERSCRIPTS, DIGITS)
+_INDEX = re.compile(r"(?:(?<=[aA][rR][tT]\.)|(?<=[aA][rR][tT]\. ))([0-9]+[A-Za-z]*)(?:\(([0-9]+[A-Za-z]*)\)|\^([0-9]+[A-Za-z]*))")
+
+
+def plain_numbers_of(text: str) -> str:
+    """plain_numbers() of one text, for folds."""
+    return _INDEX.sub(lambda m: f"{m[1]} {m[2] or m[3]}", _RAISED.sub(" ", text).translate(_TO_DIGITS))
+
+
+def _key_of(number: str) -> str:
+    first, *rest = number.split()
+    return f"{first}^{''.join(rest)}" if rest else first
+
+
+def units_of(said: str) -> tuple[set[str], list[str]]:
+    """unit_list() of one list, for folds: keys and ranges. The word for articles may stand in it."""
+    keys, ranges = set(), []
+    for a, b in _PAIR.findall(_ART.sub("", said).lower()):
+        a, b = _key_of(a), _key_of(b) if b else ""
+        low, high = (int(x) if x.isdigit() and int(x) < 1 << 31 else None for x in (a, b))
+        if low is not None and high is not None and 1 <= high - low <= 400:
+            keys.update(map(str, range(low, high + 1)))
+        else:
+            keys.update((a, b) if b else (a,))
+            if b:
+                ranges.append(f"{a}..{b}")
+    return keys, ranges
+
+
 def in_range(key: Column, low: Column, high: Column) -> Column:
     """J-12: whether a unit may lie in a range that was not spelled out, by the numbers at the front."""
     number = lambda c: F.regexp_extract(c, r"^(\d+)", 1).try_cast("int")

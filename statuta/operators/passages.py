@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from itertools import islice
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.identifiers import UNIT_LIST, article_key, plain_numbers, unit_key, unit_list
+from ..functions.identifiers import SPACE, TEXT_UNIT_LIST, article_key, plain_numbers, unit_key, units_of
 
 
 def keyword_windows(docs: DataFrame, key: str, text: Column, phrase: str, width: int = 600, most: int = 6) -> DataFrame:
@@ -96,20 +99,32 @@ def unit_texts(texts: DataFrame, key: str, asked: DataFrame) -> DataFrame:
     return hit.join(read.select(key, "_text"), key).select(key, "article", "s", "e", F.substring("_text", (F.col("s") + 1).cast("int"), (F.col("e") - F.col("s")).cast("int")).alias("text"))
 
 
+_CITED = re.compile(rf"\b[aA][rR][tT]\.{SPACE}*{TEXT_UNIT_LIST}|[dD][zZ]\.{SPACE}*[uU]\.[^()]*?[pP][oO][zZ]\.{SPACE}*[0-9]+")
+
+
 def cited_provisions(text: Column, most: int = 40) -> Column:
     """S-17, S-21: array of (act, article): the first provisions that a judgment cites. Articles belong to the journal position that follows them; act is
     'year/position', null for articles that none follows."""
-    token = rf"(?i)\bart\.\s*{UNIT_LIST}|Dz\.\s*U\.[^()]*?poz\.\s*\d+"
-    found = F.regexp_extract_all(plain_numbers(F.coalesce(text, F.lit(""))), F.lit(token), F.lit(0))
-    act = lambda x: F.concat_ws("/", F.nullif(F.regexp_extract(x, r"(\d{4})", 1), F.lit("")), F.regexp_extract(x, r"poz\.\s*(\d+)", 1))
-    keys = lambda x: unit_list(F.regexp_replace(x, r"(?i)art\.\s*", ""))["keys"]
-    pairs = lambda of, articles: F.transform(articles, lambda a: F.struct(of.alias("act"), a.alias("article")))
-    step = lambda acc, x: F.when(
-        x.startswith("Dz"), F.struct(F.array().cast("array<string>").alias("open"), F.concat(acc["out"], pairs(act(x), acc["open"])).alias("out"))
-    ).otherwise(F.struct(F.concat(acc["open"], keys(x)).alias("open"), acc["out"].alias("out")))
-    start = F.struct(F.array().cast("array<string>").alias("open"), F.array().cast("array<struct<act:string,article:string>>").alias("out"))
-    every = F.aggregate(found, start, step, lambda acc: F.concat(acc["out"], pairs(F.lit(None).cast("string"), acc["open"])))
-    return F.slice(F.array_distinct(every), 1, most)
+    def cited(text: str) -> list[dict]:
+        out: dict[tuple, None] = {}
+        open_: list[str] = []
+        for token in _CITED.finditer(text):
+            said = token.group()
+            if not said.startswith("Dz"):
+                open_ += sorted(units_of(said)[0])
+                continue
+            year, position = re.search(r"[0-9]{4}", said), re.search(rf"poz\.{SPACE}*([0-9]+)", said)
+            act = "/".join([*([year[0]] if year else []), position[1] if position else ""])
+            out.update(((act, article), None) for article in open_)
+            open_ = []
+        out.update(((None, article), None) for article in open_)
+        return [{"act": act, "article": article} for act, article in islice(out, most)]
+
+    def fold(texts: pa.Array) -> pa.Array:
+        return pa.array([cited(t.as_py()) for t in texts], pa.list_(pa.struct([("act", pa.string()), ("article", pa.string())])))
+
+    fold.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(fold, "array<struct<act: string, article: string>>")(plain_numbers(F.coalesce(text, F.lit(""))))
 
 
 def page_noise(page_lines: DataFrame, share: float = 0.6) -> DataFrame:
