@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.identifiers import UNIT, UNIT_LIST, plain_numbers, unit_list
+from ..functions.identifiers import SPACE, TEXT_UNIT_LIST, UNIT_LIST, plain_numbers, plain_numbers_of, units_of
 
 OPENING, CLOSING = "„", "”“"
 #: A quotation of more characters has lost its closing mark.
@@ -68,28 +68,44 @@ def quotations(text: Column, longest: int = LONGEST) -> Column:
     return F.arrow_udf(fold, "masked string, quoted string, unsure array<struct<s: long, e: long>>, depth int")(text)
 
 
+#: A list of articles, with the word before it; a list behind 'po' is dropped with its own articles only.
+_NAMED = re.compile(rf"(\b[pP][oO]{SPACE}+)?\b[aA][rR][tT]\.{SPACE}*({TEXT_UNIT_LIST})")
+_HEADING = re.compile(rf"(?:^|(?<=[\n\r\x85\u2028\u2029]))[ \t{OPENING}]*Art\.{SPACE}*([0-9]+[a-z]*(?:\x20[0-9]+[a-z]*)*)\.")
+_WHOLE = re.compile(
+    rf"(?i)w{SPACE}+całej{SPACE}+ustawie|uchyla{SPACE}+się{SPACE}+(?:rozdział|dział|oddział|tytuł|księg|część)|(?:rozdział|dział|oddział|tytuł){SPACE}+(?-i:[A-Za-z0-9_]+){SPACE}+otrzymuje{SPACE}+brzmienie"
+)
+
+
+def _changed(text: str) -> tuple[list[str], list[str], bool, bool]:
+    """(keys, ranges, whole, unsure) of one text."""
+    outside, inside, unsure, _ = _mask(text, LONGEST)
+    outside = plain_numbers_of(outside)
+    lists = [m[2] for m in _NAMED.finditer(outside) if m[1] is None]
+    if "Art." in inside:
+        lists += _HEADING.findall(plain_numbers_of(inside))
+    keys, ranges = set(), set()
+    for said in lists:
+        more, spans = units_of(said)
+        keys |= more
+        ranges.update(spans)
+    return sorted(keys), sorted(ranges), _WHOLE.search(outside) is not None, bool(unsure)
+
+
 def changed_units(text: Column) -> Column:
     """X-08: struct(keys, ranges, whole, unsure) of the articles that an amending act's text changes, repeals or adds.
 
     keys: articles named in lists outside quotations, and the headings of articles that quotations bring; an article behind the word for "after"
     is only the place of an insertion. ranges: 'from..to' that cannot be spelled out. whole: the act as a whole, or a division without its
-    articles, is changed. unsure: a quotation is not closed.
+    articles, is changed. unsure: a quotation is not closed. A text is read once, by one fold.
     """
-    parts = quotations(text)
-    outside, inside = plain_numbers(parts["masked"]), plain_numbers(parts["quoted"])
-    # the grammar of a list, with the word before it; a list behind 'po' is dropped with its own articles only
-    named = F.regexp_extract_all(outside, F.lit(rf"(?i)(?:\bpo\s+)?\bart\.\s*{UNIT_LIST}"), F.lit(0))
-    named = F.filter(named, lambda x: ~x.rlike(r"(?i)^po\s"))
-    lists = F.transform(named, lambda x: unit_list(F.regexp_replace(x, r"(?i)art\.\s*", "")))
-    headings = F.regexp_extract_all(inside, F.lit(rf"(?m)^[ \t{OPENING}]*Art\.\s*({UNIT})\."), F.lit(1))
-    from_headings = F.transform(headings, lambda x: unit_list(x))
-    both = F.concat(lists, from_headings)
-    whole = outside.rlike(r"(?iu)w\s+całej\s+ustawie|uchyla\s+się\s+(?:rozdział|dział|oddział|tytuł|księg|część)|(?:rozdział|dział|oddział|tytuł)\s+\w+\s+otrzymuje\s+brzmienie")
-    return F.struct(
-        F.array_sort(F.array_distinct(F.flatten(F.transform(both, lambda x: x["keys"])))).alias("keys"),
-        F.array_sort(F.array_distinct(F.flatten(F.transform(both, lambda x: x["ranges"])))).alias("ranges"),
-        F.coalesce(whole, F.lit(False)).alias("whole"), (F.size(parts["unsure"]) > 0).alias("unsure"),
-    )
+
+    def fold(texts: pa.Array) -> pa.Array:
+        columns = list(zip(*[_changed(t.as_py() or "") for t in texts], strict=True)) or [[]] * 4
+        types = [pa.list_(pa.string()), pa.list_(pa.string()), pa.bool_(), pa.bool_()]
+        return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["keys", "ranges", "whole", "unsure"])
+
+    fold.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(fold, "keys array<string>, ranges array<string>, whole boolean, unsure boolean")(text)
 
 
 _NUMBER = r"(?:[IVX]+\.?|\d+[.)]|[a-z]\))"
@@ -149,6 +165,8 @@ def _operative(text: str) -> list[dict]:
     for i, p in enumerate(points):
         p["point"] = i + 1
         p["verdict"] = "void" if "void" in p["said"] else "valid" if p["said"] else "unknown"
+        keys, p["ranges"] = units_of(p["units"])
+        p["keys"] = sorted(keys)
     return points
 
 
@@ -159,21 +177,15 @@ def operative_part(text: Column) -> Column:
     "the act named in point n" has that point's act, and its units where it names none itself. verdict: void if any verdict of the point is, valid
     if all are ("is not contrary" is valid), unknown without one. limited: only in some scope or reading; partly: some part of the unit.
     """
-    schema = "point int, mark string, units string, act string, verdict string, limited boolean, partly boolean"
-    names = [c.split()[0] for c in schema.split(", ")]
-    fields = pa.struct([("point", pa.int32()), ("mark", pa.string()), ("units", pa.string()), ("act", pa.string()), ("verdict", pa.string()), ("limited", pa.bool_()), ("partly", pa.bool_())])
+    texts, booleans = pa.list_(pa.string()), pa.bool_()
+    fields = [("point", pa.int32()), ("mark", pa.string()), ("keys", texts), ("ranges", texts), ("act", pa.string()), ("verdict", pa.string()), ("limited", booleans), ("partly", booleans)]
+    schema = "array<struct<point: int, mark: string, keys: array<string>, ranges: array<string>, act: string, verdict: string, limited: boolean, partly: boolean>>"
 
     def fold(texts: pa.Array) -> pa.Array:
-        return pa.array([[{n: p[n] for n in names} for p in _operative(t.as_py() or "")] for t in texts], pa.list_(fields))
+        return pa.array([[{n: p[n] for n, _ in fields} for p in _operative(t.as_py() or "")] for t in texts], pa.list_(pa.struct(fields)))
 
     fold.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    found = F.arrow_udf(fold, f"array<struct<{schema.replace(' ', ': ').replace(',: ', ', ')}>>")(plain_numbers(text))
-    unit = lambda p: unit_list(F.regexp_replace(p["units"], r"(?i)art\.\s*", ""))
-    return F.transform(found, lambda p: F.struct(
-        p["point"].alias("point"), p["mark"].alias("mark"), F.when(p["units"] == "", F.array().cast("array<string>")).otherwise(unit(p)["keys"]).alias("keys"),
-        F.when(p["units"] == "", F.array().cast("array<string>")).otherwise(unit(p)["ranges"]).alias("ranges"),
-        p["act"].alias("act"), p["verdict"].alias("verdict"), p["limited"].alias("limited"), p["partly"].alias("partly"),
-    ))
+    return F.arrow_udf(fold, schema)(plain_numbers(text))
 
 
 def unit_order(key: Column) -> Column:
@@ -205,6 +217,15 @@ def within_ranges(asked: DataFrame, ranges: DataFrame, on: list[str], cell: int
     return rows.join(dealt, [*on, "_cell"]).where((unit_order(F.col("article")) >= unit_order(F.col("low"))) & (unit_order(F.col("article")) <= unit_order(F.col("high")))).drop("_cell")
 
 
+def _met_by(asked: DataFrame, spans: DataFrame, on: list[str], cell: int = CELL) -> DataFrame:
+    """within_ranges() with spans (on..., named, low, high, ...), of which those with `named` meet only the very same article."""
+    at = lambda c: F.coalesce(F.floor(unit_number(F.col(c)) / cell), F.lit(-1))
+    dealt = spans.withColumn("_cell", F.explode(F.sequence(at("low"), F.greatest(at("low"), at("high")))))
+    order = unit_order(F.col("article"))
+    inside = F.when(F.col("named").isNotNull(), F.col("named") == F.col("article")).otherwise((order >= unit_order(F.col("low"))) & (order <= unit_order(F.col("high"))))
+    return asked.withColumn("_cell", at("article")).join(dealt, [*on, "_cell"]).where(inside).drop("_cell", "named", "low", "high")
+
+
 def currency(asked: DataFrame, changes: DataFrame, contained: DataFrame, checked: DataFrame, day: Column) -> DataFrame:
     """V-02: whether the text of an article is current on a day.
 
@@ -218,9 +239,9 @@ def currency(asked: DataFrame, changes: DataFrame, contained: DataFrame, checked
     """
     lacking = changes.join(contained, ["act", "amendment"], "left_anti").withColumn("later", F.coalesce(F.col("entry") > day, F.lit(False)))
     asked = asked.select("act", "article").distinct()
-    single = asked.join(lacking.where("article is not null").select("act", "article", "amendment", "later"), ["act", "article"])
-    spans = lacking.where("low is not null and high is not null").select("act", "low", "high", "amendment", "later")
-    named = single.unionByName(within_ranges(asked, spans, ["act"]).select("act", "article", "amendment", "later"))
+    # a named article is a range of one, so that changes are read once for both
+    spans = lacking.where("article is not null or low is not null and high is not null").select("act", F.col("article").alias("named"), F.coalesce("article", "low").alias("low"), F.coalesce("article", "high").alias("high"), "amendment", "later")
+    named = _met_by(asked, spans, ["act"])
     count = lambda c, name: F.count_distinct(F.when(c, F.col("amendment"))).alias(name)
     named = named.groupBy("act", "article").agg(count(~F.col("later"), "now"), count(F.col("later"), "later"))
     vague = lacking.where(F.col("whole") | F.col("unsure")).groupBy("act").agg(F.bool_or(~F.col("later")).alias("vague"), F.bool_or("later").alias("vague_later"))
@@ -237,14 +258,25 @@ def currency(asked: DataFrame, changes: DataFrame, contained: DataFrame, checked
 def change_rows(acts: DataFrame, text: Column) -> DataFrame:
     """acts plus one row for each article, range or whole-act change that text makes: article, low, high, whole, unsure. An act whose text names
     nothing gives one row without them that is unsure."""
-    found = acts.withColumn("_c", changed_units(text))
-    none = F.lit(None).cast("string")
-    row = lambda article, low, high, whole, unsure: F.struct(article.alias("article"), low.alias("low"), high.alias("high"), whole.alias("whole"), unsure.alias("unsure"))
-    no = F.lit(False)
-    rows = F.concat(
-        F.transform(F.col("_c.keys"), lambda k: row(k, none, none, no, no)),
-        F.transform(F.col("_c.ranges"), lambda r: row(none, F.substring_index(r, "..", 1), F.substring_index(r, "..", -1), no, no)),
-        F.when(F.col("_c.whole"), F.array(row(none, none, none, F.lit(True), no))).otherwise(F.array().cast("array<struct<article:string,low:string,high:string,whole:boolean,unsure:boolean>>")),
-        F.when(F.col("_c.unsure") | ((F.size("_c.keys") + F.size("_c.ranges") == 0) & ~F.col("_c.whole")), F.array(row(none, none, none, no, F.lit(True)))).otherwise(F.array().cast("array<struct<article:string,low:string,high:string,whole:boolean,unsure:boolean>>")),
-    )
-    return found.withColumn("_r", F.explode(rows)).select(*acts.columns, "_r.*")
+    fields = [("article", pa.string()), ("low", pa.string()), ("high", pa.string()), ("whole", pa.bool_()), ("unsure", pa.bool_())]
+    row = lambda article=None, low=None, high=None, whole=False, unsure=False: dict(article=article, low=low, high=high, whole=whole, unsure=unsure)
+
+    def rows(said: str) -> list[dict]:
+        keys, ranges, whole, unsure = _changed(said)
+        out = [row(article=k) for k in keys]
+        for r in ranges:
+            low, high = r.split("..")
+            out.append(row(low=low, high=high))
+        if whole:
+            out.append(row(whole=True))
+        if unsure or not out:
+            out.append(row(unsure=True))
+        return out
+
+    def fold(texts: pa.Array) -> pa.Array:
+        return pa.array([rows(t.as_py() or "") for t in texts], pa.list_(pa.struct(fields)))
+
+    fold.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    # exploded where it is made: a column of its own would be made again for the filter that Spark infers from explode
+    made = F.arrow_udf(fold, "array<struct<article: string, low: string, high: string, whole: boolean, unsure: boolean>>")
+    return acts.select(*acts.columns, F.explode(made(text)).alias("_r")).select(*acts.columns, "_r.*")

@@ -143,3 +143,18 @@ def test_rows_of_changes(spark):
 def test_what_an_act_is_about_is_not_its_part(spark):
     got = _one(spark, identifiers.voided_units, "nieważność uchwały dotyczącej zmiany § 7 statutu", "nieważność uchwały nr X w części dotyczącej § 3 pkt 2", "nieważność § 3 ust. 1 oraz § 9 załącznika do uchwały", None)
     assert got == [[], ["§ 3"], ["§ 3", "§ 9"], []]
+
+
+def test_lists_in_folds_are_those_of_columns(spark):
+    said = ["5, 6 i 8", "art. 459–478", "4 1–4 9b", "479 88a - 479 88j ORAZ Art. 3", "007–9", "9–7", "1–402", "99999999999", "", "x", "12A i 12 B c"]
+    rows = spark.createDataFrame([(s,) for s in said], "s string").select(identifiers.unit_list(F.regexp_replace("s", r"(?i)art\.\s*", "")).alias("u")).collect()
+    assert [(sorted(k), r) for k, r in map(identifiers.units_of, said)] == [(list(r["u"]["keys"]), list(r["u"]["ranges"])) for r in rows]
+    texts = ["art. 4¹ i a²b", "Art. 4(1a), art.5^2", "(3) ^4 ⁵ 7⁸9", "ART. 130(1A)"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(identifiers.plain_numbers(F.col("t")).alias("p")).collect()
+    assert [identifiers.plain_numbers_of(t) for t in texts] == [r["p"] for r in rows]
+
+
+def test_texts_of_changes_are_read_once_for_rows(spark):
+    acts = spark.createDataFrame([(1, "w art. 3 i 5")], "act int, t string")
+    plan = provisions.change_rows(acts, F.col("t"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
