@@ -131,12 +131,16 @@ def page_noise(page_lines: DataFrame, share: float = 0.6) -> DataFrame:
     """X-12: lines (doc, page, line_no, line) that are not text, with kind: watermark (one shape at one place on most pages), contents (dots and a page at
     the end), number (a bare page number)."""
     shape = F.regexp_replace(F.trim("line"), r"\d+", "#")
-    rows = page_lines.withColumn("_shape", shape)
-    pages = page_lines.groupBy("doc").agg(F.count_distinct("page").alias("_pages"))
-    often = rows.where("_shape != ''").groupBy("doc", "line_no", "_shape").agg(F.count_distinct("page").alias("_n")).join(pages, "doc").where((F.col("_pages") > 1) & (F.col("_n") >= share * F.col("_pages")))
-    both = rows.join(often.select("doc", "line_no", "_shape", F.lit(True).alias("_often")), ["doc", "line_no", "_shape"], "left")
-    kind = F.when(F.trim("line").rlike(r"(?i)^[-–— ]*(?:strona |str\. |s\. )?\d+[-–— ]*$"), "number").when(F.col("line").rlike(r"\.{5,}\s*\d+\s*$"), "contents").when(F.col("_often"), "watermark")
-    return both.select("doc", "page", "line_no", kind.alias("kind")).where("kind is not null")
+    alone = F.when(F.trim("line").rlike(r"(?i)^[-–— ]*(?:strona |str\. |s\. )?\d+[-–— ]*$"), "number").when(F.col("line").rlike(r"\.{5,}\s*\d+\s*$"), "contents")
+    rows = page_lines.select("doc", "page", "line_no", F.nullif(shape, F.lit("")).alias("_shape"), alone.alias("_alone"))
+    # distinct pages are counted as the first rows of each, so that all counts are windows over one shuffle by document
+    first = lambda keys: (~F.lag("page").over(Window.partitionBy(*keys).orderBy("page")).eqNullSafe(F.col("page")) & F.col("page").isNotNull()).cast("int")
+    place = ["doc", "line_no", "_shape"]
+    rows = rows.withColumn("_p", first(["doc"])).withColumn("_pages", F.sum("_p").over(Window.partitionBy("doc")))
+    rows = rows.withColumn("_s", first(place)).withColumn("_n", F.sum("_s").over(Window.partitionBy(*place)))
+    often = F.col("doc").isNotNull() & F.col("line_no").isNotNull() & F.col("_shape").isNotNull() & (F.col("_pages") > 1) & (F.col("_n") >= share * F.col("_pages"))
+    kind = F.coalesce(F.col("_alone"), F.when(often, "watermark"))
+    return rows.select("doc", "page", "line_no", kind.alias("kind")).where("kind is not null")
 
 
 def amounts_at_end(line_rows: DataFrame, key: str) -> DataFrame:

@@ -74,3 +74,12 @@ def test_long_orders_have_no_third_unit(spark, tmp_path):
     con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
     got = catalogue.queries()["unit_of_article"](spark, str(tmp_path)).select("l_orderkey", "article", "text").collect()
     assert sorted(map(tuple, got)) == sorted(con.execute(catalogue.oracle_sql()["unit_of_article"]).fetchall())
+
+
+def test_noise_is_counted_without_joins(spark):
+    rows = spark.createDataFrame([(1, 0, 0, "H 1"), (1, 0, 0, "H 2"), (1, 1, 0, "H 3"), (1, 2, 0, "other"), (1, None, 0, "H 4"), (1, 2, 1, " "), (None, 0, 0, "x"), (None, 1, 0, "x"), (3, 0, None, "y"), (3, 1, None, "y")], "doc int, page int, line_no int, line string")
+    found = passages.page_noise(rows)
+    # documents and places that are not known joined with nothing before; shapes there count like all others only where they are known
+    assert sorted((r["page"] is None, r["page"] or 0, r["line_no"], r["kind"]) for r in found.where("doc = 1").collect()) == [(False, 0, 0, "watermark"), (False, 0, 0, "watermark"), (False, 1, 0, "watermark"), (True, 0, 0, "watermark")]
+    assert found.where("doc is null or doc = 3").count() == 0
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
