@@ -6,10 +6,17 @@ Words are rows (doc, page, seq, x0, y0, x1, y1, word) as in `layout`, y growing
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .layout import by_page
 
 #: Side of a grid cell, about twice the height of a line.
 CELL = 24.0
@@ -58,19 +65,65 @@ def note_blocks(lines: DataFrame, gap: float = 1.5, smaller: float = 0.9) -> Dat
 
     The block begins where, from below, both change: the space above a line is `gap` times the page's usual one or more, and the lines from there on
     are lower than `smaller` of those above; among such lines the one with the largest space, the lowest of equal ones. Its first line begins 'N)'.
-    Lines come in order of y0; two running means and one median a page.
+    Lines come in order of y0 and stream through the task that has their page; it holds one page. A page without a number has no block.
     """
-    order = Window.partitionBy(*PAGE).orderBy("y0", "line_no")
-    height = F.col("y1") - F.col("y0")
-    rows = lines.withColumn("_gap", F.col("y0") - F.lag("y1").over(order)).withColumn("_h", height)
-    rows = rows.withColumn("_above", F.avg("_h").over(order.rowsBetween(Window.unboundedPreceding, -1))).withColumn("_below", F.avg("_h").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-    usual = rows.groupBy(*PAGE).agg(F.percentile("_gap", 0.5).alias("_usual"))
-    rows = rows.join(usual, PAGE)
-    change = (F.col("_gap") >= gap * F.greatest("_usual", F.lit(1e-9))) & (F.col("_below") < smaller * F.col("_above")) & F.col("line").rlike(r"^\s*\d{1,3}\)")
-    start = F.max(F.when(change, F.struct("_gap", "y0", "line_no"))).over(Window.partitionBy(*PAGE))
-    rows = rows.withColumn("_start", start)
-    inside = F.col("_start").isNotNull() & (F.struct("y0", "line_no") >= F.struct("_start.y0", "_start.line_no"))
-    return rows.select(*lines.columns, inside.alias("in_note"))
+    numbered = F.coalesce(F.col("line").rlike(r"^\s*\d{1,3}\)"), F.lit(False))
+    rows = lines.withColumn("_numbered", numbered).repartition(*PAGE).sortWithinPartitions(*PAGE, "y0", "line_no")
+    out = T.StructType([*lines.schema.fields, T.StructField("in_note", T.BooleanType())])
+    names = out.names
+
+    def marks(batch: pa.RecordBatch, bounds: list[int]) -> pa.RecordBatch:
+        y0, y1 = (pc.cast(batch.column(c), pa.float64()).to_numpy(zero_copy_only=False) for c in ("y0", "y1"))
+        may, no, keys = (batch.column(c).to_pylist() for c in ("_numbered", "line_no", "doc"))
+        pages = batch.column("page").to_pylist()
+        found = np.zeros(len(y0), bool)
+        for lo, hi in zip(bounds, bounds[1:], strict=False):
+            if keys[lo] is not None and pages[lo] is not None and any(may[lo:hi]):
+                start = _block(y0[lo:hi], y1[lo:hi], may[lo:hi], no[lo:hi], gap, smaller)
+                found[hi if start is None else lo + start : hi] = True
+        return pa.RecordBatch.from_arrays([*[batch.column(c) for c in names[:-1]], pa.array(found)], names)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: list[pa.RecordBatch] = []  # of the last page seen, which the next batch may go on with
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = list(zip(batch.column("doc").to_pylist(), batch.column("page").to_pylist(), strict=True))
+            new = [i for i, key in enumerate(keys) if key != (keys[i - 1] if i else last)]
+            if open_ and new:
+                whole = pa.concat_batches([*open_, batch.slice(0, new[0])])
+                yield marks(whole, [0, whole.num_rows])
+                open_ = []
+            if new:
+                if new[0] < new[-1]:
+                    yield marks(batch.slice(new[0], new[-1] - new[0]), [i - new[0] for i in new])
+                batch = batch.slice(new[-1])
+            open_.append(batch)
+            last = keys[-1]
+        if open_:
+            whole = pa.concat_batches(open_)
+            yield marks(whole, [0, whole.num_rows])
+
+    return rows.mapInArrow(fold, out)
+
+
+def _block(y0: np.ndarray, y1: np.ndarray, may: list[bool], no: list, gap: float, smaller: float) -> int | None:
+    """Where the block of notes of a page begins; unknown places are not-a-number and count in no mean."""
+    spaces, height = np.concatenate([[np.nan], y0[1:] - y1[:-1]]), y1 - y0
+    known = ~np.isnan(height)
+    high = np.where(known, height, 0.0)
+    n, total = np.cumsum(known), np.cumsum(high)
+    rest, left = np.cumsum(high[::-1])[::-1], np.cumsum(known[::-1])[::-1]
+    usual = max(float(np.median(spaces[~np.isnan(spaces)])), 1e-9) if not np.isnan(spaces).all() else 1e-9
+    at, best = None, (-np.inf, -np.inf)
+    for i in np.flatnonzero(np.array(may) & (spaces >= gap * usual)).tolist():
+        if i and n[i - 1] and left[i] and rest[i] / left[i] < smaller * (total[i - 1] / n[i - 1]) and (spaces[i], y0[i]) >= best:
+            # lines come in order of y0 and line_no, so the last of equal ones is the lowest; those that share its place are in the block too
+            at, best = i, (spaces[i], y0[i])
+    while at and y0[at - 1] == y0[at] and no[at - 1] == no[at]:
+        at -= 1
+    return at
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[int]:
@@ -93,26 +146,38 @@ def references(marked: DataFrame) -> DataFrame:
     """X-18: (doc, page, number, ref_line, note_line): references 'N)' in the body of a page paired with the notes of its block in order; the other side is
     null for a note that nothing refers to and a reference without a note.
 
-    marked: note_blocks(). The k-th reference with a number meets the k-th note with it; of pairs that cross, the most that keep their order stay, by
-    one small fold for each page.
+    marked: note_blocks(). The k-th reference with a number meets the k-th note with it; of pairs that cross, the most that keep their order stay. Lines
+    with a reference or a note stream through the task that has their page; it holds those of one page. Nothing meets on a page without a number.
     """
     number = F.regexp_extract("line", r"^\s*(\d{1,3})\)", 1).try_cast("int")
-    notes = marked.where("in_note").select(*PAGE, number.alias("number"), F.col("line_no").alias("note_line")).where("number is not null")
     said = F.transform(F.regexp_extract_all("line", F.lit(r"(?<=\p{L}|[.,;»”])(\d{1,3})\)"), F.lit(1)), lambda n: n.cast("int"))
-    refs = marked.where("not in_note").select(*PAGE, F.posexplode(said).alias("i", "number"), F.col("line_no").alias("ref_line"))
-    nth = lambda *order: F.row_number().over(Window.partitionBy(*PAGE, "number").orderBy(*order))
-    both = refs.withColumn("k", nth("ref_line", "i")).join(notes.withColumn("k", nth("note_line")), [*PAGE, "number", "k"], "full_outer")
-    paired = both.where("ref_line is not null and note_line is not null")
-
-    def keep(lists: pa.Array) -> pa.Array:
-        return pa.array([_rising([(p["r"], p["n"]) for p in x]) for x in lists.to_pylist()], pa.list_(pa.int32()))
-
-    keep.__annotations__ = {"lists": pa.Array, "return": pa.Array}
-    per = paired.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct(F.col("ref_line").alias("r"), "i", F.col("note_line").alias("n"), "number", "k"))).alias("p"))
-    kept = per.select(*PAGE, "p", F.explode(F.arrow_udf(keep, "array<int>")("p")).alias("at")).select(*PAGE, F.get("p", F.col("at")).alias("x"))
-    kept = kept.select(*PAGE, "x.number", "x.k", F.lit(True).alias("kept"))
-    out = both.join(kept, [*PAGE, "number", "k"], "left")
-    in_order = out.where("kept").select(*PAGE, "number", "ref_line", "note_line")
-    alone = out.where("kept is null")
-    none = F.lit(None).cast("int")
-    return in_order.unionByName(alone.where("ref_line is not null").select(*PAGE, "number", "ref_line", none.alias("note_line"))).unionByName(alone.where("note_line is not null").select(*PAGE, "number", none.alias("ref_line"), "note_line"))
+    numbers = F.when(F.col("in_note"), F.filter(F.array(number), lambda n: n.isNotNull())).otherwise(said)
+    rows = marked.where("in_note is not null and line_no is not null").select(*PAGE, "line_no", "in_note", numbers.alias("numbers")).where(F.size("numbers") > 0)
+
+    def pairs(page: list[tuple]) -> Iterator[tuple]:
+        refs = [(number, line) for line, noted, said in page if not noted for number in said]
+        notes: dict[int, list[int]] = {}
+        for line, noted, said in page:
+            if noted:
+                notes.setdefault(said[0], []).append(line)
+        count: Counter = Counter()
+        meets = []  # places in refs, and which of the notes with its number each meets
+        for i, (number, _) in enumerate(refs):
+            if count[number] < len(notes.get(number, ())):
+                meets.append((i, count[number]))
+            count[number] += 1
+        kept = [meets[j] for j in _rising([(refs[i][1], notes[refs[i][0]][k]) for i, k in meets])]
+        done = dict(kept)
+        used = {(refs[i][0], k) for i, k in kept}
+        yield from ((number, line, notes[number][done[i]] if i in done else None) for i, (number, line) in enumerate(refs))
+        yield from ((number, None, line) for number, lines in notes.items() for k, line in enumerate(lines) if (number, k) not in used)
+
+    def fold(page: list[tuple]) -> Iterator[tuple]:
+        if page[0][0]:
+            return pairs([row[1:] for row in page])
+        return ((number, None, line) if noted else (number, line, None) for _, line, noted, said in page for number in said)
+
+    kind = {f.name: f.dataType.simpleString() for f in rows.schema}
+    known = (F.col("doc").isNotNull() & F.col("page").isNotNull()).alias("known")
+    schema = f"doc {kind['doc']}, page {kind['page']}, number int, ref_line {kind['line_no']}, note_line {kind['line_no']}"
+    return by_page(rows.select("*", known), ["known", "line_no", "in_note", "numbers"], [F.col("line_no"), F.col("in_note"), F.col("numbers")], fold, schema)

@@ -73,12 +73,13 @@ def footnote_pairs(t):
 
     note = F.col("l_returnflag") == "R"
     rows = t.lineitem.select(F.col("l_suppkey").alias("doc"), F.year("l_shipdate").alias("page"), note.alias("note"), "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
-    rows = rows.withColumn("i", F.row_number().over(Window.partitionBy("doc", "page", "note").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")))
-    body = rows.where("not note").groupBy("doc", "page").agg(F.count("*").alias("b"))
-    rows = rows.join(body, ["doc", "page"], "left").withColumn("b", F.coalesce("b", F.lit(0)))
+    # the body comes before the notes, so a running count has all of it where they begin
+    order = Window.partitionBy("doc", "page").orderBy("note", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
+    rows = rows.where("note is not null").withColumn("place", F.row_number().over(order)).withColumn("b", F.count_if(~F.col("note")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = rows.withColumn("i", F.when(F.col("note"), F.col("place") - F.col("b")).otherwise(F.col("place")))
     top = F.when(F.col("note"), 12 * F.col("b") + 20 + 8 * F.col("i")).otherwise(12 * F.col("i")).cast("double")
     text = F.when(F.col("note"), F.format_string("%d) treść przypisu", "i")).otherwise(F.format_string("słowo%d) dalej", "i"))
-    lines = rows.select("doc", "page", (F.col("i") - 1 + F.when(F.col("note"), F.col("b")).otherwise(0)).cast("int").alias("line_no"), top.alias("y0"), (top + F.when(F.col("note"), 6).otherwise(10)).alias("y1"), text.alias("line"))
+    lines = rows.select("doc", "page", (F.col("place") - 1).cast("int").alias("line_no"), top.alias("y0"), (top + F.when(F.col("note"), 6).otherwise(10)).alias("y1"), text.alias("line"))
     return boxes.references(boxes.note_blocks(lines))
 
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from statuta.operators import layout, trees
+from statuta.operators import boxes, layout, trees
 
 LINES = "doc long, page int, line_no int, line string"
 WORDS = "doc long, page int, seq int, x0 double, y0 double, x1 double, y1 double, word string"
@@ -61,3 +61,26 @@ def test_running_extremes_of_trees_only_grow(spark):
     found = trees.filtered(tree, F.col("text") == "b")
     assert {r["id"] for r in found.collect()} == {1, 2}
     assert "unboundedfollowing" not in _plan(found).lower()
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_notes_and_references_stream(spark, batch):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        rows = []
+        for doc, page in [(d, p) for d in range(5) for p in (1, 2)] + [(9, None)]:
+            rows += [(doc, page, i, 12.0 * i, 12.0 * i + 10, f"word{i + 1}) on") for i in range(4)]
+            rows += [(doc, page, 4 + i, 80.0 + 8 * i, 86.0 + 8 * i, f"{i + 1}) note") for i in range(doc)]
+        random.Random(2).shuffle(rows)
+        marked = boxes.note_blocks(spark.createDataFrame(rows, "doc long, page int, line_no int, y0 double, y1 double, line string"))
+        found = boxes.references(marked)
+        inside = {(r["doc"], r["page"], r["line_no"]) for r in marked.where("in_note").collect()}
+        got = sorted(tuple(r) for r in found.where("page is not null").collect())
+        unnumbered = [tuple(r) for r in found.where("page is null").orderBy("number").collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert inside == {(d, p, 4 + i) for d in range(5) for p in (1, 2) for i in range(d)}
+    assert got == sorted((d, p, i + 1, i, 4 + i if i < d else None) for d in range(5) for p in (1, 2) for i in range(4))
+    # nothing is paired on a page without a number, and nothing is lost
+    assert unnumbered == [(9, None, i + 1, i, None) for i in range(4)]
+    assert _streams(found) and "Window" not in _plan(found)
