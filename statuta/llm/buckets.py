@@ -23,10 +23,11 @@ HOT = 8
 ASKED, SORTED = 8, 24
 
 
-def linked_by_keys(keys: DataFrame, verifier: Callable, scratch: Scratch, near: Callable = lambda pairs: pairs) -> DataFrame:
+def linked_by_keys(keys: DataFrame, verifier: Callable, scratch: Scratch, near: Callable = lambda pairs: pairs, close: tuple[DataFrame, Callable] | None = None) -> DataFrame:
     """keys: (key, node, slack), repeats allowed. Returns (node, component) of every node with a link.
 
     slack: how many hot keys a node may leave out so that it still shares another with every node it links with. near: keeps the pairs (a, b) that may link.
+    close: (node, sketch) of every node, small, and whether two nodes of sketches s and s2 and sizes n and n2 may link, where that is known.
     verifier: given the nodes (node) that share a key, returns a function from pairs (a, b, differ) to (a, b, linked, na, nb, n, delta):
     whether sets a and b have a Jaccard similarity of 0.8 or more, their sizes, and the number of their differences, with the
     differences themselves where differ is true and null elsewhere.
@@ -60,7 +61,7 @@ def linked_by_keys(keys: DataFrame, verifier: Callable, scratch: Scratch, near:
 
     # round 2: nodes that share a cold key or are close in a family, and are not in one component yet
     own = cold.select("key", "node").unionByName(cold.select("key", F.col("hub").alias("node")).distinct())
-    pairs = _unlinked(own, found, scratch).unionByName(_families(families, found, scratch)).distinct()
+    pairs = _unlinked(own, found, scratch).unionByName(_families(families, found, scratch, close)).distinct()
     tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = near(scratch.write(pairs).join(tried, ["a", "b"], "left_anti")).withColumn("differ", F.lit(False))
     more = links_of(scratch.write(rest))
@@ -99,14 +100,15 @@ def _recentred(done: DataFrame, scratch: Scratch) -> DataFrame:
     return both.select("a", F.col("m.b").alias("center"), "b", (9 * F.col("apart") <= F.col("m.nb") + F.col("nb")).alias("linked"), "nb", F.size("delta").cast("long").alias("n"), "delta")
 
 
-def _families(done: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+def _families(done: DataFrame, found: DataFrame, scratch: Scratch, close: tuple[DataFrame, Callable] | None = None) -> DataFrame:
     """Pairs (a, b) of a family that may link though they are in different components.
 
     done: members b of family a with their differences delta, n in number, from one set. Let D(x) be the differences of x, and d(x) the
     most that x and a set it links with differ in. Linked x and y have (n(x) + n(y) - |x and y differ in|) / 2 differences in common,
     and as n(y) is no less than those, at least n(x) - d(x). Of sets with so much in common the first n - common + 1 differences, in any
     order that is one for the family, have one in common; only those become rows. The order puts differences last that some asked members
-    share, the most frequent at the very end, so that few members meet on one.
+    share, the most frequent at the very end, so that few members meet on one. Where sketches are given, the join compares those of members that meet,
+    so only pairs that may link become rows.
     """
     rows = done.join(found.select(F.col("node").alias("b"), "component"), "b", "left").select("a", "b", "nb", "n", "delta", F.coalesce("component", "b").alias("c"))
     mixed = rows.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("members")).where("lo != hi").select("a", "members")
@@ -121,8 +123,15 @@ def _families(done: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
     prefix = rows.join(often, "a", "left").select("a", "b", "c", "nb", "n", F.posexplode(first).alias("at", "e")).withColumn("at", F.col("at") + 1)
     prefix = scratch.write(prefix, hashes=True)
     shared = prefix.groupBy("a", "e").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).where("lo != hi").select("a", "e")
-    prefix = scratch.write(prefix.join(shared, ["a", "e"]), hashes=True)
-    other = prefix.select("a", "e", *[F.col(c).alias(f"{c}2") for c in ("b", "c", "nb", "n", "at")])
+    prefix = prefix.join(shared, ["a", "e"])
+    sketch = ["sketch"] if close else []
+    if close:
+        prefix = prefix.join(close[0].select(F.col("node").alias("b"), "sketch"), "b")
+    prefix = scratch.write(prefix, hashes=True)
+    other = prefix.select("a", "e", *[F.col(c).alias(f"{c}2") for c in ("b", "c", "nb", "n", "at", *sketch)])
     # the first difference in common leaves at most the rest of the shorter one for the others
     enough = "2 * (1 + least(n - at, n2 - at2)) >= n + n2 - floor((nb + nb2) / 9)"
-    return prefix.join(other, ["a", "e"]).where("b < b2 and c != c2").where(enough).select(F.col("b").alias("a"), F.col("b2").alias("b")).distinct()
+    met = prefix.join(other, ["a", "e"]).where("b < b2 and c != c2").where(enough)
+    if close:
+        met = met.where(close[1](F.col("sketch"), F.col("sketch2"), F.col("nb"), F.col("nb2")))
+    return met.select(F.col("b").alias("a"), F.col("b2").alias("b")).distinct()

@@ -25,7 +25,7 @@ length are read whole; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ from .shingles import U, mix, shingle_set, word_hashes
 WORDS = 5
 #: Size bands grow by this factor; a set just above a border also takes part in the band below.
 RATIO = 3
+#: Words of the bit sketches that go along with differences.
+FOLDED = 16
 
 
 def band(n: int) -> int:
@@ -193,6 +195,18 @@ class _Join:
         fit = "5 * na >= 4 * nb and 5 * nb >= 4 * na"
         return pairs.join(left, "a").join(right, ["b", "band"]).where(fit).where(9 * _hamming(F.col("ba"), F.col("bb")) <= F.col("na") + F.col("nb")).select("a", "b").distinct()
 
+    def close(self) -> tuple[DataFrame, Callable]:
+        """(node, sketch): by band, the bit sketch folded to FOLDED words, in which two sets differ in no more bits than they do in shingles; and the test of two."""
+        word = lambda i: F.aggregate(F.filter("bits", lambda _, j: j % FOLDED == i), F.lit(0).cast("long"), lambda t, x: t.bitwiseXOR(x))
+        folded = self.bits.select("node", "band", F.array(*[word(i) for i in range(FOLDED)]).alias("folded"))
+        sketches = folded.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("band", "folded"))).alias("sketch"))
+
+        def may(x: Column, y: Column, n: Column, m: Column) -> Column:
+            one = lambda band: F.coalesce(9 * _hamming(F.try_element_at(x, band), F.try_element_at(y, band)) <= n + m, F.lit(False))
+            return (5 * n >= 4 * m) & (5 * m >= 4 * n) & F.exists(F.map_keys(x), one)
+
+        return self.scratch.write(sketches, hashes=True), may
+
     def texts(self, pairs: DataFrame) -> DataFrame:
         """(node, text) of one row of each node in pairs."""
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
@@ -216,7 +230,7 @@ def _grouped(rows: DataFrame, scratch: Scratch) -> DataFrame:
     nodes = scratch.write(rows.mapInArrow(_nodes, "uid long, doc_id long, node long, n long, level int, bits array<long>"))
     join = _Join(rows, nodes, scratch)
 
-    final = linked_by_keys(rows.select("text").mapInArrow(_keys, "key long, node long, slack int"), lambda _: join.links, scratch, join.near)
+    final = linked_by_keys(rows.select("text").mapInArrow(_keys, "key long, node long, slack int"), lambda _: join.links, scratch, join.near, join.close())
 
     own = nodes.where("level >= -1").select("uid", "doc_id", "node", "n").join(final, "node", "left")
     own = scratch.write(own.select("uid", "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("c")))

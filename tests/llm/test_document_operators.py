@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from statuta.llm import exact_dedup, licenses, line_dedup, mixing, packing, pii, quality, registry, similar
+from statuta.llm import buckets, exact_dedup, licenses, line_dedup, mixing, packing, pii, quality, registry, similar
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -475,6 +475,25 @@ def test_ngram_join_of_families(spark):
     assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(i, _find(parent, i)) for i in range(len(sets))]
 
 
+def test_members_that_share_only_a_few_edits_make_no_pairs(spark, monkeypatch):
+    """Members of a family meet on an edit that a small vocabulary gives to several; only those close enough by their sketches become pairs."""
+    rng = random.Random(9)
+    base, few = [f"w{i}" for i in range(150)], ["red", "green"]
+    texts = [" ".join(rng.choice(few) if i in set(at) else w for i, w in enumerate(base)) for _ in range(60) for at in [rng.sample(range(150), 9)]]
+    texts += [" ".join(base), *[f"{t} and a few more" for t in texts[:5]]]
+    made, plain = [], buckets._families
+
+    def counted(*args):
+        out = plain(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(buckets, "_families", counted)
+    got = similar.linked_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == list(enumerate(_components_by_pairs(texts)))
+    assert len(made) == 1 and made[0] <= len(texts) // 2
+
+
 def _components_by_pairs(texts):
     sets = []
     for t in texts:
