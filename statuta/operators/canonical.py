@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,6 +22,7 @@ from .passages import page_furniture
 #: What begins a paragraph: a unit's mark, or a line that is set in deeply or like a row of a table.
 _MARK = re.compile(r"^\s*(?:Art\.|§|Rozdział|\d+[.)]|[a-z]\))")
 _DEEP = re.compile(r"^ {16}")
+_SPACES = re.compile(r"\s{2,}")
 _CELLS = re.compile(r"\S {3,}\S")
 _NOTE = re.compile(r"^\s*(\d{1,3})\)\s+\S")
 #: Lines of a page from which columns are looked for.
@@ -33,12 +35,25 @@ def gutter(lines: list[str], least: int = LEAST) -> int | None:
     if len(full) < least:
         return None
     width = max(len(x.rstrip()) for x in full)
+    low, high = int(0.35 * width), int(0.65 * width)
+    free, both = [0] * (high - low + 2), [0] * (high - low + 2)  # changes from one column to the next
+
+    def add(to: list[int], first: int, last: int) -> None:
+        if max(first, low) <= min(last, high):
+            to[max(first, low) - low] += 1
+            to[min(last, high) - low + 1] -= 1
+
+    for x in full:
+        first, end = len(x) - len(x.lstrip()), len(x.rstrip())
+        add(free, 0, first - 2)
+        add(free, end, high)
+        for m in _SPACES.finditer(x, max(first, low - 1), max(first, min(end, high + 2))):
+            add(free, m.start(), m.end() - 2)
+            add(both, m.start() + 1, m.end() - 2)
     best, at = 0, None
-    for c in range(int(0.35 * width), int(0.65 * width) + 1):
-        free = [x for x in full if not x[c : c + 2].strip()]
-        both = sum(bool(x[:c].strip() and x[c:].strip() and x[max(0, c - 1) : c + 2].strip() == "") for x in free)
-        if len(free) >= 0.6 * len(full) and both >= 0.3 * len(full) and both > best:
-            best, at = both, c
+    for c, (n, m) in enumerate(zip(accumulate(free[:-1]), accumulate(both[:-1]), strict=True), low):
+        if n >= 0.6 * len(full) and m >= 0.3 * len(full) and m > best:
+            best, at = m, c
     return at
 
 

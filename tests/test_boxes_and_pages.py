@@ -1,6 +1,7 @@
 """Boxes, note blocks, references in order, canonical text over pages, pages of long lists."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -130,3 +131,33 @@ def test_newest_first_reads_the_years_it_needs(spark, tmp_path):
     page.collect()
     plan = page._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "2024" in plan and "2020" not in plan
+
+
+def _gutter_by_columns(lines):
+    full = [x for x in lines if x.strip()]
+    width = max(len(x.rstrip()) for x in full)
+    best, at = 0, None
+    for c in range(int(0.35 * width), int(0.65 * width) + 1):
+        free = [x for x in full if not x[c : c + 2].strip()]
+        both = sum(bool(x[:c].strip() and x[c:].strip() and x[max(0, c - 1) : c + 2].strip() == "") for x in free)
+        if len(free) >= 0.6 * len(full) and both >= 0.3 * len(full) and both > best:
+            best, at = both, c
+    return at
+
+
+def test_gutter_is_looked_for_once_a_line():
+    rng = random.Random(5)
+    found = 0
+    for _ in range(3000):
+        n = rng.randint(1, 20)
+        lines = ["".join(rng.choice("ab  \t") for _ in range(rng.randint(0, n))) + " " * rng.randint(0, 4) + "".join(rng.choice("cd \u00a0") for _ in range(rng.randint(0, n))) for _ in range(9)]
+        full = [x for x in lines if x.strip()]
+        if len(full) >= 8:
+            want = _gutter_by_columns(lines)
+            found += want is not None
+            assert canonical.gutter(lines) == want
+    assert found > 100
+    # a page of long lines is read in time that grows with its length, not with columns times lines
+    began = time.process_time()
+    assert canonical.gutter(["a" * 50_000 + "    " + "b" * 50_000] * 40) == 50_001
+    assert time.process_time() - began < 0.2
