@@ -65,7 +65,17 @@ def linked_by_keys(keys: DataFrame, verifier: Callable, scratch: Scratch, near:
     tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = near(scratch.write(pairs).join(tried, ["a", "b"], "left_anti")).withColumn("differ", F.lit(False))
     more = links_of(scratch.write(rest))
-    return components(links.unionByName(more.where("linked").select("a", "b")), scratch)
+    return _merged(found, more.where("linked").select("a", "b"), scratch)
+
+
+def _merged(found: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components (node, component) found with links (a, b) added: only components that a link joins are worked on again."""
+    of = lambda end: found.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    joined = scratch.write(components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), scratch))
+    new = joined.join(found.select("node"), "node", "left_anti")
+    after = found.join(joined.select(F.col("node").alias("component"), F.col("component").alias("joined")), "component", "left")
+    return scratch.write(after.select("node", F.coalesce("joined", "component").alias("component")).unionByName(new))
 
 
 def _unlinked(members: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:

@@ -43,9 +43,26 @@ def plain(line: Column) -> Column:
     return F.trim(F.lower(line))
 
 
+def hashes(line: Column) -> Column:
+    """Hashes of the character shingles of a plain line, repeats included."""
+    return F.transform(F.regexp_extract_all(line, F.lit(STARTS), F.lit(1)), lambda s: F.xxhash64(s))
+
+
 def shingles(line: Column) -> Column:
     """Distinct hashes of the character shingles of a plain line."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(STARTS), F.lit(1)), lambda s: F.xxhash64(s)))
+    return F.array_distinct(hashes(line))
+
+
+def signatures(lines: DataFrame, *keep: str) -> DataFrame:
+    """(*keep, low): the SIGNATURE smallest distinct hashes of plain, sorted, or all of fewer; null where id is.
+
+    Most lines have few repeats, so a few more of the sorted hashes than asked hold enough distinct ones; only where they do not are all of them compared.
+    """
+    head = SIGNATURE + 4
+    sorted_ = lines.select(*keep, F.when(F.col("id").isNotNull(), F.sort_array(hashes(F.col("plain")))).alias("all"))
+    some = sorted_.select(*keep, "all", F.array_distinct(F.slice("all", 1, head)).alias("head"))
+    enough = (F.size("head") >= SIGNATURE) | (F.size("all") <= head)
+    return some.select(*keep, F.slice(F.when(enough, F.col("head")).otherwise(F.array_distinct("all")), 1, SIGNATURE).alias("low"))
 
 
 def bands(low: Column) -> list[Column]:
@@ -66,7 +83,8 @@ def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
 
     place is a hash of doc_id and text, by which the row of a line is found again.
     """
-    rows = docs.select("uid", "doc_id", _place().alias("place"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    whole = docs.select("uid", "doc_id", "text", _place().alias("place"))  # before lines become rows, so that a text is hashed once, not for each line
+    rows = whole.select("uid", "doc_id", "place", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
     rows = rows.select("uid", "doc_id", "place", "line_no", plain(F.col("line")).alias("plain"))
     p = F.col("plain")
     taken = F.substring(p, 1, 1).between("!", "~") | p.rlike(r"[^\s\p{Z}]")
@@ -88,11 +106,11 @@ def _verifier(rows: DataFrame, seen: DataFrame, distinct: DataFrame, scratch: Sc
         wanted = distinct.join(nodes.select(F.col("node").alias("id")), "id").select("id", "place")
         at = seen.where("id is not null").select("id", "place", "line_no").join(wanted, ["id", "place"]).groupBy("id", "place").agg(F.min("line_no").alias("line_no"))
         at = at.groupBy("place").agg(F.collect_list(F.struct("id", "line_no")).alias("wanted"))  # no more than the document has lines
-        held = rows.select(_place().alias("place"), "text").join(at, "place")
-        taken = let(F.split("text", "\n"), lambda lines: F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), F.get(lines, w["line_no"]).alias("line"))))
-        found = held.select(F.explode(taken).alias("w")).select("w.id", plain(F.col("w.line")).alias("plain")).where(F.xxhash64("plain") == F.col("id"))
-        # rows that repeat a document hold its lines too
-        sets = scratch.write(found.select("id", shingles(F.col("plain")).alias("s")).dropDuplicates(["id"]))
+        # rows that repeat a document hold its lines too; the join leaves them side by side, so one of them stays without another shuffle
+        held = rows.select(_place().alias("place"), "text").join(at, "place").groupBy("place").agg(F.first("text").alias("text"), F.first("wanted").alias("wanted"))
+        taken = let(F.split("text", "\n"), lambda lines: F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), plain(F.get(lines, w["line_no"])).alias("plain"))))
+        found = held.select(F.explode(taken).alias("w")).select("w.id", "w.plain").where(F.xxhash64("plain") == F.col("id"))
+        sets = scratch.write(found.select("id", shingles(F.col("plain")).alias("s")))
 
         def links(pairs: DataFrame) -> DataFrame:
             both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
@@ -114,11 +132,12 @@ def decisions(docs: DataFrame, min_words: int = ALL) -> DataFrame:
 def _decisions(rows: DataFrame, min_words: int, scratch: Scratch) -> DataFrame:
     """decisions() for rows (uid, doc_id, text); of the scratch tables only those that the result reads are left."""
     lines = lines_of(rows, min_words)
-    low = F.when(F.col("id").isNotNull(), F.slice(F.sort_array(shingles(F.col("plain"))), 1, SIGNATURE))
     names = [f"k{i}" for i in range(SIGNATURE - BAND + 1)]
-    signed = lines.select("id", "place", low.alias("low")).select("id", "place", *[k.alias(n) for n, k in zip(names, bands(F.col("low")), strict=True)])
+    signed = signatures(lines, "id", "place").select("id", "place", *[k.alias(n) for n, k in zip(names, bands(F.col("low")), strict=True)])
     # values of fixed width, so that equal lines are combined by hash before the shuffle; only distinct lines carry keys
-    distinct = scratch.write(signed.where("id is not null").groupBy("id").agg(F.min("place").alias("place"), F.count("*").alias("copies"), *[F.max(n).alias(n) for n in names]), hashes=True)
+    distinct = signed.groupBy("id").agg(F.min("place").alias("place"), F.count("id").alias("copies"), *[F.max(n).alias(n) for n in names])
+    # a filter on id would be moved down to the lines, which would be made plain again for it
+    distinct = scratch.write(distinct.where("copies > 0"), hashes=True)
     seen = scratch.write(lines.select("uid", "doc_id", "line_no", "id", "place"), hashes=True)
     keys = distinct.select(F.explode(F.array_compact(F.array(*names))).alias("key"), F.col("id").alias("node"), F.lit(0).alias("slack"))
     found = linked_by_keys(keys, _verifier(rows, seen, distinct, scratch), scratch)
