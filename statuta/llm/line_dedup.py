@@ -106,11 +106,12 @@ def _verifier(rows: DataFrame, seen: DataFrame, distinct: DataFrame, scratch: Sc
         wanted = distinct.join(nodes.select(F.col("node").alias("id")), "id").select("id", "place")
         at = seen.where("id is not null").select("id", "place", "line_no").join(wanted, ["id", "place"]).groupBy("id", "place").agg(F.min("line_no").alias("line_no"))
         at = at.groupBy("place").agg(F.collect_list(F.struct("id", "line_no")).alias("wanted"))  # no more than the document has lines
-        # rows that repeat a document hold its lines too; the join leaves them side by side, so one of them stays without another shuffle
-        held = rows.select(_place().alias("place"), "text").join(at, "place").groupBy("place").agg(F.first("text").alias("text"), F.first("wanted").alias("wanted"))
+        # rows that repeat a document hold its lines too; the join leaves them in one partition, so one of them stays without another shuffle.
+        # The short side is hashed, so only texts that hold a wanted line are sorted
+        held = rows.select(_place().alias("place"), "text").join(at.hint("shuffle_hash"), "place").groupBy("place").agg(F.first("text").alias("text"), F.first("wanted").alias("wanted"))
         taken = let(F.split("text", "\n"), lambda lines: F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), plain(F.get(lines, w["line_no"])).alias("plain"))))
         found = held.select(F.explode(taken).alias("w")).select("w.id", "w.plain").where(F.xxhash64("plain") == F.col("id"))
-        sets = scratch.write(found.select("id", shingles(F.col("plain")).alias("s")))
+        sets = scratch.write(found.select("id", shingles(F.col("plain")).alias("s")), hashes=True)
 
         def links(pairs: DataFrame) -> DataFrame:
             both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
@@ -139,7 +140,7 @@ def _decisions(rows: DataFrame, min_words: int, scratch: Scratch) -> DataFrame:
     # a filter on id would be moved down to the lines, which would be made plain again for it
     distinct = scratch.write(distinct.where("copies > 0"), hashes=True)
     seen = scratch.write(lines.select("uid", "doc_id", "line_no", "id", "place"), hashes=True)
-    keys = distinct.select(F.explode(F.array_compact(F.array(*names))).alias("key"), F.col("id").alias("node"), F.lit(0).alias("slack"))
+    keys = distinct.select(F.explode(F.array(*names)).alias("key"), F.col("id").alias("node"), F.lit(0).alias("slack")).where("key is not null")
     found = linked_by_keys(keys, _verifier(rows, seen, distinct, scratch), scratch)
 
     # only lines with copies or links go on to be grouped

@@ -4,9 +4,11 @@ import random
 
 from pyspark.sql import functions as F
 
-from statuta.llm import buckets, line_dedup
+from statuta.llm import buckets, components, line_dedup
 from statuta.llm.shared import Scratch
 
+LINE = "a sentence that is long enough to have a good many shingles of its own, so that one word more or less at its end leaves nearly all the others as they were, number"
+
 
 def test_lines_are_made_plain_once_and_texts_hashed_once(spark, monkeypatch):
     """The passes over all lines: no filter lowers a line again, and the hash of a text is taken below the rows of its lines."""
@@ -52,3 +54,54 @@ def test_links_added_to_components(spark, monkeypatch):
     assert sorted(map(tuple, buckets._merged(found, frame(more), scratch).collect())) == sorted(want)
     assert worked == [{tuple(sorted((of.get(a, a), of.get(b, b)))) for a, b in more if of.get(a, a) != of.get(b, b)}]
     assert {tuple(r) for r in buckets._merged(found, frame([]), scratch).collect()} == {tuple(r) for r in found.collect()}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_texts_with_wanted_lines_are_sorted(spark, monkeypatch):
+    """Texts meet the places of wanted lines in a join that hashes the short side; rows that repeat a document still give each line once."""
+    plans, write = [], Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, *a, **k: plans.append(_plan(df)) or write(self, df, *a, **k))
+    docs = spark.createDataFrame([(1, f"{LINE} one\nalone"), (1, f"{LINE} one\nalone"), (2, f"other\n{LINE} two")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in line_dedup.decisions(docs).where("not kept").select("doc_id", "line_no").collect()) == [(1, 0), (1, 1), (2, 1)]
+    texts = [p for p in plans if "first(text" in p]
+    assert len(texts) == 1 and "ShuffledHashJoin [place" in texts[0]
+
+
+def test_nodes_of_mixed_keys_need_no_second_join(spark, monkeypatch):
+    """Pairs of different components under one key, as by brute force; the keys that have them are told by a window, not joined back."""
+    rng = random.Random(23)
+    own = sorted({(rng.randrange(60), rng.randrange(90)) for _ in range(240)})
+    of = {n: rng.randrange(12) for n in range(0, 90, 2)}
+    scratch, plans, write = Scratch(spark), [], Scratch.write
+    members = scratch.write(spark.createDataFrame(own, "key long, node long"))
+    found = scratch.write(spark.createDataFrame(list(of.items()), "node long, component long"))
+    monkeypatch.setattr(Scratch, "write", lambda self, df, *a, **k: plans.append(_plan(df)) or write(self, df, *a, **k))
+    got = {tuple(r) for r in buckets._unlinked(members, found, scratch).collect()}
+    assert got == {(a, b) for k, a in own for l, b in own if k == l and a < b and of.get(a, a) != of.get(b, b)}
+    assert len(plans) == 1 and plans[0].count("Join ") == 1 and "Window" in plans[0]
+
+
+def test_hot_keys_are_parted_once(spark, monkeypatch):
+    """Keys with many nodes are found in one pass over the shared ones; what is read afterwards is written with that mark."""
+    plans, write = [], Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, *a, **k: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(self, df, *a, **k))
+    docs = spark.createDataFrame([(i, f"{LINE} {i}") for i in range(100, 140)] + [(i, f"{i} words that two lines have, and no other one among them") for i in (1, 2)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in line_dedup.decisions(docs).where("kept").collect()) == [1, 100]
+    assert sum("hub" in p and "AS hot" in p for p in plans) == 1
+    assert not any("LeftAnti, (key" in p for p in plans)
+
+
+def test_large_star_is_not_shuffled_for_repeats(spark):
+    """Repeats that a large star makes change no minimum; the small star after it drops them."""
+    rng = random.Random(24)
+    edges = {(max(a, b), min(a, b)) for a, b in ((rng.randrange(80), rng.randrange(80)) for _ in range(200)) if a != b}
+    table = spark.createDataFrame(sorted(edges), "u long, v long")
+    large = components._star(table, large=True)
+    assert "hashpartitioning(u#" in _plan(large) and ", v#" not in "".join(x.split(")")[0] for x in _plan(large).split("hashpartitioning(")[1:])
+    small = components._star(large, large=False).collect()
+    assert len(small) == len(set(small))
+    again = components._star(large.distinct(), large=False).collect()
+    assert sorted(small) == sorted(again)
