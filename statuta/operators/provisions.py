@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import SPACE, TEXT_UNIT_LIST, UNIT_LIST, plain_numbers, plain_numbers_of, units_of
@@ -45,7 +45,7 @@ def _mask(text: str, longest: int) -> tuple[str, str, list[tuple[int, int]], int
         unsure.append((start, end if end < len(text) else len(text)))
         depth = 0 if end < len(text) else depth
     outside, inside, at = [], [], 0
-    blank = lambda s: re.sub(r"[^\n]", " ", s)
+    blank = lambda s: "\n".join([" " * len(line) for line in s.split("\n")])
     for a, b in spans:
         outside += [text[at:a], blank(text[a:b])]
         inside += [blank(text[at:a]), text[a:b]]
@@ -194,7 +194,10 @@ def unit_order(key: Column) -> Column:
     pattern = r"^(\d+)([a-z]*)(?:\^(\d+)([a-z]*))?$"
     low = F.lower(key)
     number = lambda i: F.lpad(F.regexp_replace(part(low, pattern, i), "^0+(?=.)", ""), 9, "0")
-    return F.when(low.rlike(pattern), F.concat(number(1), F.rpad(part(low, pattern, 2), 6, " "), number(3), part(low, pattern, 4)))
+    whole = F.concat(number(1), F.rpad(part(low, pattern, 2), 6, " "), number(3), part(low, pattern, 4))
+    # most keys are plain numbers, which need no pattern
+    plain = key.isNotNull() & F.char_length(key).between(1, 9) & (F.translate(key, "0123456789", "") == "")
+    return F.when(plain, F.concat(F.lpad(key, 9, "0"), F.lit(" " * 6 + "0" * 9))).when(low.rlike(pattern), whole)
 
 
 def unit_number(key: Column) -> Column:
@@ -204,6 +207,8 @@ def unit_number(key: Column) -> Column:
 
 #: Units whose numbers share a cell of the interval join.
 CELL = 16
+#: What a row of currency() is: an article asked for, or a change that names one, or a range, or none that is known.
+ASKED, NAMED, RANGE, VAGUE = range(4)
 
 
 def within_ranges(asked: DataFrame, ranges: DataFrame, on: list[str], cell: int = CELL) -> DataFrame:
@@ -217,42 +222,61 @@ def within_ranges(asked: DataFrame, ranges: DataFrame, on: list[str], cell: int
     return rows.join(dealt, [*on, "_cell"]).where((unit_order(F.col("article")) >= unit_order(F.col("low"))) & (unit_order(F.col("article")) <= unit_order(F.col("high")))).drop("_cell")
 
 
-def _met_by(asked: DataFrame, spans: DataFrame, on: list[str], cell: int = CELL) -> DataFrame:
-    """within_ranges() with spans (on..., named, low, high, ...), of which those with `named` meet only the very same article."""
-    at = lambda c: F.coalesce(F.floor(unit_number(F.col(c)) / cell), F.lit(-1))
-    dealt = spans.withColumn("_cell", F.explode(F.sequence(at("low"), F.greatest(at("low"), at("high")))))
-    order = unit_order(F.col("article"))
-    inside = F.when(F.col("named").isNotNull(), F.col("named") == F.col("article")).otherwise((order >= unit_order(F.col("low"))) & (order <= unit_order(F.col("high"))))
-    return asked.withColumn("_cell", at("article")).join(dealt, [*on, "_cell"]).where(inside).drop("_cell", "named", "low", "high")
+def _cell_of(key: Column, cell: int) -> Column:
+    """The cell of a unit's number, -1 without one."""
+    return F.coalesce(F.floor(unit_number(key) / cell), F.lit(-1))
 
 
-def currency(asked: DataFrame, changes: DataFrame, contained: DataFrame, checked: DataFrame, day: Column) -> DataFrame:
+def _dealt(lacking: DataFrame, cell: int) -> DataFrame:
+    """(act, kind, _cell, article, low, high, amendment, later): changes, in the cells of numbers that they cover; low and high as orders."""
+    vague = F.coalesce(F.col("whole") | F.col("unsure"), F.lit(False))
+    kind = F.when(F.col("article").isNotNull(), NAMED).when(F.col("low").isNotNull() & F.col("high").isNotNull(), RANGE)
+    rows = lacking.where("act is not null").withColumn("_kind", kind).withColumn("_from", _cell_of(F.coalesce("article", "low"), cell))
+    part = lambda kind, at: F.struct(kind.alias("kind"), at.cast("long").alias("_cell"))
+    covered = F.sequence("_from", F.greatest("_from", _cell_of(F.col("high"), cell)))
+    found = F.when(F.col("_kind") == NAMED, F.array(part(F.lit(NAMED), F.col("_from")))).when(F.col("_kind") == RANGE, F.transform(covered, lambda at: part(F.lit(RANGE), at)))
+    found = F.coalesce(found, F.array().cast("array<struct<kind: int, _cell: bigint>>"))
+    parts = F.when(vague, F.concat(found, F.array(part(F.lit(VAGUE), F.lit(-2))))).otherwise(found)
+    rows = rows.select("act", F.explode(parts).alias("_p"), "article", "low", "high", "amendment", "later")
+    named, order = F.when(F.col("_p.kind") == NAMED, F.col("article")), lambda c: F.when(F.col("_p.kind") == RANGE, unit_order(F.col(c))).alias(c)
+    return rows.select("act", "_p.kind", "_p._cell", named.alias("article"), order("low"), order("high"), "amendment", "later")
+
+
+def currency(asked: DataFrame, changes: DataFrame, contained: DataFrame | None, checked: DataFrame, day: Column, cell: int = CELL) -> DataFrame:
     """V-02: whether the text of an article is current on a day.
 
     asked (act, article); changes (act, amendment, article, low, high, whole, unsure, entry): one named article, or a range, or the whole act, or a
     change whose articles are not known; entry: the day it enters into force, null if unknown, which counts as in force. contained (act, amendment):
-    changes that the text has. checked (act): acts whose list of changes is complete.
+    changes that the text has, None where changes are without them. checked (act): acts whose list of changes is complete.
 
     (act, article, verdict, now, later): CHANGED by an amendment in force that the text lacks and that names the article or a range with it; UNSURE
     if a change of the whole act or one that could not be read is in force, or the act is not checked; PENDING if such changes enter into force
     later; else CURRENT. now, later: the number of amendments that name it.
+
+    Changes are read once. They and the articles asked for are shuffled to their act, where both meet by cells of numbers; an act is one task's work, which
+    spills, and holds no more than the articles asked for in one cell.
     """
-    lacking = changes.join(contained, ["act", "amendment"], "left_anti").withColumn("later", F.coalesce(F.col("entry") > day, F.lit(False)))
-    asked = asked.select("act", "article").distinct()
-    # a named article is a range of one, so that changes are read once for both
-    spans = lacking.where("article is not null or low is not null and high is not null").select("act", F.col("article").alias("named"), F.coalesce("article", "low").alias("low"), F.coalesce("article", "high").alias("high"), "amendment", "later")
-    named = _met_by(asked, spans, ["act"])
-    count = lambda c, name: F.count_distinct(F.when(c, F.col("amendment"))).alias(name)
-    named = named.groupBy("act", "article").agg(count(~F.col("later"), "now"), count(F.col("later"), "later"))
-    vague = lacking.where(F.col("whole") | F.col("unsure")).groupBy("act").agg(F.bool_or(~F.col("later")).alias("vague"), F.bool_or("later").alias("vague_later"))
-    known = checked.select("act").distinct().withColumn("known", F.lit(True))
-    out = asked.join(named, ["act", "article"], "left").join(vague, "act", "left").join(known, "act", "left")
-    n = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    lacking = changes if contained is None else changes.join(contained, ["act", "amendment"], "left_anti")
+    dealt = _dealt(lacking.withColumn("later", F.coalesce(F.col("entry") > day, F.lit(False))), cell)
+    rows = asked.select("act", F.lit(ASKED).alias("kind"), _cell_of(F.col("article"), cell).alias("_cell"), "article").unionByName(dealt, allowMissingColumns=True).repartition("act")
+    kind, article = F.col("kind"), F.array("article")
+    held = F.collect_set(F.when(kind == ASKED, F.col("article"))).over(Window.partitionBy("act", "_cell"))
+    meets = F.when(kind == RANGE, F.col("_held")).when((kind != NAMED) | F.array_contains("_held", F.col("article")), article)
+    met = rows.withColumn("_held", held).select("act", "kind", F.explode(meets).alias("article"), "low", "high", "amendment", "later")
+    met = met.where((kind != RANGE) | unit_order(F.col("article")).between(F.col("low"), F.col("high")))
+    vague = (kind == VAGUE).alias("_vague")
+    each = met.groupBy("act", "article", vague, "amendment").agg(F.bool_or(~F.col("later")).alias("_now"), F.bool_or("later").alias("_later"))
+    count = lambda c, name: F.count(F.when(F.col(c), F.col("amendment"))).alias(name)
+    told = each.groupBy("act", "article", "_vague").agg(count("_now", "now"), count("_later", "later"), F.bool_or("_now").alias("_now"), F.bool_or("_later").alias("_later"))
+    # what changes say of no known article is told to all of their act
+    of_act = lambda c: F.coalesce(F.bool_or(F.col("_vague") & F.col(c)).over(Window.partitionBy("act")), F.lit(False))
+    told = told.select("act", "article", "now", "later", "_vague", of_act("_now").alias("vague"), of_act("_later").alias("vague_later")).where("not _vague")
+    out = told.join(checked.select("act").distinct().withColumn("known", F.lit(True)), "act", "left")
     verdict = (
-        F.when(n("now") > 0, "CHANGED").when(F.coalesce("vague", F.lit(False)) | F.col("known").isNull(), "UNSURE")
-        .when((n("later") > 0) | F.coalesce("vague_later", F.lit(False)), "PENDING").otherwise("CURRENT")
+        F.when(F.col("now") > 0, "CHANGED").when(F.col("vague") | F.col("known").isNull(), "UNSURE")
+        .when((F.col("later") > 0) | F.col("vague_later"), "PENDING").otherwise("CURRENT")
     )
-    return out.select("act", "article", verdict.alias("verdict"), n("now").alias("now"), n("later").alias("later"))
+    return out.select("act", "article", verdict.alias("verdict"), "now", "later")
 
 
 def change_rows(acts: DataFrame, text: Column) -> DataFrame:
@@ -274,7 +298,9 @@ def change_rows(acts: DataFrame, text: Column) -> DataFrame:
         return out
 
     def fold(texts: pa.Array) -> pa.Array:
-        return pa.array([rows(t.as_py() or "") for t in texts], pa.list_(pa.struct(fields)))
+        # equal texts of a batch are read once
+        said = texts.dictionary_encode(null_encoding="encode")
+        return pa.array([rows(t or "") for t in said.dictionary.to_pylist()], pa.list_(pa.struct(fields))).take(said.indices)
 
     fold.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     # exploded where it is made: a column of its own would be made again for the filter that Spark infers from explode

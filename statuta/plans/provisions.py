@@ -74,19 +74,20 @@ def amending_acts(t):
 def provision_currency(t):
     """V-02, J-12, X-08: articles asked for, against what the texts of later changes name: lists, ranges, ranges of raised numbers, whole acts, and
     changes that name nothing; by the day they enter into force."""
-    a = (F.col("l_partkey") % 50 + 1).cast("int")
+    n = lambda more: (F.col("l_partkey") % 50 + 1 + more).cast("string")
     m = F.col("l_linenumber") % 5
     text = (
-        F.when(m == 0, F.format_string("w art. %d i %d skreśla się wyraz „art. 7”", a, a + 2)).when(m == 1, F.format_string("uchyla się art. %d–%d", a, a + 3))
-        .when(m == 2, F.format_string("art. %d¹–%d⁹ otrzymują brzmienie", a, a)).when(m == 3, "w całej ustawie wyraz „a” zastępuje się wyrazem „b”").otherwise("zmienia się załącznik")
+        F.when(m == 0, F.concat(F.lit("w art. "), n(0), F.lit(" i "), n(2), F.lit(" skreśla się wyraz „art. 7”"))).when(m == 1, F.concat(F.lit("uchyla się art. "), n(0), F.lit("–"), n(3)))
+        .when(m == 2, F.concat(F.lit("art. "), n(0), F.lit("¹–"), n(0), F.lit("⁹ otrzymują brzmienie"))).when(m == 3, "w całej ustawie wyraz „a” zastępuje się wyrazem „b”").otherwise("zmienia się załącznik")
     )
-    acts = t.lineitem.select(F.col("l_orderkey").alias("act"), F.col("l_suppkey").alias("amendment"), F.col("l_shipdate").alias("entry"), "l_returnflag", text.alias("text"))
-    contained = acts.where("l_returnflag = 'R'").select("act", "amendment").distinct()
-    changes = provisions.change_rows(acts.select("act", "amendment", "entry", "text"), F.col("text"))
-    plain = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda k: (1 + (F.col("o_orderkey") * 7 + k * 11) % 50).cast("string"))
-    asked = t.orders.select(F.col("o_orderkey").alias("act"), F.explode(F.concat(plain, F.array(F.concat((1 + F.col("o_orderkey") % 50).cast("string"), F.lit("^5"))))).alias("article"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("act"), F.col("l_suppkey").alias("amendment"), F.col("l_shipdate").alias("entry"), "l_returnflag", "l_partkey", "l_linenumber")
+    # texts are made and read of those changes only that the act's text lacks
+    lacking = lines.join(lines.where("l_returnflag = 'R'").select("act", "amendment"), ["act", "amendment"], "left_anti")
+    changes = provisions.change_rows(lacking.select("act", "amendment", "entry", text.alias("text")), F.col("text"))
+    plain = [(1 + (F.col("o_orderkey") * 7 + k * 11) % 50).cast("string") for k in range(5)]
+    asked = t.orders.select(F.col("o_orderkey").alias("act"), F.explode(F.array(*plain, F.concat((1 + F.col("o_orderkey") % 50).cast("string"), F.lit("^5")))).alias("article"))
     checked = t.orders.where("o_orderstatus != 'P'").select(F.col("o_orderkey").alias("act"))
-    return provisions.currency(asked, changes, contained, checked, F.lit(DAY).cast("timestamp"))
+    return provisions.currency(asked, changes, None, checked, F.lit(DAY).cast("timestamp"))
 
 
 @query("""WITH l AS (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i FROM lineitem)

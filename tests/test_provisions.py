@@ -134,6 +134,49 @@ def test_currency(spark):
     }
 
 
+def test_currency_against_all_pairs(spark):
+    rng = random.Random(5)
+    key = lambda: f"{rng.randint(1, 40)}{rng.choice(['', '', '', 'a'])}{rng.choice(['', '', '', '^1', '^2a'])}"
+    some = lambda v, none=0.1: None if rng.random() < none else v
+    changes = []
+    for _ in range(400):
+        article, low, high = rng.choice([(key(), None, None), (None, key(), key()), (key(), key(), key()), (None, key(), None), (None, None, None), ("x", None, None)])
+        changes.append((some(rng.randint(1, 12), 0.03), some(rng.randint(1, 9)), article, low, high, rng.random() < 0.04, some(rng.random() < 0.04), some(rng.randint(1, 9))))
+    asked = [(some(rng.randint(1, 14), 0.03), some(key(), 0.05)) for _ in range(300)] + [(1, "x"), (2, "x"), (3, "1^x")]
+    contained, checked = [(rng.randint(1, 12), rng.randint(1, 9)) for _ in range(15)], [(a,) for a in range(1, 14, 2)] + [(1,), (None,)]
+    made = spark.createDataFrame(changes, "act int, amendment int, article string, low string, high string, whole boolean, unsure boolean, entry int")
+    given = spark.createDataFrame(asked, "act int, article string"), made, spark.createDataFrame(contained, "act int, amendment int"), spark.createDataFrame(checked, "act int"), F.lit(5)
+    keys = sorted({k for c in changes for k in c[2:5] if k} | {k for _, k in asked if k})
+    order = dict(zip(keys, _one(spark, provisions.unit_order, *keys), strict=True))
+    want = set()
+    for act, article in set(asked):
+        now, later, vague = set(), set(), set()
+        for a, amendment, named, low, high, whole, unsure, entry in changes:
+            if a is None or a != act or (a, amendment) in contained:
+                continue
+            ahead = entry is not None and entry > 5
+            between = None not in (low, high, article) and order[article] is not None and order[low] <= order[article] <= order[high]
+            if amendment is not None and (named == article if named is not None else between):
+                (later if ahead else now).add(amendment)
+            if whole or unsure:
+                vague.add(ahead)
+        known = (act,) in checked and act is not None
+        verdict = "CHANGED" if now else "UNSURE" if False in vague or not known else "PENDING" if later or vague else "CURRENT"
+        want.add((act, article, verdict, len(now), len(later)))
+    for cell in (3, 16):
+        got = [tuple(r) for r in provisions.currency(*given, cell=cell).select("act", "article", "verdict", "now", "later").collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_currency_reads_texts_once(spark):
+    acts = spark.createDataFrame([(1, 2, "w art. 3", 1)], "act int, amendment int, t string, entry int")
+    asked, none = spark.createDataFrame([(1, "3")], "act int, article string"), spark.createDataFrame([], "act int, amendment int")
+    made = provisions.currency(asked, provisions.change_rows(acts, F.col("t")), none, asked.select("act"), F.lit(5))
+    assert [tuple(r) for r in made.collect()] == [(1, "3", "CHANGED", 1, 0)]
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("ArrowEvalPython") == 1 and "NestedLoop" not in plan
+
+
 def test_rows_of_changes(spark):
     acts = spark.createDataFrame([(1, "w art. 3 i art. 5¹–5³"), (2, "w całej ustawie"), (3, "nic"), (4, None)], "act int, t string")
     got = sorted((r["act"], r["article"] or "", r["low"] or "", r["whole"], r["unsure"]) for r in provisions.change_rows(acts, F.col("t")).collect())
